@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from reqflow.llm import quality
+from reqflow.llm import bpe, quality, token_count
 
 
 def queries() -> dict:
-    return {"op3_quality_rules": quality.op3_quality_rules}
+    return {
+        "op3_quality_rules": quality.op3_quality_rules,
+        "op8_token_counts": token_count.op8_token_counts,
+        "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
