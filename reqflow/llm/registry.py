@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, quality, token_count
+from reqflow.llm import bpe, exact_dedup, packing, quality, token_count
 
 
 def queries() -> dict:
     return {
+        "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op3_quality_rules": quality.op3_quality_rules,
         "op8_token_counts": token_count.op8_token_counts,
+        "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_dedup": exact_dedup.OP9_SQL}
