@@ -63,8 +63,8 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Da
 
     ``groups`` has ``key``, ``size`` (rows in the group) and further columns,
     none of which ``rows`` has except ``key``.  Groups over ``HOT_SHARE`` of all
-    rows (so at most 512) are broadcast; their rows take a spread key in the
-    shuffle join that serves the rest.
+    rows (so at most 512) are broadcast; their rows, and those whose key is null,
+    take a spread key in the shuffle join that serves the rest.
     """
     extra = [c for c in groups.columns if c != key]
     total = groups.agg(F.sum(size)).first()[0] or 0
@@ -75,7 +75,7 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Da
     joined = rows.join(F.broadcast(hot), key, "left")
     spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string"))
     joined = joined.withColumn(
-        "key__", F.when(F.col("hot__").isNull(), F.col(key).cast("string")).otherwise(spread)
+        "key__", F.when(F.col("hot__").isNull() & F.col(key).isNotNull(), F.col(key).cast("string")).otherwise(spread)
     ).join(cold, "key__", "left")
     return joined.select(
         *rows.columns, *[F.coalesce(F.col(f"hot__.{c}"), F.col(f"cold__.{c}")).alias(c) for c in extra]

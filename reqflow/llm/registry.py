@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, exact_dedup, packing, quality, token_count
+from reqflow.llm import bpe, exact_dedup, packing, quality, token_count, warc
 
 
 def queries() -> dict:
     return {
         "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op6_warc_transactions": warc.op6_warc_transactions,
         "op8_token_counts": token_count.op8_token_counts,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
@@ -16,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": exact_dedup.OP9_SQL}
+    return {"op6_warc_transactions": warc.OP6_SQL, "op9_exact_dedup": exact_dedup.OP9_SQL}
