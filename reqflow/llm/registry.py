@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, exact_dedup, packing, quality, token_count, warc
+from reqflow.llm import bpe, exact_dedup, license_scan, packing, quality, token_count, warc
 
 
 def queries() -> dict:
     return {
         "op1_best_fit_packing": packing.op1_best_fit_packing,
+        "op2_license_scan": license_scan.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
         "op6_warc_transactions": warc.op6_warc_transactions,
         "op8_token_counts": token_count.op8_token_counts,
