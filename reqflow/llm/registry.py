@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, exact_dedup, license_scan, packing, quality, token_count, warc
+from reqflow.llm import bpe, exact_dedup, license_scan, near_dedup, packing, quality, token_count, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_license_scan": license_scan.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
         "op6_warc_transactions": warc.op6_warc_transactions,
+        "op7_near_dedup": near_dedup.op7_near_dedup,
         "op8_token_counts": token_count.op8_token_counts,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
