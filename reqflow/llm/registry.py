@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, exact_dedup, license_scan, near_dedup, packing, pii, quality, token_count, warc
+from reqflow.llm import bpe, exact_dedup, license_scan, lm_score, near_dedup, packing, pii, quality, token_count, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_license_scan": license_scan.op2_license_scan,
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_pii_surrogates": pii.op4_pii_surrogates,
+        "op5_lm_score": lm_score.op5_lm_score,
         "op6_warc_transactions": warc.op6_warc_transactions,
         "op7_near_dedup": near_dedup.op7_near_dedup,
         "op8_token_counts": token_count.op8_token_counts,
