@@ -1 +1 @@
-"""See README.md."""
+"""Scalar expressions over columns."""

@@ -1 +1 @@
-"""See README.md."""
+"""Joins, upserts, windows, aggregates and vector search over DataFrames."""

@@ -1 +1 @@
-"""See README.md."""
+"""Composite jobs: table sync and the document pipeline."""

@@ -1 +1 @@
-"""See README.md."""
+"""Reading and publishing tables and files."""

@@ -1 +1 @@
-"""See README.md."""
+"""The reference job set is batch only; no streaming operator is needed (see README.md)."""
