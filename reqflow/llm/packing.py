@@ -13,7 +13,7 @@ own sets, so a chance collision never turns a compatible bin away.
 
 Defined results: null and empty texts take one token; long texts are cut, never
 shortened; a null source is a source of its own; rows that repeat an id are
-packed each for itself and numbered by ``copy``; ties go by doc_id, then by
+packed each for itself and numbered by ``copy``; ties go by doc_id (nulls last), then by
 piece; an empty table gives an empty table; extra columns are never read.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,15 +70,18 @@ def best_fit(sizes: list[int], sources: list[int], clusters: list[int], capacity
 def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     """Adds bin_id to rows of doc_id, copy, piece, n_tokens, source_code, cluster_code, shard."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "source_code", "cluster_code", "copy", "piece"], ascending=[False, *[True] * 5], kind="stable")
-        bins = best_fit(pdf.n_tokens.tolist(), pdf.source_code.tolist(), pdf.cluster_code.tolist(), capacity)
-        pdf["bin_id"] = pdf.shard * (1 << 24) + pd.Series(bins, index=pdf.index, dtype="int64")
-        return pdf.drop(columns=["source_code", "cluster_code", "shard"])
+    def run(table: pa.Table) -> pa.Table:
+        col = {n: table.column(n).to_pylist() for n in table.column_names}
+        keys = list(zip([-n for n in col["n_tokens"]], [d is None for d in col["doc_id"]], [0 if d is None else d for d in col["doc_id"]], *[col[c] for c in ("source_code", "cluster_code", "copy", "piece")], strict=True))
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        bins = best_fit(*[[col[c][i] for i in order] for c in ("n_tokens", "source_code", "cluster_code")], capacity)
+        table = table.take(pa.array(order))
+        ids = [s << 24 | b for s, b in zip(table.column("shard").to_pylist(), bins, strict=True)]
+        return table.select(out).append_column("bin_id", pa.array(ids, pa.int64()))
 
     kinds = {f.name: f.dataType.simpleString() for f in pieces.schema}
     out = [c for c in pieces.columns if c not in ("source_code", "cluster_code", "shard")]
-    return pieces.groupBy("shard").applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in out) + ", bin_id long")
+    return pieces.groupBy("shard").applyInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in out) + ", bin_id long")
 
 
 def pack_documents(
