@@ -10,9 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Groups that hold more than this share of all rows are joined by broadcast;
-#: there can be at most ``1 / HOT_SHARE`` of them, whatever the input's size.
+#: Groups that hold more than this share of all rows are hot: at most
+#: ``1 / HOT_SHARE`` of them, whatever the input's size.  Small groups never are.
 HOT_SHARE = 1.0 / 512
+MIN_HOT = 100
+SALTS = 32
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -58,28 +60,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
-    """Left join ``rows`` to one row per group without gathering a hot group in one task.
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
+    """Join ``rows`` to one row per group without gathering a hot group in one task.
 
     ``groups`` has ``key``, ``size`` (rows in the group) and further columns,
     none of which ``rows`` has except ``key``.  Groups over ``HOT_SHARE`` of all
-    rows (so at most 512) are broadcast; their rows, and those whose key is null,
-    take a spread key in the shuffle join that serves the rest.
+    rows - at most 512, whose keys the driver collects - are repeated ``SALTS``
+    times and their rows spread over the copies; rows whose key is null are
+    spread too.  It is one shuffle join at any size.
     """
     extra = [c for c in groups.columns if c != key]
     total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = groups.filter(F.col(size) > total * HOT_SHARE)
-    cold = groups.filter(F.col(size) <= total * HOT_SHARE)
-    hot = hot.select(F.col(key), F.struct(*extra).alias("hot__"))
-    cold = cold.select(F.col(key).cast("string").alias("key__"), F.struct(*extra).alias("cold__"))
-    joined = rows.join(F.broadcast(hot), key, "left")
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in rows.columns]).cast("string"))
-    joined = joined.withColumn(
-        "key__", F.when(F.col("hot__").isNull() & F.col(key).isNotNull(), F.col(key).cast("string")).otherwise(spread)
-    ).join(cold, "key__", "left")
-    return joined.select(
-        *rows.columns, *[F.coalesce(F.col(f"hot__.{c}"), F.col(f"cold__.{c}")).alias(c) for c in extra]
-    )
+    hot = [r[0] for r in groups.filter((F.col(size) > total * HOT_SHARE) & (F.col(size) > MIN_HOT)).select(key).collect()]
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).cast("int")
+    keyed_rows = rows.withColumns({"key__": F.col(key), "salt__": F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)})
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = groups.select(F.col(key).alias("key__"), F.struct(*extra).alias("group__"), F.explode(salts).alias("salt__"))
+    joined = keyed_rows.join(copies, ["key__", "salt__"], how)
+    return joined.select(*rows.columns, *[F.col(f"group__.{c}").alias(c) for c in extra])
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

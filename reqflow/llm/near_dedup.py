@@ -9,14 +9,15 @@ texts are linked if their sets' Jaccard similarity reaches the threshold.
    about the probability of the sets' similarity; ``ROWS`` of them make a band key.
    A pair at similarity 0.8 shares none of the 24 bands with probability 3e-6.
 3. Nodes that share a band are candidates.  In each band bucket they are compared
-   to its hub, the member with most company over all buckets, first with the one
-   hub that has most, then with the others that are not in their component yet.
-   Last, members of a bucket that are still in different components are compared
-   across components.  So no link between components is left out, and a group of
-   near copies costs a comparison or two per member, not all pairs.
-4. A candidate pair is dropped early if its sizes rule the threshold out, or if
-   the likelihood of the two sketches at any similarity from the threshold up is
-   ``MAX_LOG_ODDS`` below its maximum; the rest are confirmed on the full sets.
+   on the full sets to its hub, the member with most company over all buckets.
+   Members of a hub that are still in different components are then compared
+   across components, where what they share with the hub, and the shingles that
+   no other node has, leave room for the threshold.  So no link between components
+   is left out, and a group of near copies costs a comparison or two per member,
+   not all pairs.
+4. Pairs across components are dropped if the joint likelihood of their sketches
+   at any similarity from the threshold up is ``exp(-MAX_LOG_ODDS)`` of its maximum
+   or less; the rest are confirmed on the full sets.
 
 Components come from alternating large-star and small-star steps on the links.
 
@@ -171,23 +172,27 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold."""
+def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, common, na, nb: sizes of the full sets and of their intersection."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            keep = []
+            common, na, nb = [], [], []
             for i in range(b.num_rows):
                 x, y = (np.frombuffer(cols[c][i].as_py(), np.uint64) for c in ("sa", "sb"))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([cols["a"].filter(mask), cols["b"].filter(mask)], names=["a", "b"])
+                common.append(len(np.intersect1d(x, y, assume_unique=True)))
+                na.append(len(x))
+                nb.append(len(y))
+            yield pa.RecordBatch.from_arrays([cols["a"], cols["b"], *[pa.array(c, pa.int64()) for c in (common, na, nb)]], names=["a", "b", "common", "na", "nb"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, common long, na long, nb long")
+
+
+def _links(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
 def _full_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -204,54 +209,65 @@ def _full_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return texts.select(F.col("rk").alias("node"), "text").mapInArrow(run, "node long, shingles binary")
 
 
+def _lone_shingles(sets: DataFrame) -> DataFrame:
+    """node, n_alone: how many of a node's shingles no other node has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            if hashes:
+                nodes = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(h) for h in hashes])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(hashes))], names=["node", "h"])
+
+    grams = sets.select("node", "shingles").mapInArrow(run, "node long, h long")
+    once = grams.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
+    return once.groupBy("node").agg(F.count("*").alias("n_alone"))
+
+
 def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, width: int, percent: int) -> DataFrame:
     """node, comp for nodes that are linked to others (comp: the component's smallest node)."""
     threshold = percent / 100.0
     nodes = saved(sketches.join(heads.select(F.col("node").alias("rk")), "rk", "left_semi").select(F.col("rk").alias("node"), "n_shingles", "regs", "bands"))
     member = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = member.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
-    member = saved(attach_groups(member, saved(buckets), "bucket", "c").filter("c is not null"))
+    member = saved(attach_groups(member, saved(buckets), "bucket", "c", "inner"))
     company = member.groupBy("node").agg(F.sum("c").alias("company"))
     member = saved(member.join(company, "node"))
     sets = saved(_full_sets(rows, company.select("node"), width))
     hubs = member.groupBy("bucket").agg(F.count("*").alias("size"), F.max(F.struct("company", (-F.col("node")).alias("neg"))).alias("top"))
-    hubs = saved(hubs.select("bucket", "size", (-F.col("top.neg")).alias("hub"), F.col("top.company").alias("hub_company")))
+    hubs = saved(hubs.select("bucket", "size", (-F.col("top.neg")).alias("hub")))
     star = attach_groups(member.select("node", "bucket"), hubs, "bucket", "size").filter("node <> hub")
-    star = saved(star.groupBy("node", "hub").agg(F.max("hub_company").alias("hub_company")))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return _confirm(saved(_plausible(pairs, nodes, threshold)), sets, percent)
-
-    best = star.groupBy("node").agg(F.max(F.struct("hub_company", (-F.col("hub")).alias("neg"))).alias("top"))
-    first = best.select(F.col("node").alias("a"), (-F.col("top.neg")).alias("b"))
-    links = saved(verified(first))
-    comp = components(links)
-
-    def labelled(df: DataFrame, node: str, out: str) -> DataFrame:
-        return df.join(comp.select(F.col("u").alias(node), F.col("v").alias("v__")), node, "left").withColumn(out, F.coalesce("v__", node)).drop("v__")
-
-    # Other hubs, where they are in another component still.
-    pairs = star.select(F.col("node").alias("a"), F.col("hub").alias("b")).join(first, ["a", "b"], "left_anti")
-    rest = labelled(labelled(pairs, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
-    links = saved(links.union(saved(verified(rest))))
-    comp = components(links)
-
-    # Across the components that a bucket still has: all but its largest against the other members.
-    placed = saved(labelled(member.select("node", "bucket"), "node", "comp"))
-    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    whole = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("size"), F.max_by("comp", F.struct("n", "comp")).alias("main")).filter("parts > 1")
-    mixed = saved(attach_groups(placed, saved(whole.select("bucket", "size", "main")), "bucket", "size").filter("size is not null"))
-    minor = mixed.filter("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    other = mixed.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"), (F.col("comp") == F.col("main")).alias("in_main"))
-    sizes = nodes.select("node", "n_shingles")
-    minor = minor.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na")), "a")
-    other = other.join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb")), "b")
-    near = (F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")) & (F.col("ca") != F.col("cb"))
-    across = minor.join(other, "bucket").filter(near & (F.col("in_main") | (F.col("a") < F.col("b")))).select("a", "b").distinct()
-    tested = star.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    tested = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = saved(links.union(saved(verified(across.join(tested, ["a", "b"], "left_anti")))))
-    return components(links).select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    star = star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    star = saved(_measure(star, sets))
+    links = _links(star, percent)
+    comp = components(links).select(F.col("u").alias("node"), F.col("v").alias("comp"))
+
+    # Members of a hub's buckets, the hub included, with what they share with it.
+    members = star.select(F.col("b").alias("hub"), F.col("a").alias("node"), F.col("na").alias("n"), "common")
+    hubs = star.groupBy("b").agg(F.first("nb").alias("n")).select(F.col("b").alias("hub"), F.col("b").alias("node"), "n", F.col("n").alias("common"))
+    placed = members.union(hubs).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).select("hub", "node", "n", "common", "comp")
+    placed = saved(placed)
+    parts = placed.groupBy("hub", "comp").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
+    whole = parts.groupBy("hub").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.min("least").alias("least"))
+    whole = saved(whole.filter("parts > 1").select("hub", "size", "main", "least"))
+    mixed = saved(attach_groups(placed, whole, "hub", "size", "inner"))
+    # Shingles that no other of these nodes has can't be shared: the rest bounds every intersection.
+    # With a hub h, what x and y share is at most |h| - max(|h - x|, |h - y|) and the shared ones not in h.
+    alone = _lone_shingles(sets.join(mixed.select("node").distinct(), "node", "left_semi"))
+    mixed = mixed.join(alone, "node", "left").withColumn("reach", F.col("n") - F.coalesce("n_alone", F.lit(0)))
+    mixed = mixed.withColumn("gained", F.col("reach") - F.col("common"))
+    enough = lambda most, both: F.lit(100 + percent) * most >= F.lit(percent) * both  # noqa: E731  J = c / (a + b - c)
+    mixed = saved(mixed.filter(enough(F.col("reach"), F.col("n") + F.col("least"))))
+
+    def side(df: DataFrame, key: str) -> DataFrame:
+        return df.select("hub", F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in ("comp", "n", "reach", "common", "gained")], (F.col("comp") == F.col("main")).alias(f"main_{key}"))
+
+    both = F.col("n_a") + F.col("n_b")
+    near = enough(F.least("reach_a", "reach_b"), both) & enough(F.least("common_a", "common_b") + F.least("gained_a", "gained_b"), both)
+    across = side(mixed.filter("comp <> main"), "a").join(side(mixed, "b"), "hub")
+    across = across.filter(near & (F.col("comp_a") != F.col("comp_b")) & (F.col("main_b") | (F.col("a") < F.col("b")))).select("a", "b").distinct()
+    more = _links(_measure(saved(_plausible(across, nodes, threshold)), sets), percent)
+    return components(links.union(more)).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
