@@ -98,7 +98,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHasher(dict):
     """word (bytes) -> stable 64-bit hash, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         import xxhash
 

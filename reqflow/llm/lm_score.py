@@ -44,7 +44,7 @@ MU, MU_SHARE = 1.0, 4.0
 PROBES = 4
 BITS_PER_ENTRY = 10
 #: Tokens that a task gathers before it sends its lists; text bytes per block.
-RUN_TOKENS = 1_000_000
+RUN_TOKENS = 500_000
 BLOCK_BYTES = 24_000_000
 END = np.uint64(0x5EED0F7E47E4D000)
 _PAIR, _STEP, _PROBE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
