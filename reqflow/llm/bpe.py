@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Remembered states and pieces per worker; a full memory is emptied and filled again.
-MAX_STATES = 150_000
-MAX_PIECES = 200_000
+MAX_STATES = 200_000
+MAX_PIECES = 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
