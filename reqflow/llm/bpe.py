@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqflow.llm.common import small_batches
+
 #: Remembered states and pieces per worker; a full memory is emptied and filled again.
 MAX_STATES = 200_000
 MAX_PIECES = 300_000
@@ -317,6 +319,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", t
             ids = pa.array([c.encode(t or "") for t in b.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
@@ -350,6 +353,7 @@ def round_trip_digests(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id",
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

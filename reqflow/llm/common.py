@@ -25,6 +25,15 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(F.coalesce(col.cast("string"), F.lit("")), ASCII_UPPER, ASCII_LOWER)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what goes to a Python worker at once: texts may be long, and workers keep what they once took."""
+    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):  # else larger, unbounded, or in other units
+            spark.conf.set(key, most)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +45,7 @@ def keyed(df: DataFrame, *cols: Column) -> DataFrame:
     follows from the scan's partition and the row's place in it, so a task that
     is run again gives the same keys.
     """
+    small_batches(df.sparkSession)
     return df.select(*cols, F.monotonically_increasing_id().alias("rk"))
 
 

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reqflow.llm.common import small_batches
+
 #: Order of precedence where detections overlap.
 KINDS = ("secret", "email", "iban", "ip", "card", "ssn", "phone", "name")
 
@@ -324,11 +326,13 @@ _makers: dict[str, Surrogates] = {}
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the texts' entities replaced; all other columns as they are."""
+    small_batches(docs.sparkSession)
     return docs.select(*[scrubbed(F.col(f"`{c}`"), key)["text"].alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def entity_report(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text (new), entities, n_entities, n_distinct, n_collisions, kinds (sorted, comma-joined)."""
+    small_batches(docs.sparkSession)
     found = docs.select(F.col(doc_id).alias("doc_id"), scrubbed(F.col(text), key).alias("f"))
     kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("f.entities", lambda e: e["kind"]))), ",")
     return found.select("doc_id", "f.text", "f.entities", F.size("f.entities").cast("long").alias("n_entities"), F.col("f.n_distinct").cast("long").alias("n_distinct"), F.col("f.n_collisions").cast("long").alias("n_collisions"), kinds.alias("kinds"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reqflow.llm.common import mix64
+from reqflow.llm.common import mix64, small_batches
 
 #: Window of the base rule and the n-gram lengths of the coverage rules.
 BASE_WINDOW = 8
@@ -176,6 +176,7 @@ def verdict(q, rules: QualityRules):
 
 def quality_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the whole input row) and ``q`` (its :data:`FEATURES`)."""
+    small_batches(docs.sparkSession)
     packed = docs.select(F.col(text).cast("string").cast("binary").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("q", FEATURES)])
     return packed.mapInArrow(_features, schema)
@@ -189,6 +190,7 @@ def score_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
 
 
 def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     packed = docs.select(F.col(text).cast("string").cast("binary").alias("text"), F.col(doc_id).alias("row"))
     schema = T.StructType([T.StructField("doc_id", packed.schema["row"].dataType), T.StructField("q", FEATURES)])
     return packed.mapInArrow(_features, schema)

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqflow.llm.common import small_batches
+
 #: Pre-tokens remembered per worker; a full memory is emptied and filled again.
 MAX_KNOWN = 300_000
 MARK = "▁"
@@ -84,6 +86,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, doc_id: str = "
                     names=["doc_id", "n_bytes", "n_tokens"],
                 )
 
+    small_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"), F.octet_length(whole).cast("long").alias("n_bytes"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
