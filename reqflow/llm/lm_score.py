@@ -4,11 +4,16 @@ Training texts give word and word-pair counts: each task counts runs of tokens
 with numpy and sends (hash, count) lists, one per block of the hash space; blocks
 follow the input's size, and no list grows with a word's frequency.  A block's
 counts are merged, quantised on a log scale and put into its part of a Bloom
-filter: an n-gram of level q is entered as (n-gram, 1) ... (n-gram, q).  A block
-holds the n-grams of at least ``tau`` occurrences, the least ``tau`` for which they
-fit its share of ``max_bits``; as n-grams of count c are at most N/c, there is one
-at every size.  The filter, so bounded, is broadcast.  A count is read back by
-probing levels until one is missing.
+filter: an n-gram of level q is entered as (n-gram, 1) ... (n-gram, q).  The parts are
+sized from the counted entries, so every n-gram is held at every size.  A count is
+read back by probing levels until one is missing.
+
+While the filter has at most ``max_bits`` it is broadcast.  A larger one stays in its
+blocks, and the documents' word pairs are sent there.  For that the score is split:
+what a pair that was never seen would get is a sum over words, known from the words'
+levels alone; a pair that was seen adds a term that needs the levels of the pair and
+of both words.  Hot words and pairs are scored where the text is.  Any other pair goes
+to the block of each word whose level isn't known yet, then to its own.
 
 ``score`` sums log10 P(w | v) = log10 ((c(vw) + m p(w)) / (c(v) + m)) with
 m = MU + MU_SHARE c(v) and p(w) = (c(w) + 1) / (N + V + 1); counts above are read as the lower end of their
@@ -49,6 +54,8 @@ BLOCK_BYTES = 24_000_000
 END = np.uint64(0x5EED0F7E47E4D000)
 _PAIR, _STEP, _PROBE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _UNIGRAM, _BIGRAM = np.uint64(0x1B), np.uint64(0x2B)
+#: Stands for a word's level that isn't known yet; the largest level of a 63-bit count is 240.
+UNKNOWN = np.uint8(255)
 
 _hasher = WordHasher()
 
@@ -71,15 +78,21 @@ def pairs(h: np.ndarray) -> np.ndarray:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """The arrays byte plane by byte plane, compressed: sorted hashes and small numbers have planes that hardly vary."""
     sizes = np.array([len(a) for a in arrays], np.int64)
-    return sizes.tobytes() + b"".join(a.tobytes() for a in arrays)
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    data = sizes.tobytes() + b"".join(planes)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
+    data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
     at, out = 8 * len(kinds), []
     for n, kind in zip(np.frombuffer(data, np.int64, len(kinds)).tolist(), kinds, strict=True):
-        out.append(np.frombuffer(data, kind, n, at))
-        at += out[-1].nbytes
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * width
     return out
 
 
@@ -141,6 +154,30 @@ def levels(counts: np.ndarray, tau: int) -> np.ndarray:
     return np.where(counts >= tau, q, 0)
 
 
+def _least(q: np.ndarray) -> np.ndarray:
+    """The least count of level q (0 for level 0)."""
+    return np.where(q > 0, np.ceil(BETA ** (q - 1.0) - 1e-6), 0.0)
+
+
+def _most(q: np.ndarray) -> np.ndarray:
+    """The largest count of level q."""
+    return np.ceil(BETA ** q.astype(float) - 1e-6) - 1
+
+
+def word_logs(q: np.ndarray, total: int) -> np.ndarray:
+    """A word's share of the score, as a text's word and as the word before: pairs that were never seen need no more."""
+    before = _most(q)
+    weight = MU + MU_SHARE * before
+    return np.log10(weight * (_least(q) + 1.0) / total) - np.log10(before + weight)
+
+
+def pair_logs(q: np.ndarray, qv: np.ndarray, qw: np.ndarray, total: int) -> np.ndarray:
+    """What a pair of level q adds, from the levels of its words."""
+    before = _most(qv)
+    seen = np.minimum(np.minimum(_least(q), before), _most(qw))
+    return np.log10(1.0 + seen * total / ((MU + MU_SHARE * before) * (_least(qw) + 1.0)))
+
+
 def _times(n: int, step: np.uint64) -> np.uint64:
     return np.uint64(n * int(step) & 0xFFFFFFFFFFFFFFFF)
 
@@ -170,29 +207,46 @@ def build_filter(grams: list[tuple[np.ndarray, np.ndarray]], max_bits: int) -> t
     return tau, size, np.packbits(table, bitorder="little").tobytes()
 
 
-def merge_blocks(counted: DataFrame, blocks: int, max_bits: int, hot_words: int) -> DataFrame:
-    """One row per block: n, v (tokens and distinct words), tau, bits, filter, hot and cold word counts."""
+def probe(table: np.ndarray, salted: np.ndarray, size: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Levels read from a filter: probe level after level until one is missing."""
+    out = np.zeros(len(salted), np.int64)
+    alive, level = np.arange(len(salted)), 0
+    while len(alive):
+        level += 1
+        there = np.ones(len(alive), bool)
+        for at in _places(salted[alive], level, size[alive]):
+            at += offset[alive]
+            there &= (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        alive = alive[there]
+        out[alive] = level
+    return out
+
+
+def merge_blocks(counted: DataFrame, blocks: int, hot_words: int) -> DataFrame:
+    """One row per block: n, v (tokens and distinct words), tau, bits, filter, hot and cold word counts, hot pair counts."""
     keep = -(-hot_words // blocks)
 
     def run(table: pa.Table) -> pa.Table:
         kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
         uni = _merge([p for k, p in zip(kinds, payloads, strict=True) if k == "uni"])
         bi = _merge([p for k, p in zip(kinds, payloads, strict=True) if k == "bi"])
-        tau, bits, filled = build_filter([(uni[0] ^ _UNIGRAM, uni[1]), (bi[0] ^ _BIGRAM, bi[1])], max_bits // blocks)
+        tau, bits, filled = build_filter([(uni[0] ^ _UNIGRAM, uni[1]), (bi[0] ^ _BIGRAM, bi[1])], 1 << 62)
         top = np.zeros(len(uni[0]), bool)
         top[np.lexsort((uni[0], -uni[1]))[:keep]] = True
+        often = np.sort(np.lexsort((bi[0], -bi[1]))[:keep])
         row = {
             "block": [table.column("block")[0].as_py()], "n": [int(uni[1].sum())], "v": [len(uni[0])], "tau": [tau], "bits": [bits], "filter": [filled],
             "hot": [_pack(uni[0][top], uni[1][top])], "cold": [_pack(uni[0][~top], uni[1][~top])],
+            "pairs": [_pack(bi[0][often], bi[1][often])],
         }
-        return pa.table(row, schema=pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("n", "v", "tau", "bits")], *[(c, pa.binary()) for c in ("filter", "hot", "cold")]]))
+        return pa.table(row, schema=pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("n", "v", "tau", "bits")], *[(c, pa.binary()) for c in ("filter", "hot", "cold", "pairs")]]))
 
-    return counted.groupBy("block").applyInArrow(run, "block int, n long, v long, tau long, bits long, filter binary, hot binary, cold binary")
+    return counted.groupBy("block").applyInArrow(run, "block int, n long, v long, tau long, bits long, filter binary, hot binary, cold binary, pairs binary")
 
 
 @dataclass
 class Model:
-    """What workers need: totals, the Bloom filter, and the hot words' exact counts."""
+    """What workers need: totals, the hot words' exact counts, and the Bloom filter or, where it stays in its blocks, the hot pairs' counts."""
 
     n: int
     v: int
@@ -200,42 +254,40 @@ class Model:
     tau: np.ndarray
     bits: np.ndarray
     offset: np.ndarray
-    filter: np.ndarray
+    filter: np.ndarray | None
     hot: np.ndarray
     hot_counts: np.ndarray
+    pairs: np.ndarray | None = None
+    pair_counts: np.ndarray | None = None
 
     @classmethod
-    def gather(cls, merged: DataFrame, blocks: int) -> Model:
-        """Collects at most max_bits / 8 + 16 * hot_words bytes, whatever the corpus."""
-        rows = sorted(merged.drop("cold").collect())
+    def gather(cls, merged: DataFrame, blocks: int, max_bits: int) -> Model:
+        """Collects at most max_bits / 8 bytes or 16 * hot_words, and 16 * hot_words more, whatever the corpus."""
+        held = (merged.agg(F.sum("bits")).first()[0] or 0) <= max_bits
+        rows = merged.drop("cold", "pairs" if held else "filter").collect()
+        rows.sort(key=lambda r: r.block)
         tau, bits = np.ones(blocks, np.int64), np.full(blocks, 64, np.int64)
         filters = [bytes(8)] * blocks
-        hot = []
         for r in rows:
-            tau[r.block], bits[r.block], filters[r.block] = r.tau, r.bits, bytes(r["filter"])
-            hot.append(_unpack(bytes(r.hot), np.uint64, np.int64))
-        h = np.concatenate([x[0] for x in hot]) if hot else np.zeros(0, np.uint64)
-        c = np.concatenate([x[1] for x in hot]) if hot else np.zeros(0, np.int64)
-        order = np.argsort(h)
+            tau[r.block], bits[r.block] = r.tau, r.bits
+            if held:
+                filters[r.block] = bytes(r["filter"])
+
+        def counts(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            parts = [_unpack(bytes(x), np.uint64, np.int64) for x in lists] or [[np.zeros(0, np.uint64), np.zeros(0, np.int64)]]
+            h, c = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+            order = np.argsort(h)
+            return h[order], c[order]
+
         offset = np.concatenate(([0], np.cumsum(bits)[:-1]))
-        return cls(sum(r.n for r in rows), sum(r.v for r in rows), blocks, tau, bits, offset, np.frombuffer(b"".join(filters), np.uint8), h[order], c[order])
+        table = np.frombuffer(b"".join(filters), np.uint8) if held else None
+        pairs = (None, None) if held else counts([r.pairs for r in rows])
+        return cls(sum(r.n for r in rows), sum(r.v for r in rows), blocks, tau, bits, offset, table, *counts([r.hot for r in rows]), *pairs)
 
     def level_of(self, h: np.ndarray, salt: np.uint64) -> np.ndarray:
-        """Probe level after level until one is missing."""
+        """Levels read from the broadcast filter."""
         block = (h % np.uint64(self.blocks)).astype(np.int64)
-        salted = h ^ salt
-        out = np.zeros(len(h), np.int64)
-        alive, level = np.arange(len(h)), 0
-        while len(alive):
-            level += 1
-            b = block[alive]
-            there = np.ones(len(alive), bool)
-            for at in _places(salted[alive], level, self.bits[b]):
-                at += self.offset[b]
-                there &= (self.filter[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-            alive = alive[there]
-            out[alive] = level
-        return out
+        return probe(self.filter, h ^ salt, self.bits[block], self.offset[block])
 
     def low(self, h: np.ndarray, q: np.ndarray) -> np.ndarray:
         """The least count of level q (0 for level 0)."""
@@ -269,11 +321,65 @@ class Model:
         return np.log10((seen + weight * p1[at]) / (before + weight))
 
 
+def _find(table: np.ndarray, counts: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of ``h`` is in the sorted table, and its count (0 if not)."""
+    if not len(table):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    i = np.minimum(np.searchsorted(table, h), len(table) - 1)
+    hit = table[i] == h
+    return hit, np.where(hit, counts[i], 0)
+
+
+def _ranges(first: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """first[0] .. first[0] + per[0] - 1, first[1] .. and so on."""
+    return np.repeat(first - (np.cumsum(per) - per), per) + np.arange(per.sum())
+
+
+def _pair_rows(p, v, w, qv, qw, per, local, tf, rk, blocks: int) -> Iterator[tuple[int, bytes]]:
+    """(block, payload) of pairs with their documents, by the block that each must go to next."""
+    per = per.astype(np.int64)
+    first = np.cumsum(per) - per
+    for b, at in _by_block(np.where(qv == UNKNOWN, v, np.where(qw == UNKNOWN, w, p)), blocks):
+        take = _ranges(first[at], per[at])
+        docs_here, places = np.unique(local[take], return_inverse=True)
+        yield b, _pack(p[at], v[at][qv[at] == UNKNOWN], w[at][qw[at] == UNKNOWN], rk[docs_here], *[x.astype(np.uint32) for x in (per[at], places, tf[take])], qv[at], qw[at])
+
+
+def _read_pairs(payload: bytes) -> list[np.ndarray]:
+    p, cold_v, cold_w, rk, per, local, tf, qv, qw = _unpack(payload, np.uint64, np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint32, np.uint8, np.uint8)
+    v, w = np.zeros_like(p), np.zeros_like(p)
+    v[qv == UNKNOWN], w[qw == UNKNOWN] = cold_v, cold_w
+    return [p, v, w, qv.copy(), qw.copy(), per.astype(np.int64), local.astype(np.int64), tf, rk]
+
+
+def _split_score(m: Model, h, starts, doc, words, at, is_hot, counts, rk) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """The texts' scores from hot words and pairs, and the other pairs by block."""
+    n_docs, total = len(rk), m.n + m.v + 1
+    q = np.where(is_hot, levels(counts, 1), UNKNOWN).astype(np.uint8)
+    score = np.bincount(doc, np.where(is_hot, word_logs(np.where(is_hot, q, 0), total), 0.0)[at], n_docs)
+    before = np.empty_like(at)
+    before[1:] = at[:-1]
+    before[starts] = np.searchsorted(words, END)
+    p, first, where = np.unique(mix64(words[before] * _PAIR + h), return_index=True, return_inverse=True)
+    v, w = before[first], at[first]
+    known, times = _find(m.pairs, m.pair_counts, p)
+    known &= is_hot[v] & is_hot[w]
+    more = np.zeros(len(p))
+    more[known] = pair_logs(levels(times[known], 1), q[v[known]], q[w[known]], total)
+    score += np.bincount(doc, more[where], n_docs)
+    mine = np.flatnonzero(~known[where])
+    key, tf = np.unique(where[mine].astype(np.int64) * n_docs + doc[mine], return_counts=True)
+    pair, local = key // n_docs, key % n_docs
+    uniq, per = np.unique(pair, return_counts=True)
+    v, w = v[uniq], w[uniq]
+    return score, list(_pair_rows(p[uniq], words[v], words[w], q[v], q[w], per, local, tf, rk, m.blocks))
+
+
 SCORED = "block int, kind string, payload binary, rk long, doc_id {id}, held_out boolean, n_tokens long, part double, known long, score double"
 
 
 def _score_rows(rows: DataFrame, held, kind: str) -> DataFrame:
-    """'doc' rows: hot words' share of the base score and the model's score; 'cold' rows: other words by block."""
+    """'doc' rows: hot words' share of the base score, and the model's score or its hot share; 'cold' and 'pair' rows: the others by block."""
     names = [x.split()[0] for x in SCORED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,12 +390,8 @@ def _score_rows(rows: DataFrame, held, kind: str) -> DataFrame:
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             doc = np.repeat(np.arange(len(texts)), sizes)
             n_docs = len(texts)
-            score = np.bincount(doc, m.log_probabilities(h, starts), n_docs)
             words, at = np.unique(h, return_inverse=True)
-            i = np.searchsorted(m.hot, words)
-            i[i == len(m.hot)] = 0
-            is_hot = m.hot[i] == words if len(m.hot) else np.zeros(len(words), bool)
-            counts = m.hot_counts[i] if len(m.hot) else np.zeros(len(words), np.int64)
+            is_hot, counts = _find(m.hot, m.hot_counts, words)
             logs = np.where(is_hot, np.log10(counts + 1.0), 0.0)
             part = np.bincount(doc, logs[at], n_docs)
             known = np.bincount(doc, is_hot[at].astype(float), n_docs).astype(np.int64)
@@ -300,6 +402,10 @@ def _score_rows(rows: DataFrame, held, kind: str) -> DataFrame:
                 batch_rows[id(b)][2].append(n)
             cols = [pa.concat_arrays([b.column(c).take(pa.array(ps)) for b, ps, _ in batch_rows.values()]) for c in (0, 2, 3)]
             rk = cols[1].to_numpy(zero_copy_only=False)
+            if m.filter is None:
+                score, pair_rows = _split_score(m, h, starts, doc, words, at, is_hot, counts, rk)
+            else:
+                score, pair_rows = np.bincount(doc, m.log_probabilities(h, starts), n_docs), []
             none = lambda t, k: pa.nulls(k, t)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((rk % m.blocks).astype(np.int32)), pa.array(["doc"] * n_docs), none(pa.binary(), n_docs), cols[1], cols[0], cols[2],
@@ -311,62 +417,127 @@ def _score_rows(rows: DataFrame, held, kind: str) -> DataFrame:
             uniq, first, per = np.unique(word, return_index=True, return_counts=True)
             ids, payloads = [], []
             for b, w in _by_block(words[uniq], m.blocks):
-                take = np.concatenate([np.arange(first[x], first[x] + per[x]) for x in w.tolist()])
+                take = _ranges(first[w], per[w])
                 docs_here, local = np.unique(d[take], return_inverse=True)
                 ids.append(b)
                 payloads.append(_pack(words[uniq[w]], per[w].astype(np.uint32), local.astype(np.uint32), tf[take].astype(np.uint32), rk[docs_here]))
+            said = ["cold"] * len(ids) + ["pair"] * len(pair_rows)
+            ids += [b for b, _ in pair_rows]
+            payloads += [x for _, x in pair_rows]
             k = len(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array(["cold"] * k, pa.string()), pa.array(payloads, pa.binary()), none(pa.int64(), k), none(cols[0].type, k),
+                [pa.array(ids, pa.int32()), pa.array(said, pa.string()), pa.array(payloads, pa.binary()), none(pa.int64(), k), none(cols[0].type, k),
                  none(pa.bool_(), k), none(pa.int64(), k), none(pa.float64(), k), none(pa.int64(), k), none(pa.float64(), k)], names=names)
 
     return rows.mapInArrow(run, SCORED.format(id=kind))
 
 
-def _settle(table: pa.Table) -> pa.Table:
-    """Within a block: the cold words' share of the base score per document; 'doc' rows pass through."""
-    import pyarrow.compute as pc
-
-    kinds = table.column("kind")
-    out = ["rk", "doc_id", "held_out", "n_tokens", "part", "known", "score"]
-    done = table.filter(pc.equal(kinds, "doc")).select(out)
-    counts = table.filter(pc.equal(kinds, "counts")).column("payload").to_pylist()
-    h, c = _unpack(counts[0], np.uint64, np.int64) if counts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    rks, parts, knowns = [], [], []
-    for payload in table.filter(pc.equal(kinds, "cold")).column("payload").to_pylist():
-        words, per, local, tf, rk = _unpack(payload, np.uint64, np.uint32, np.uint32, np.uint32, np.int64)
-        i = np.minimum(np.searchsorted(h, words), max(len(h) - 1, 0))
-        hit = h[i] == words if len(h) else np.zeros(len(words), bool)
-        count = np.repeat(np.where(hit, c[i], 0) if len(h) else np.zeros(len(words)), per)
-        rks.append(rk)
-        parts.append(np.bincount(local, tf * np.log10(count + 1.0), len(rk)))
-        knowns.append(np.bincount(local, tf * (count > 0), len(rk)).astype(np.int64))
-    if not rks:
-        return done
-    k = sum(map(len, rks))
-    cols = {"rk": pa.array(np.concatenate(rks)), "part": pa.array(np.concatenate(parts)), "known": pa.array(np.concatenate(knowns))}
-    cold = pa.table({n: cols.get(n, pa.nulls(k, table.schema.field(n).type)) for n in out})
-    return pa.concat_tables([done, cold.cast(done.schema)])
+SETTLED = "rk long, doc_id {id}, held_out boolean, n_tokens long, part double, known long, score double"
+
+
+def _settle(blocks: int, total: int, split: bool):
+    """A function of one block's rows: the cold words' shares per document; 'doc' rows pass through.
+
+    With ``split`` also the pairs' shares of the score, and 'pair' rows for those that go on to another block.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        kinds = table.column("kind")
+        out = ["rk", "doc_id", "held_out", "n_tokens", "part", "known", "score", *(["block", "kind", "payload"] if split else [])]
+        of = lambda kind: table.filter(pc.equal(kinds, kind))
+        done = of("doc").select(out)
+        counts = of("counts").column("payload").to_pylist()
+        h, c = _unpack(counts[0], np.uint64, np.int64) if counts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        rks, parts, knowns, scores = [], [], [], []
+        for payload in of("cold").column("payload").to_pylist():
+            words, per, local, tf, rk = _unpack(payload, np.uint64, np.uint32, np.uint32, np.uint32, np.int64)
+            found = _find(h, c, words)[1]
+            count = np.repeat(found, per)
+            rks.append(rk)
+            parts.append(np.bincount(local, tf * np.log10(count + 1.0), len(rk)))
+            knowns.append(np.bincount(local, tf * (count > 0), len(rk)).astype(np.int64))
+            if split:
+                scores.append(np.bincount(local, tf * np.repeat(word_logs(levels(found, 1), total), per), len(rk)))
+        onward = []
+        if split:
+            held = of("filter").column("payload").to_pylist()
+            bits = np.frombuffer(held[0], np.uint8) if held else np.zeros(8, np.uint8)
+            waiting = []
+            for payload in of("pair").column("payload").to_pylist():
+                p, v, w, qv, qw, per, local, tf, rk = _read_pairs(payload)
+                here = (qv != UNKNOWN) & (qw != UNKNOWN)
+                q = probe(bits, p[here] ^ _BIGRAM, np.full(here.sum(), 8 * len(bits)), np.zeros(here.sum(), np.int64))
+                each = np.zeros(len(p))
+                each[here] = pair_logs(q, qv[here], qw[here], total)
+                rks.append(rk)
+                scores.append(np.bincount(local, tf * np.repeat(each, per), len(rk)))
+                parts.append(np.zeros(len(rk)))
+                knowns.append(np.zeros(len(rk), np.int64))
+                ask_v = qv == UNKNOWN
+                ask_w = ~ask_v & (qw == UNKNOWN)
+                qv[ask_v] = levels(_find(h, c, v[ask_v])[1], 1)
+                qw[ask_w] = levels(_find(h, c, w[ask_w])[1], 1)
+                go = ~here & (qv > 0) & (qw > 0)  # a pair of a word that was never seen adds nothing
+                docs_of = np.repeat(go, per)
+                waiting.append([p[go], v[go], w[go], qv[go], qw[go], per[go], local[docs_of], tf[docs_of], rk])
+            if waiting:
+                shift = np.cumsum([0] + [len(x[8]) for x in waiting])
+                for x, n in zip(waiting, shift.tolist(), strict=False):
+                    x[6] = x[6] + n
+                onward = list(_pair_rows(*[np.concatenate(x) for x in zip(*waiting, strict=True)], blocks))
+        if not rks:
+            return done
+        rows, k = {}, sum(map(len, rks)) + len(onward)
+        for name, lists in (("rk", rks), ("part", parts), ("known", knowns), ("score", scores)):
+            if lists:
+                rows[name] = pa.concat_arrays([pa.array(np.concatenate(lists)), pa.nulls(len(onward), table.schema.field(name).type)])
+        if onward:
+            none = k - len(onward)
+            rows["block"] = pa.array([None] * none + [b for b, _ in onward], pa.int32())
+            rows["kind"] = pa.array([None] * none + ["pair"] * len(onward), pa.string())
+            rows["payload"] = pa.array([None] * none + [x for _, x in onward], pa.binary())
+        more = pa.table({n: rows.get(n, pa.nulls(k, table.schema.field(n).type)) for n in out})
+        return pa.concat_tables([done, more.cast(done.schema)])
+
+    return run
 
 
 def score_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held_out_fold: int = 2, max_bits: int = 1 << 28, hot_words: int = 1 << 19
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
+
+    ``max_bits`` bounds what is broadcast, not what the filter holds.
+    """
     spark = docs.sparkSession
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
     rows = keyed(docs, F.col(doc_id).alias("doc_id"), ascii_lower(F.col(text)).cast("binary").alias("text"), (fold == held_out_fold).alias("held_out"))
     rows = rows.select("doc_id", "text", "rk", "held_out")
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(8, -(-int(size) // BLOCK_BYTES))
-    merged = saved(merge_blocks(count_ngrams(rows.filter("not held_out"), blocks), blocks, max_bits, hot_words))
-    model = Model.gather(merged, blocks)
+    merged = saved(merge_blocks(count_ngrams(rows.filter("not held_out"), blocks), blocks, hot_words))
+    model = Model.gather(merged, blocks, max_bits)
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = _score_rows(rows, spark.sparkContext.broadcast(model), kind)
-    counts = merged.select("block", F.lit("counts").alias("kind"), F.col("cold").alias("payload"))
-    parts = scored.unionByName(counts, allowMissingColumns=True).groupBy("block")
-    parts = parts.applyInArrow(_settle, f"rk long, doc_id {kind}, held_out boolean, n_tokens long, part double, known long, score double")
-    whole = parts.groupBy("rk").agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "score")], F.sum("part").alias("part"), F.sum("known").alias("n_known"))
+    held = merged.select("block", F.lit("counts").alias("kind"), F.col("cold").alias("payload"))
+    settled = SETTLED.format(id=kind)
+    split = model.filter is None
+    settle = _settle(blocks, model.n + model.v + 1, split)
+    if split:
+        held = held.unionByName(merged.select("block", F.lit("filter").alias("kind"), F.col("filter").alias("payload")))
+        parts = None
+        for last in (False, False, True):  # the blocks of the word before, of the word and of the pair
+            step = scored.unionByName(held, allowMissingColumns=True).groupBy("block")
+            step = step.applyInArrow(settle, f"{settled}, block int, kind string, payload binary")
+            step = step if last else saved(step)
+            done = step.filter("rk is not null").drop("block", "kind", "payload")
+            parts = done if parts is None else parts.unionByName(done)
+            scored = step.filter("rk is null")
+    else:
+        parts = scored.unionByName(held, allowMissingColumns=True).groupBy("block").applyInArrow(settle, settled)
+    whole = parts.groupBy("rk").agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")], *[F.sum(c).alias(n) for c, n in (("score", "score"), ("part", "part"), ("known", "n_known"))])
     denominator = F.log10(F.lit(float(model.n + model.v + 1)))
     return whole.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),

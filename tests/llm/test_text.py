@@ -266,6 +266,22 @@ def test_lm_base_is_exact_and_model_predicts(spark):
     assert lm_score.score_documents(empty(spark)).count() == 0
 
 
+def test_lm_filter_holds_every_ngram_at_any_size(spark):
+    df = frame(spark, documents(size=150))
+    rows = lm_score.keyed(df, F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    merged = lm_score.merge_blocks(lm_score.count_ngrams(rows, 8), 8, 1 << 19)
+    assert {r.tau for r in merged.collect()} == {1}
+
+    def scores(**kw):
+        return sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm_score.score_documents(df, **kw).collect())
+
+    whole = scores()
+    for hot in (10, 200, 1 << 19):  # the filter stays in its blocks; it differs by false positives only
+        split = scores(max_bits=1 << 14, hot_words=hot)
+        assert [a[:2] for a in split] == [a[:2] for a in whole]
+        assert all(abs(a[2] - b[2]) < 0.02 * abs(b[2]) + 0.01 for a, b in zip(split, whole, strict=True))
+
+
 def test_filter_reads_levels_back():
     rng = np.random.default_rng(1)
     h, c = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(1, 2000, 3000)
