@@ -7,7 +7,9 @@ it has no fixed point: no value is left as it is.  As it is one-to-one, differen
 values get different surrogates and equal values equal ones, in all documents and
 tasks, without a table of what has been seen.  Check digits (cards, IBAN) are made
 anew, so valid values stay valid; a long number that fails the card check is no card.  Names keep title and
-gender: a known given name becomes another of its gender and script.
+gender: a known given name becomes another of its gender and script.  Each part of a name has
+one surrogate wherever it stands, and a text's names are replaced at later mentions too, whole
+or in part, without title or cue.
 
 :func:`surrogate_table` lists the distinct surrogates over all documents and
 :func:`collisions` checks them: two values with one surrogate, one value with two, or
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pandas as pd
@@ -230,13 +233,12 @@ class Surrogates:
         return head + self._shape("phone" + head, rest, lambda t: next((c for c in t if c.isdigit()), "0") in "01")
 
     def _name(self, v: str) -> str:
-        return " ".join(self._name_part(p, n == 0) for n, p in enumerate(v.split(" ")))
+        return " ".join(map(self._name_part, v.split(" ")))
 
-    def _name_part(self, part: str, first: bool) -> str:
-        if first:
-            for (gender, script), names in GIVEN.items():
-                if part in names:
-                    return names[self._perm(f"given|{gender}|{script}", len(names))(names.index(part))]
+    def _name_part(self, part: str) -> str:
+        for (gender, script), names in GIVEN.items():
+            if part in names:
+                return names[self._perm(f"given|{gender}|{script}", len(names))(names.index(part))]
         known = {n for names in GIVEN.values() for n in names}
         # A name that isn't listed must not turn into one that is: those are taken by the listed ones.
         return self._shape("name", part, lambda t: t in known)
@@ -269,16 +271,22 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
                         spans.append((KINDS.index(kind), a - b, a, b))
     taken: list[tuple[int, int, str]] = []
     spans = sorted(set(spans))
-    if len(spans) > 1:
-        from bisect import bisect_left, insort
-
-        for rank, _, a, b in spans:
-            i = bisect_left(taken, (a, b, ""))
-            if (i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b):
-                continue
-            insort(taken, (a, b, KINDS[rank]))
-        return taken
-    return [(a, b, KINDS[rank]) for rank, _, a, b in spans]
+    for rank, _, a, b in spans:
+        _take(taken, a, b, KINDS[rank])
+    names = {text[a:b] for a, b, kind in taken if kind == "name"}
+    if names:
+        names |= {part for name in names for part in name.split(" ")}
+        again = "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n))))
+        for m in re.finditer(rf"(?<!\w)(?:{again})(?!\w)", text):
+            _take(taken, *m.span(), "name")
+    return taken
+
+
+def _take(taken: list[tuple[int, int, str]], a: int, b: int, kind: str) -> None:
+    """Add a detection to the ordered ``taken`` unless it overlaps one of them."""
+    i = bisect_left(taken, (a, b, ""))
+    if not ((i and taken[i - 1][1] > a) or (i < len(taken) and taken[i][0] < b)):
+        taken.insert(i, (a, b, kind))
 
 
 def scrub(text: str | None, make: Surrogates) -> tuple:

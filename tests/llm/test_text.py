@@ -246,6 +246,17 @@ def test_entities_are_distinct_and_coreferent(spark):
     assert pii.entity_report(df, "k").agg(F.sum("n_collisions")).first()[0] is not None
 
 
+def test_later_mentions_of_a_name_are_replaced():
+    make = pii.Surrogates("k")
+    text = "Dr. Anna Keller wrote. Later Keller (Anna Keller) said that Anna's Kellerei, with Mr. Paul Martin, was Martin."
+    new, entities, _, _ = pii.scrub(text, make)
+    first, last = make.of("name", "Anna Keller").split(" ")
+    given, other = make.of("name", "Paul Martin").split(" ")
+    assert other != "Martin" and make.of("name", "Martin") == other
+    assert new == f"Dr. {first} {last} wrote. Later {last} ({first} {last}) said that {first}'s Kellerei, with Mr. {given} {other}, was {other}."
+    assert len(entities) == 6 and all(new[a:b] == s for a, b, _, s in entities)
+
+
 # --- language model ---
 
 
