@@ -587,17 +587,20 @@ def _(control, supplier, orders):
     return job.run(control.filter("etl_id < 10")).select("etl_id", "status", "n_rows")  # ten tables are the job's feature: one Spark job each
 
 
-RUN = "requisitions tracker attachments attachment_documents"
+RUN = "requisitions tracker run_attachments run_documents"
 
 
 @query("ingest_batch", RUN)
 def _(req, tracker, attachments, docs):
-    return D.ingest(req, tracker, attachments, docs, RUN_DATE)[2]
+    spark = req.sparkSession
+    _, _, batch = D.ingest(req, tracker, attachments, docs, RUN_DATE, n=None)
+    W.export_blobs(D.blobs_of(R.choose(req, tracker, n=None), attachments, docs), shared_folder(spark, "ingested"))
+    return batch
 
 
 @query("run_pipeline", f"{RUN} items item_vectors")
 def _(req, tracker, attachments, docs, items, vectors):
-    return D.run_pipeline(req, tracker, attachments, docs, items, vectors, RUN_DATE)[2]
+    return D.run_pipeline(req, tracker, attachments, docs, items, vectors, RUN_DATE, _rules_model, shared_folder(req.sparkSession, "run"))[2]
 
 
 @query("apply_results", "model_response classified", RECORDS_SQL + """, s AS (SELECT CAST(e->>'att_id' AS BIGINT) AS attachment_id, e->>'pr_no' AS req_no, e->>'doc_type' AS doc_type, coalesce(try_cast(e->>'classification_conf' AS DOUBLE), 0.0) AS confidence FROM recs)

@@ -57,6 +57,9 @@ TABLES: dict[str, str] = {
         case when o_orderkey % 6 = 3 then 'Event ID: 5' end, case when o_orderkey % 6 = 3 then 'BID Id: 8' end, case when o_orderkey % 6 = 3 then 'Participant: V2' end,
         case when o_orderkey % 6 = 4 then 'Supplier 1 | Supplier 2 | Supplier 3' end, case when o_orderkey % 6 = 4 then 'Bid comparison' end,
         o_orderpriority) as text from orders""",
+    "run_attachments": """select attachment_id, req_no from attachments union all select -1 - o_orderkey as attachment_id, req_no from requisitions""",
+    "run_documents": """select attachment_id, attachment_name, content from attachment_documents
+        union all select -1 - doc_id as attachment_id, concat('in/offers/f', cast(doc_id as string), '.txt') as attachment_name, text as content from offers""",
     "image_stats": """select page_id as file_id, cast(page_id % 1200 as int) as width, cast(page_id * 7 % 900 as int) as height,
         case when page_id % 13 = 0 then null else cast(page_id % 100 as double) / 100 end as bright_frac from pages""",
 }

@@ -20,11 +20,13 @@ def oldest(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def choose(requisitions: DataFrame, tracker: DataFrame, only: str | None = None, n: int = 10) -> DataFrame:
-    """The one named requisition, or the ``n`` oldest pending ones."""
+def choose(requisitions: DataFrame, tracker: DataFrame, only: str | None = None, n: int | None = 10) -> DataFrame:
+    """The one named requisition, or the ``n`` oldest pending ones (all without ``n``)."""
     name = (only or "").strip()
     if name:
         return requisitions.filter(F.col("req_no") == name).select("req_no")
+    if n is None:
+        return pending(requisitions, tracker).select("req_no")
     return oldest(pending(requisitions, tracker), n, "created_on", "req_no").select("req_no")
 
 

@@ -16,6 +16,7 @@ from reqflow.operators.classify import coverage_classify
 from reqflow.operators.merge import last_wins, upsert
 from reqflow.operators.reports import counts_per_requisition, ok_or_skipped, stage_lines, text_batch
 from reqflow.operators.vectors import batch_embed, nearest
+from reqflow.sources.publish import export_blobs
 
 
 def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", out: str = "answer") -> DataFrame:
@@ -51,6 +52,13 @@ def attachments_of(scope: DataFrame, attachments: DataFrame, documents: DataFram
     )
 
 
+def blobs_of(scope: DataFrame, attachments: DataFrame, documents: DataFrame) -> DataFrame:
+    """path, content of a run's attachments that have content."""
+    held = R.attachments_with_documents(R.in_scope(attachments, scope), documents.filter("content is not null"))
+    path = X.blob_path(F.col("req_no"), F.col("attachment_id"), F.col("attachment_name"))
+    return held.select(path.alias("path"), F.col("content").cast("binary").alias("content"))
+
+
 def classify_files(files: DataFrame, infer: Callable | None = None) -> DataFrame:
     """``files`` with doc_type and confidence: rules, or a model's answers; what can't be read is Others, 0.0."""
     capped = files.withColumn("text", F.substring("text", 1, X.CLASSIFY_CAP))
@@ -104,7 +112,7 @@ def benchmark_items(items: DataFrame, vectors: DataFrame, history: DataFrame, k:
     return price_benchmark(items, near, history, top).withColumn("summary", summary_text())
 
 
-def ingest(requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, run_date: str, n: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+def ingest(requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, run_date: str, n: int | None = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stages 1-3 of a run: the tracker after it, the run's files, and one text per requisition."""
     scope = R.choose(requisitions, tracker, n=n)
     moved = touch(tracker, scope, run_date)
@@ -174,18 +182,42 @@ def run_summary(scope: DataFrame, files: DataFrame, classified: DataFrame, items
     return stage_lines(stages)
 
 
-def run_pipeline(requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, n: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _aligned(items: DataFrame, like: DataFrame) -> DataFrame:
+    """``items`` with the columns of ``like`` it lacks, as nulls."""
+    return items.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema if f.name not in items.columns])
+
+
+def run_pipeline(
+    requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, infer: Callable, root: str, n: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All stages for the pending requisitions: the tracker after the run, the benchmarks, and the summary.
 
-    ``items`` are the extracted items with their selection and ``vectors`` the item
-    vectors (detail_id, req_group, vals); both cover all requisitions.
+    ``items`` and ``vectors`` (id, detail_id, req_group, vals) are the tables
+    before the run; ``infer`` reads items from quotations; files and the tables
+    between stages go below ``root``.
     """
-    scope = R.choose(requisitions, tracker, n=n)
-    _, files, _ = ingest(requisitions, tracker, attachments, documents, run_date, n)
-    classified = classify_files(files)
-    chosen = R.selected_items(R.in_scope(items, scope))
-    benchmarks = benchmark_items(chosen, vectors, items)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/tables/{name}")
+        return df.sparkSession.read.parquet(f"{root}/tables/{name}")
+
+    scope = kept(R.choose(requisitions, tracker, n=n), "scope")
+    moved = touch(tracker, scope, run_date)
+    files = kept(attachments_of(scope, attachments, documents), "files")
+    export_blobs(blobs_of(scope, attachments, documents), f"{root}/blobs")
+    classified = kept(classify_files(files), "classified")
+    typed = files.join(classified.select("req_no", "attachment_id", "doc_type"), ["req_no", "attachment_id"])
+    extracted = kept(extract_items(typed, infer), "extracted")
+    held = _aligned(items, extracted)
+    table = kept(replace_items(held, _aligned(extracted, held)), "items")
+    chosen = kept(R.selected_items(R.in_scope(table, scope)), "chosen")
+    embedded = kept(embed_selected(chosen)[0], "embedded")
+    columns = ["id", "detail_id", F.col("req_group").cast("string").alias("req_group"), F.col("vals").cast("array<float>").alias("vals")]
+    new = embedded.withColumnRenamed("req_no", "req_group").select(*columns)
+    index = kept(upsert(vectors.select(*columns), new, "id", ["detail_id", "req_group", "vals"]), "vectors")
+    benchmarks = kept(benchmark_items(chosen, index, table), "benchmarks")
     owned = chosen.select("req_no", "detail_id").distinct()
-    held = owned.join(vectors.select("detail_id"), "detail_id", "left_semi")
-    lines = run_summary(scope, files, classified, R.in_scope(items, scope), held, owned.join(benchmarks.filter("n_prices > 0").select("detail_id").distinct(), "detail_id", "left_semi"))
-    return set_stage(tracker, scope, R.COMPLETE, run_date), benchmarks, lines
+    with_vector = owned.join(embedded.select("detail_id"), "detail_id", "left_semi")
+    priced = owned.join(benchmarks.filter("n_prices > 0").select("detail_id").distinct(), "detail_id", "left_semi")
+    lines = run_summary(scope, files, classified, extracted, with_vector, priced)
+    return set_stage(moved, scope, R.COMPLETE, run_date), benchmarks, lines
