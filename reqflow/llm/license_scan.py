@@ -119,6 +119,8 @@ STATEMENTS = (
     ("gpl-3.0", "gplv3", r"gplv3", 3),
     ("lgpl-2.1", "lgplv2", r"lgplv2(?: 1)?", 3),
     ("lgpl-3.0", "lgplv3", r"lgplv3", 3),
+    ("gpl", "gplv1", r"(?:gnu )?gplv1", 4),
+    ("agpl", "agplv3", r"(?:gnu )?agplv3", 4),
     ("mpl-2.0", "mpl", r"mpl 2 0", 4),
     ("cc-by", "cc", r"cc by(?: [1-4] [05])?", 4),
     ("cc-by-sa", "cc", r"cc by sa(?: [1-4] [05])?", 3),

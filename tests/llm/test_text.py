@@ -193,6 +193,45 @@ def test_license_rules_hold_their_keyword_and_containment_suppresses(spark):
 # --- personal data ---
 
 
+def _sample(tree, rng: random.Random) -> str:
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, x = rng.choice([a for a in arg if str(a[0]) in ("LITERAL", "RANGE")])
+            out += chr(x if str(kind) == "LITERAL" else rng.randint(*x))
+        elif name == "BRANCH":
+            out += _sample(rng.choice(arg[1]), rng)
+        elif name == "SUBPATTERN":
+            out += _sample(arg[-1], rng)
+        elif name == "MAX_REPEAT":
+            low, high, sub = arg
+            out += "".join(_sample(sub, rng) for _ in range(rng.randint(low, min(high, low + 2))))
+        else:
+            raise AssertionError(name)
+    return out
+
+
+def test_license_keywords_lose_no_match_of_their_rules(spark):
+    import re
+
+    rng = random.Random(3)
+    lost = set()
+    for rule in license_scan.RULES:
+        for _ in range(40):
+            text = _sample(re._parser.parse(rule.pattern), rng)
+            words = text.split(" ")
+            met = [r for r in license_scan.RULES if r.keyword in words and re.search(rf"(?<= )(?:{r.pattern})(?= )", f" {text} ")]
+            if rule.keyword not in words and not met:
+                lost.add((rule.keyword, text))
+    assert not lost
+    df = frame(spark, [(1, "licensed under AGPLv3", None, None, 0), (2, "under the GPLv1.", None, None, 0)])
+    got = {r.doc_id: (r.labels, r.score > 0) for r in license_scan.scan_licenses(df).collect()}
+    assert got == {1: ("agpl", True), 2: ("gpl", True)}
+
+
 def test_permutations_have_no_fixed_point():
     for size in (2, 3, 10, 97, 1000):
         p = pii.Permutation(b"k" * 32, "t", size)
