@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,21 +40,77 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(df: DataFrame, *cols: Column) -> DataFrame:
-    """The given columns plus ``rk``, a key of the input row.
-
-    ``doc_id`` may be null or repeated, so it can't serve as a key.  The number
-    follows from the scan's partition and the row's place in it, so a task that
-    is run again gives the same keys.
+#: A row's key holds its file's number above these bits and its place in the file below.
+PLACE_BITS = 36
+#: Paths and numbers of up to so many files are broadcast (some 100 bytes each).
+MAX_BROADCAST_FILES = 200_000
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is files read, with deterministic filters and projections at most: only then is a row's place a key."""
+    if "_metadata" in map(str.lower, df.columns) or not hasattr(df, "_jdf"):
+        return False
+    plan = df._jdf.queryExecution().analyzed()
+    while True:
+        kind, below = plan.nodeName(), plan.children()
+        if kind.startswith(("LogicalRelation", "Relation")) and not below.size():
+            break
+        if kind not in ("Project", "Filter", "SubqueryAlias", "View") or below.size() != 1 or not plan.deterministic():
+            return False
+        plan = below.head()
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
+def keyed_rows(df: DataFrame) -> DataFrame:
+    """``row`` (a struct of all columns) and ``rk``, a key of the input row that is the same in every scan.
+
+    ``doc_id`` may be null or repeated, so it can't serve as a key, and numbers
+    made while scanning follow the splits, which change with the executors at
+    hand.  Of a file scan the key is the file's number (in order of the paths) and
+    the row's place in the file.  Anything else is written once to the shared
+    folder, with a number, and read from there.
     """
-    small_batches(df.sparkSession)
-    return df.select(*cols, F.monotonically_increasing_id().alias("rk"))
+    spark = df.sparkSession
+    small_batches(spark)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    if not _is_scan(df):
+        path = shared_path(spark, "keyed")
+        df.select(row, F.monotonically_increasing_id().alias("rk")).write.parquet(path)
+        return spark.read.parquet(path)
+    place = F.col("_metadata.row_index")
+    # One path per file of the table, which the driver lists for any scan.
+    paths = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+    if len(paths) < 2:
+        return df.select(row, place.alias("rk"))
+    numbers = spark.createDataFrame(pa.table({"file__": paths, "number__": pa.array(range(len(paths)), pa.int64())}))
+    numbers = F.broadcast(numbers) if len(paths) <= MAX_BROADCAST_FILES else numbers
+    rows = df.select(row, F.col("_metadata.file_path").alias("file__"), place.alias("place__")).join(numbers, "file__")
+    return rows.select("row", (F.shiftleft("number__", PLACE_BITS) + F.col("place__")).alias("rk"))
+
+
+def keyed(df: DataFrame, *cols: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+    """The given columns, made by functions of a column look-up, plus ``rk`` (see :func:`keyed_rows`)."""
+    return columns_of(keyed_rows(df), *cols)
+
+
+def columns_of(rows: DataFrame, *cols: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+    """Columns of :func:`keyed_rows`' rows, made by functions of a column look-up, plus ``rk``."""
+    look_up = lambda name: F.col("row")[name]
+    return rows.select(*[c(look_up) for c in cols], "rk")
 
 
 def ensure_shared_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; make one only where none is set."""
+    """Use the cluster's ``spark.checkpoint.dir``; make one only where none is set and all runs on this machine."""
     if spark.sparkContext.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-ckpt-")
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="spark-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
 
 
@@ -64,30 +122,35 @@ def saved(df: DataFrame) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    import uuid
-
     ensure_shared_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
+def hot_keys(groups: DataFrame, key: str, size: str) -> list:
+    """Keys of the groups with more than ``HOT_SHARE`` of all rows: at most 512."""
+    top = groups.select(key, size).orderBy(F.desc(size)).limit(int(1 / HOT_SHARE)).collect()
+    if not top or top[0][1] <= MIN_HOT:
+        return []
+    total = groups.agg(F.sum(size)).first()[0]
+    return [k for k, n in top if n > max(MIN_HOT, total * HOT_SHARE)]
+
+
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str | None, how: str = "left", hot: list | None = None) -> DataFrame:
     """Join ``rows`` to one row per group without gathering a hot group in one task.
 
-    ``groups`` has ``key``, ``size`` (rows in the group) and further columns,
-    none of which ``rows`` has except ``key``.  Groups over ``HOT_SHARE`` of all
-    rows - at most 512, whose keys the driver collects - are repeated ``SALTS``
-    times and their rows spread over the copies; rows whose key is null are
+    ``groups`` has ``key``, ``size`` (rows in the group; not needed where ``hot`` keys are given) and
+    further columns, none of which ``rows`` has except ``key``.  Hot groups (see :func:`hot_keys`) are
+    repeated ``SALTS`` times and their rows spread over the copies; rows whose key is null are
     spread too.  It is one shuffle join at any size.
     """
     extra = [c for c in groups.columns if c != key]
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = [r[0] for r in groups.filter((F.col(size) > total * HOT_SHARE) & (F.col(size) > MIN_HOT)).select(key).collect()]
+    hot = hot_keys(groups, key, size) if hot is None else hot
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)).cast("int")
-    keyed_rows = rows.withColumns({"key__": F.col(key), "salt__": F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)})
+    spread = rows.withColumns({"key__": F.col(key), "salt__": F.when(is_hot | F.col(key).isNull(), salt).otherwise(0)})
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copies = groups.select(F.col(key).alias("key__"), F.struct(*extra).alias("group__"), F.explode(salts).alias("salt__"))
-    joined = keyed_rows.join(copies, ["key__", "salt__"], how)
+    joined = spread.join(copies, ["key__", "salt__"], how)
     return joined.select(*rows.columns, *[F.col(f"group__.{c}").alias(c) for c in extra])
 
 

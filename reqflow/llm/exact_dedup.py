@@ -13,10 +13,10 @@ Texts are compared after lower-casing A-Z.
 
 Defined results: null counts as empty, and all empty texts are equal; of equal
 texts the row with the largest doc_id stays (null ids are smallest; of rows that
-repeat an id, the first read); an empty table gives an empty table; extra
+repeat an id, the first in order of files and places); an empty table gives an empty table; extra
 columns, whatever their names, are passed through by :func:`drop_copies` and not
-read otherwise.  The input is read more than once and must be a stable scan,
-such as a Parquet table.
+read otherwise.  The input is read more than once, by keys that don't depend on how it
+is split (see :func:`reqflow.llm.common.keyed_rows`).
 """
 
 from __future__ import annotations
@@ -30,11 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqflow.llm.common import ascii_lower, attach_groups, keyed, saved
+from reqflow.llm.common import ascii_lower, attach_groups, columns_of, keyed_rows, saved
 
 MIN_CHUNK, MAX_CHUNK, AVERAGE_BITS = 512, 16_384, 11
-#: Bits of the filter that says whose chunks need verifying; a fuller filter only moves more chunks.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that says whose chunks need verifying: per recipe that occurs more than once, and at most.
+#: Beyond the bound it is fuller and more chunks are moved; the result is the same.
+BITS_PER_RECIPE, MAX_FILTER_BITS = 16, 1 << 30
 #: Dropped rows are broadcast up to this many (8 bytes each), joined by shuffle beyond.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -76,19 +77,21 @@ def _recipes(docs: DataFrame, strong: bool, bits: int) -> DataFrame:
             recipes = [b"".join(map(name, cut(t))) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(2), b.column(0), pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array(recipes, pa.binary()),
-                 pa.array([xxhash.xxh3_64_intdigest(r) % FILTER_BITS for r in recipes], pa.int64())],
-                names=["rk", "doc_id", "text_sha256", "recipe", "slot"],
+                 pa.array([xxhash.xxh3_64_intdigest(r) >> 1 for r in recipes], pa.int64())],
+                names=["rk", "doc_id", "text_sha256", "recipe", "recipe_hash"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"rk long, doc_id {kind}, text_sha256 string, recipe binary, slot long")
+    return docs.mapInArrow(run, f"rk long, doc_id {kind}, text_sha256 string, recipe binary, recipe_hash long")
 
 
 def _ambiguous(docs: DataFrame, shared: DataFrame, strong: bool, bits: int) -> DataFrame:
     """Identifiers that stand for more than one byte string among documents with shared recipes."""
-    words = shared.select((F.col("slot") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
-    for part in words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toLocalIterator():  # at most FILTER_BITS / 64 rows
+    size = min(MAX_FILTER_BITS, 64 << max(0, (shared.count() * BITS_PER_RECIPE // 64).bit_length()))
+    slots = shared.select((F.col("recipe_hash") % size).alias("slot"))
+    words = slots.select((F.col("slot") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
+    table = np.zeros(size // 64, np.uint64)
+    for part in words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toLocalIterator():  # at most size / 64 rows
         table[part.word] = np.uint64(part.bit & 0xFFFFFFFFFFFFFFFF)
     held = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -98,7 +101,7 @@ def _ambiguous(docs: DataFrame, shared: DataFrame, strong: bool, bits: int) -> D
             ids, chunks = [], []
             for t in b.column(1).to_pylist():
                 parts = cut(t)
-                slot = xxhash.xxh3_64_intdigest(b"".join(map(name, parts))) % FILTER_BITS
+                slot = (xxhash.xxh3_64_intdigest(b"".join(map(name, parts))) >> 1) % size
                 if not int(bit_of[slot // 64]) >> (slot % 64) & 1:
                     continue
                 for c in parts:
@@ -115,20 +118,25 @@ def _ambiguous(docs: DataFrame, shared: DataFrame, strong: bool, bits: int) -> D
     return chunks.groupBy("id").count().filter("count > 1")
 
 
-def chunk_recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
-    """rk, doc_id, text_sha256, recipe, with verified identifiers; ``bits`` shortens the hash in tests."""
-    narrow = keyed(docs, F.col(doc_id).alias("doc_id"), ascii_lower(F.col(text)).cast("binary").alias("text"))
+def chunk_recipes(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
+    """rk, doc_id, text_sha256, recipe, with verified identifiers, of keyed rows; ``bits`` shortens the hash in tests."""
+    narrow = columns_of(rows, lambda c: c(doc_id).alias("doc_id"), lambda c: ascii_lower(c(text)).cast("binary").alias("text"))
     for strong in (False, True):
         recipes = saved(_recipes(narrow, strong, bits))
-        shared = recipes.groupBy("recipe", "slot").count().filter("count > 1").select("slot")
+        shared = saved(recipes.groupBy("recipe", "recipe_hash").count().filter("count > 1").select("recipe_hash"))
         if strong or _ambiguous(narrow, shared, strong, bits).isEmpty():
             break
-    return recipes.drop("slot")
+    return recipes.drop("recipe_hash")
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
     """rk, doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
-    rows = chunk_recipes(docs, doc_id, text, bits)
+    return groups_of(keyed_rows(docs), doc_id, text, bits)
+
+
+def groups_of(rows: DataFrame, doc_id: str, text: str, bits: int = 64) -> DataFrame:
+    """:func:`exact_groups` of keyed rows."""
+    rows = chunk_recipes(rows, doc_id, text, bits)
     best = F.max(F.struct(F.col("doc_id"), (-F.col("rk")).alias("neg")))
     groups = rows.groupBy("recipe").agg(F.count("*").alias("group_size"), best.alias("best")).filter("group_size > 1")
     groups = saved(groups.select("recipe", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.neg")).alias("keep_rk")))
@@ -144,16 +152,16 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bi
     )
 
 
-def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose key (see :func:`keyed`) is in ``dropped.rk``; all columns kept."""
-    packed = keyed(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+def drop_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents of keyed rows whose key isn't in ``dropped.rk``; all columns kept."""
     few = dropped.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return packed.join(F.broadcast(dropped) if few else dropped, "rk", "left_anti").select("row.*")
+    return rows.join(F.broadcast(dropped) if few else dropped, "rk", "left_anti").select("row.*")
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    return drop_rows(docs, saved(exact_groups(docs, doc_id, text).filter("not kept").select("rk")))
+    rows = keyed_rows(docs)
+    return drop_rows(rows, saved(groups_of(rows, doc_id, text).filter("not kept").select("rk")))
 
 
 def op9_exact_dedup(spark, sf_dir):

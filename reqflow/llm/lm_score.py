@@ -1,35 +1,30 @@
 """Language-model scores from a log-frequency Bloom filter, and exact unigram scores.
 
-Training texts give word and word-pair counts: each task counts runs of tokens
-with numpy and sends (hash, count) lists, one per block of the hash space; blocks
-follow the input's size, and no list grows with a word's frequency.  A block's
-counts are merged, quantised on a log scale and put into its part of a Bloom
-filter: an n-gram of level q is entered as (n-gram, 1) ... (n-gram, q).  The parts are
-sized from the counted entries, so every n-gram is held at every size.  A count is
-read back by probing levels until one is missing.
-
-While the filter has at most ``max_bits`` it is broadcast.  A larger one stays in its
-blocks, and the documents' word pairs are sent there.  For that the score is split:
-what a pair that was never seen would get is a sum over words, known from the words'
-levels alone; a pair that was seen adds a term that needs the levels of the pair and
-of both words.  Hot words and pairs are scored where the text is.  Any other pair goes
-to the block of each word whose level isn't known yet, then to its own.
+Counts of words and word pairs are quantised on a log scale, and an n-gram of
+level q is entered in a Bloom filter as (n-gram, 1) ... (n-gram, q).  A level is read
+back by probing until one is missing.  The filter is sized from what is entered, so
+every n-gram of the training texts is held at every size.
+
+Up to ``max_bits`` - a bound that follows from the number of training tokens alone,
+see :func:`most_bits` - the filter is built by blocks of the hash space, gathered,
+and broadcast with the exact word counts; documents are scored where they are read.
+
+A larger filter isn't broadcast but stays in its blocks, and the n-grams come to
+it (:mod:`reqflow.llm.ask`): each run of documents sends every block its distinct words and pairs, with
+their counts in its training texts.  The block merges the counts, builds its part of the
+filter, probes it for every n-gram it was sent and sends levels and exact word counts
+back to the runs.  Texts are read and tokenised once.  A run sends one list to each block in
+which it has an n-gram; pairs are named by 40 bits within their block.
 
 ``score`` sums log10 P(w | v) = log10 ((c(vw) + m p(w)) / (c(v) + m)) with
-m = MU + MU_SHARE c(v) and p(w) = (c(w) + 1) / (N + V + 1); counts above are read as the lower end of their
-level and c(v) as the upper one, so that the probabilities sum to at most 1 but
-for the filter's false positives.
-
-``base_score`` is exact.  Each block's most frequent words (at most ``hot_words``
-in all) are broadcast with their counts; the other words of a document are sent
-to their block as lists of (word, documents, frequencies) and meet the exact counts
-there; a word that isn't hot makes up a bounded share of its block.
+m = MU + MU_SHARE c(v) and p(w) = (c(w) + 1) / (2 N + 1), N training tokens; counts above
+are read as the lower end of their level and c(v) as the upper one, so that the probabilities
+sum to at most 1 but for the filter's false positives.  ``base_score`` is exact.
 
 Defined results: null and empty texts hold one token, the end; long texts are
 scored whole; a null doc_id counts as the empty string and is in training;
 repeated rows count and are scored each; an empty table gives an empty table;
-extra columns are never read.  The input is read more than once and must be a
-stable scan, such as a Parquet table.
+extra columns are never read.
 """
 
 from __future__ import annotations
@@ -42,20 +37,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqflow.llm.ask import ask, block_slices, column, joined, pack, parted, rows_as_bytes, rows_from_bytes, runs_of, unpack
 from reqflow.llm.common import WordHasher, ascii_lower, keyed, mix64, saved
 
 BETA = 1.2
 MU, MU_SHARE = 1.0, 4.0
 PROBES = 4
 BITS_PER_ENTRY = 10
-#: Tokens that a task gathers before it sends its lists; text bytes per block.
-RUN_TOKENS = 500_000
-BLOCK_BYTES = 24_000_000
+#: Tokens in a run of documents; text bytes per block.
+RUN_TOKENS = 1_000_000
+BLOCK_BYTES = 16_000_000
+#: Bits that tell the pairs of a block apart.
+PAIR_BITS = 40
+WORD = r"[^\x20\x09-\x0D]+"
 END = np.uint64(0x5EED0F7E47E4D000)
 _PAIR, _STEP, _PROBE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
-_UNIGRAM, _BIGRAM = np.uint64(0x1B), np.uint64(0x2B)
-#: Stands for a word's level that isn't known yet; the largest level of a 63-bit count is 240.
-UNKNOWN = np.uint8(255)
+_UNIGRAM, _BIGRAM = np.uint64(0x1B00000000000000), np.uint64(0x2B00000000000000)
 
 _hasher = WordHasher()
 
@@ -69,480 +66,312 @@ def tokens(text: bytes) -> np.ndarray:
     return out
 
 
-def pairs(h: np.ndarray) -> np.ndarray:
-    """Hashes of (previous token, token); the end stands before the first."""
-    before = np.empty_like(h)
-    before[0] = END
-    before[1:] = h[:-1]
-    return mix64(before * _PAIR + h)
-
-
-def _pack(*arrays: np.ndarray) -> bytes:
-    """The arrays byte plane by byte plane, compressed: sorted hashes and small numbers have planes that hardly vary."""
-    sizes = np.array([len(a) for a in arrays], np.int64)
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
-    data = sizes.tobytes() + b"".join(planes)
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
+class Run:
+    """Documents' tokens: distinct words (sorted hashes), each token's word, and each text's size."""
 
-def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
-    data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    at, out = 8 * len(kinds), []
-    for n, kind in zip(np.frombuffer(data, np.int64, len(kinds)).tolist(), kinds, strict=True):
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
-        at += n * width
-    return out
+    def __init__(self, words: np.ndarray, at: np.ndarray, sizes: np.ndarray):
+        self.words, self.at, self.sizes = words, at, sizes
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        before = np.empty_like(at)
+        before[1:] = at[:-1]
+        before[np.cumsum(sizes) - sizes] = np.searchsorted(words, END)  # the end stands before the first
+        self.before = before
 
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> Run:
+        words, at = np.unique(np.concatenate(texts), return_inverse=True)
+        return cls(words, at, np.array([len(t) for t in texts]))
+
+    def pairs(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the distinct pairs - block, then PAIR_BITS bits - sorted; a place of each, and each token's pair."""
+        h = mix64(self.words[self.before] * _PAIR + self.words[self.at])
+        return np.unique(h >> np.uint64(64 - PAIR_BITS - bits), return_index=True, return_inverse=True)
+
+    def pack(self) -> bytes:
+        """Words by frequency, so that the tokens' numbers are small."""
+        often = np.argsort(-np.bincount(self.at, minlength=len(self.words)), kind="stable")
+        rank = np.empty(len(often), np.uint32)
+        rank[often] = np.arange(len(often), dtype=np.uint32)
+        return pack(self.words[often], rank[self.at], self.sizes.astype(np.int64))
 
-def _by_block(h: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of ``h`` by block, in order within each."""
-    block = (h % np.uint64(blocks)).astype(np.int64)
-    order = np.argsort(block, kind="stable")
-    ends = np.searchsorted(block[order], np.arange(blocks + 1))
-    for b in range(blocks):
-        if ends[b + 1] > ends[b]:
-            yield b, order[ends[b] : ends[b + 1]]
-
-
-def _runs(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """(rows, token arrays) of about RUN_TOKENS tokens each; rows are (batch, place)."""
-    rows, held, size = [], [], 0
-    for b in batches:
-        for i, t in enumerate(b.column(column)):
-            h = tokens(t.as_py())
-            rows.append((b, i))
-            held.append(h)
-            size += len(h)
-            if size >= RUN_TOKENS:
-                yield rows, held
-                rows, held, size = [], [], 0
-    if rows:
-        yield rows, held
-
-
-def count_ngrams(train: DataFrame, blocks: int) -> DataFrame:
-    """block, kind ('uni' or 'bi'), payload (hashes, counts) from rows of ``text``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _runs(batches, 0):
-            out = []
-            for kind, h in (("uni", np.concatenate(held)), ("bi", np.concatenate([pairs(x) for x in held]))):
-                values, counts = np.unique(h, return_counts=True)
-                out += [(b, kind, _pack(values[at], counts[at].astype(np.uint32))) for b, at in _by_block(values, blocks)]
-            ids, kinds, payloads = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(kinds), pa.array(payloads, pa.binary())], names=["block", "kind", "payload"])
-
-    return train.select("text").mapInArrow(run, "block int, kind string, payload binary")
-
-
-def _merge(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [_unpack(p, np.uint64, np.uint32) for p in payloads]
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h, c = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64)
-    order = np.argsort(h, kind="stable")
-    h, c = h[order], c[order]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    return h[first], np.add.reduceat(c, first)
-
-
-def levels(counts: np.ndarray, tau: int) -> np.ndarray:
-    """Level 1, 2, ... of counts of at least ``tau``; 0 below."""
-    q = np.floor(np.log(np.maximum(counts, 1) / tau) / np.log(BETA) + 1e-9).astype(np.int64) + 1
-    return np.where(counts >= tau, q, 0)
-
-
-def _least(q: np.ndarray) -> np.ndarray:
+    @classmethod
+    def unpack(cls, data: bytes) -> Run:
+        words, at, sizes = unpack(data, np.uint64, np.uint32, np.int64)
+        order = np.argsort(words)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return cls(words[order], place[at], sizes)
+
+    def questions(self, bits: int, training: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(block, packed words, their training counts, pairs, theirs); ``training`` says which texts count."""
+        counted = training[self.doc].astype(np.float64)
+        uni = np.bincount(self.at, counted, len(self.words)).astype(np.uint32)
+        keys, _, where = self.pairs(bits)
+        bi = np.bincount(where, counted, len(keys)).astype(np.uint32)
+        w = dict(block_slices(word_block(self.words, bits)))
+        p = dict(block_slices(keys >> np.uint64(PAIR_BITS)))
+        rest, none = keys & np.uint64((1 << PAIR_BITS) - 1), slice(0, 0)
+        for b in sorted(w.keys() | p.keys()):
+            i, j = w.get(b, none), p.get(b, none)
+            yield b, pack(self.words[i], uni[i], rest[j], bi[j])
+
+
+def word_block(words: np.ndarray, bits: int) -> np.ndarray:
+    return words >> np.uint64(64 - bits)
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Level 1, 2, ... of counts; 0 of 0."""
+    q = np.floor(np.log(np.maximum(counts, 1)) / np.log(BETA) + 1e-9).astype(np.int64) + 1
+    return np.where(counts > 0, q, 0)
+
+
+def least_count(q: np.ndarray) -> np.ndarray:
     """The least count of level q (0 for level 0)."""
     return np.where(q > 0, np.ceil(BETA ** (q - 1.0) - 1e-6), 0.0)
 
 
-def _most(q: np.ndarray) -> np.ndarray:
+def most_count(q: np.ndarray) -> np.ndarray:
     """The largest count of level q."""
     return np.ceil(BETA ** q.astype(float) - 1e-6) - 1
 
 
-def word_logs(q: np.ndarray, total: int) -> np.ndarray:
-    """A word's share of the score, as a text's word and as the word before: pairs that were never seen need no more."""
-    before = _most(q)
-    weight = MU + MU_SHARE * before
-    return np.log10(weight * (_least(q) + 1.0) / total) - np.log10(before + weight)
-
-
-def pair_logs(q: np.ndarray, qv: np.ndarray, qw: np.ndarray, total: int) -> np.ndarray:
-    """What a pair of level q adds, from the levels of its words."""
-    before = _most(qv)
-    seen = np.minimum(np.minimum(_least(q), before), _most(qw))
-    return np.log10(1.0 + seen * total / ((MU + MU_SHARE * before) * (_least(qw) + 1.0)))
+def most_bits(n: int) -> int:
+    """A bound of the filter's bits for ``n`` training tokens: no level is more than 7/3 of its count, and there are two n-grams a token."""
+    return -(-14 * n // 3) * BITS_PER_ENTRY
 
 
 def _times(n: int, step: np.uint64) -> np.uint64:
     return np.uint64(n * int(step) & 0xFFFFFFFFFFFFFFFF)
 
 
-def _places(h: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndarray]:
+def _places(h: np.ndarray, level: int, size) -> Iterator[np.ndarray]:
     x = mix64(h + _times(level, _STEP))
     for i in range(PROBES):
-        yield (mix64(x + _times(i, _PROBE)) % size.astype(np.uint64)).astype(np.int64)
-
-
-def build_filter(grams: list[tuple[np.ndarray, np.ndarray]], max_bits: int) -> tuple[int, int, bytes]:
-    """tau, bits and bytes of one block's filter; ``grams`` are (salted hashes, counts)."""
-    h, c = np.concatenate([g[0] for g in grams]), np.concatenate([g[1] for g in grams])
-    tau = 1
-    while (entries := int(levels(c, tau).sum())) * BITS_PER_ENTRY > max_bits:
-        tau += max(1, tau // 8)
-    size = max(64, -(-entries * BITS_PER_ENTRY // 64) * 64)
-    table = np.zeros(size, bool)
-    q = levels(c, tau)
+        yield (mix64(x + _times(i, _PROBE)) % np.asarray(size, np.uint64)).astype(np.int64)
+
+
+def build_filter(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bits of a filter (packed) that holds the levels of the salted hashes."""
+    q = levels(counts)
+    table = np.zeros(max(64, -(-int(q.sum()) * BITS_PER_ENTRY // 64) * 64), bool)
     h, q = h[q > 0], q[q > 0]
     level = 1
     while len(h):
-        for at in _places(h, level, np.full(len(h), size)):
+        for at in _places(h, level, len(table)):
             table[at] = True
         level += 1
         h, q = h[q >= level], q[q >= level]
-    return tau, size, np.packbits(table, bitorder="little").tobytes()
+    return np.packbits(table, bitorder="little")
 
 
-def probe(table: np.ndarray, salted: np.ndarray, size: np.ndarray, offset: np.ndarray) -> np.ndarray:
+def probe(table: np.ndarray, h: np.ndarray, size: np.ndarray | int, offset: np.ndarray | int = 0) -> np.ndarray:
     """Levels read from a filter: probe level after level until one is missing."""
-    out = np.zeros(len(salted), np.int64)
-    alive, level = np.arange(len(salted)), 0
+    out = np.zeros(len(h), np.int64)
+    alive, level = np.arange(len(h)), 0
+    of = lambda x: x if np.isscalar(x) else x[alive]
     while len(alive):
         level += 1
         there = np.ones(len(alive), bool)
-        for at in _places(salted[alive], level, size[alive]):
-            at += offset[alive]
+        for at in _places(h[alive], level, of(size)):
+            at += of(offset)
             there &= (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         alive = alive[there]
         out[alive] = level
     return out
 
 
-def merge_blocks(counted: DataFrame, blocks: int, hot_words: int) -> DataFrame:
-    """One row per block: n, v (tokens and distinct words), tau, bits, filter, hot and cold word counts, hot pair counts."""
-    keep = -(-hot_words // blocks)
+class Block:
+    """A block's merged counts and its part of the filter."""
+
+    def __init__(self, questions: list[bytes]):
+        self.parts = [unpack(q, np.uint64, np.uint32, np.uint64, np.uint32) for q in questions]
+        self.words, self.word_at, self.word_counts = self._merge(0)
+        self.pairs, self.pair_at, self.pair_counts = self._merge(2)
+        self.filter = build_filter(np.concatenate((self.words ^ _UNIGRAM, self.pairs ^ _BIGRAM)), np.concatenate((self.word_counts, self.pair_counts)))
+
+    def _merge(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, at = np.unique(np.concatenate([p[i] for p in self.parts]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([p[i + 1] for p in self.parts]).astype(np.float64), len(values))
+        return values, at, counts.astype(np.int64)
+
+    def figures(self) -> tuple[int, int]:
+        """Training tokens and distinct training words."""
+        return int(self.word_counts.sum()), int((self.word_counts > 0).sum())
+
+    def answers(self) -> list[bytes]:
+        """For each question: exact counts and levels of its words, levels of its pairs."""
+        size = 8 * len(self.filter)
+        word_levels = probe(self.filter, self.words ^ _UNIGRAM, size).astype(np.uint8)
+        pair_levels = probe(self.filter, self.pairs ^ _BIGRAM, size).astype(np.uint8)
+        out, i, j = [], 0, 0
+        for p in self.parts:
+            w, q = self.word_at[i : i + len(p[0])], self.pair_at[j : j + len(p[2])]
+            i, j = i + len(p[0]), j + len(p[2])
+            out.append(pack(self.word_counts[w], word_levels[w], pair_levels[q]))
+        return out
+
+
+def document_scores(run: Run, first, where, counts, word_levels, pair_levels, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per document: tokens that are known, sum of log10(c + 1), and the model's log10 probability."""
+    docs = len(run.sizes)
+    known = np.bincount(run.doc, (counts > 0)[run.at].astype(float), docs).astype(np.int64)
+    part = np.bincount(run.doc, np.log10(counts + 1.0)[run.at], docs)
+    v, w = run.before[first], run.at[first]
+    upper, lower = most_count(word_levels), least_count(word_levels)
+    before = upper[v]
+    seen = np.minimum(np.minimum(least_count(pair_levels), before), upper[w])  # no more than either word, should a probe be wrong
+    weight = MU + MU_SHARE * before
+    logs = np.log10((seen + weight * (lower[w] + 1.0) / (2.0 * n + 1.0)) / (before + weight))
+    return known, part, np.bincount(run.doc, logs[where], docs)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], Run, np.ndarray]]:
+    """Runs of (text, doc_id, held_out, rk) rows: their rows, tokens, and which are in training."""
+
+    def measure(b: pa.RecordBatch) -> list:
+        found = [tokens(t.as_py()) for t in b.column(0)]
+        return [(h, len(h)) for h in found]
 
-    def run(table: pa.Table) -> pa.Table:
-        kinds, payloads = table.column("kind").to_pylist(), table.column("payload").to_pylist()
-        uni = _merge([p for k, p in zip(kinds, payloads, strict=True) if k == "uni"])
-        bi = _merge([p for k, p in zip(kinds, payloads, strict=True) if k == "bi"])
-        tau, bits, filled = build_filter([(uni[0] ^ _UNIGRAM, uni[1]), (bi[0] ^ _BIGRAM, bi[1])], 1 << 62)
-        top = np.zeros(len(uni[0]), bool)
-        top[np.lexsort((uni[0], -uni[1]))[:keep]] = True
-        often = np.sort(np.lexsort((bi[0], -bi[1]))[:keep])
-        row = {
-            "block": [table.column("block")[0].as_py()], "n": [int(uni[1].sum())], "v": [len(uni[0])], "tau": [tau], "bits": [bits], "filter": [filled],
-            "hot": [_pack(uni[0][top], uni[1][top])], "cold": [_pack(uni[0][~top], uni[1][~top])],
-            "pairs": [_pack(bi[0][often], bi[1][often])],
-        }
-        return pa.table(row, schema=pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("n", "v", "tau", "bits")], *[(c, pa.binary()) for c in ("filter", "hot", "cold", "pairs")]]))
+    for parts, texts in runs_of(batches, measure, RUN_TOKENS):
+        yield parts, Run.of(texts), ~column(parts, 2).to_numpy(zero_copy_only=False)
 
-    return counted.groupBy("block").applyInArrow(run, "block int, n long, v long, tau long, bits long, filter binary, hot binary, cold binary, pairs binary")
+
+OUT = "doc_id {id}, held_out boolean, n_tokens long, n_known long, part double, score double, n long, v long"
+
+
+def _scored(doc_id: pa.Array, held_out: pa.Array, sizes, known, part, score) -> pa.RecordBatch:
+    none = pa.nulls(len(doc_id), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [doc_id, held_out, pa.array(sizes, pa.int64()), pa.array(known), pa.array(part), pa.array(score), none, none],
+        names=[x.split()[0] for x in OUT.split(", ")],
+    )
+
+
+def score_in_blocks(rows: DataFrame, bits: int, n: int) -> DataFrame:
+    """Rows of OUT: one per document, and one per block with its share of the tokens (n) and distinct words (v)."""
+    kind = rows.schema["doc_id"].dataType
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for parts, run, training in _runs(batches):
+            memory = joined(run.pack(), rows_as_bytes(column(parts, 1), column(parts, 2)))
+            yield parts[0].column(3)[0].as_py(), memory, run.questions(bits, training)
+
+    def answer(questions: list[bytes]) -> tuple[list[bytes], bytes]:
+        block = Block(questions)
+        return block.answers(), pack(np.array(block.figures(), np.int64))
+
+    def finish(memory: bytes, answers: dict[int, bytes]) -> pa.RecordBatch:
+        tokens_of, documents = parted(memory, 2)
+        run = Run.unpack(tokens_of)
+        _, first, where = run.pairs(bits)
+        found = [unpack(answers[b], np.int64, np.uint8, np.uint8) for b in sorted(answers)]
+        counts, word_levels, pair_levels = (np.concatenate([f[i] for f in found]) for i in range(3))
+        known, part, score = document_scores(run, first, where, counts, word_levels, pair_levels, n)
+        return _scored(*rows_from_bytes(documents), run.sizes, known, part, score)
+
+    def figures(report: bytes) -> pa.RecordBatch:
+        n_here, v_here = unpack(report, np.int64)[0].tolist()
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        types = [to_arrow_type(kind), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.RecordBatch.from_arrays([*[pa.nulls(1, t) for t in types], pa.array([n_here]), pa.array([v_here])], names=[x.split()[0] for x in OUT.split(", ")])
+
+    return ask(rows, send, answer, finish, OUT.format(id=kind.simpleString()), figures)
 
 
 @dataclass
 class Model:
-    """What workers need: totals, the hot words' exact counts, and the Bloom filter or, where it stays in its blocks, the hot pairs' counts."""
+    """A filter small enough to be broadcast, and the exact word counts."""
 
     n: int
-    v: int
-    blocks: int
-    tau: np.ndarray
-    bits: np.ndarray
+    bits: int
+    size: np.ndarray
     offset: np.ndarray
-    filter: np.ndarray | None
-    hot: np.ndarray
-    hot_counts: np.ndarray
-    pairs: np.ndarray | None = None
-    pair_counts: np.ndarray | None = None
+    filter: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+
+    @property
+    def v(self) -> int:
+        return len(self.words)
 
     @classmethod
-    def gather(cls, merged: DataFrame, blocks: int, max_bits: int) -> Model:
-        """Collects at most max_bits / 8 bytes or 16 * hot_words, and 16 * hot_words more, whatever the corpus."""
-        held = (merged.agg(F.sum("bits")).first()[0] or 0) <= max_bits
-        rows = merged.drop("cold", "pairs" if held else "filter").collect()
-        rows.sort(key=lambda r: r.block)
-        tau, bits = np.ones(blocks, np.int64), np.full(blocks, 64, np.int64)
-        filters = [bytes(8)] * blocks
-        for r in rows:
-            tau[r.block], bits[r.block] = r.tau, r.bits
-            if held:
-                filters[r.block] = bytes(r["filter"])
-
-        def counts(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            parts = [_unpack(bytes(x), np.uint64, np.int64) for x in lists] or [[np.zeros(0, np.uint64), np.zeros(0, np.int64)]]
-            h, c = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
-            order = np.argsort(h)
-            return h[order], c[order]
-
-        offset = np.concatenate(([0], np.cumsum(bits)[:-1]))
-        table = np.frombuffer(b"".join(filters), np.uint8) if held else None
-        pairs = (None, None) if held else counts([r.pairs for r in rows])
-        return cls(sum(r.n for r in rows), sum(r.v for r in rows), blocks, tau, bits, offset, table, *counts([r.hot for r in rows]), *pairs)
-
-    def level_of(self, h: np.ndarray, salt: np.uint64) -> np.ndarray:
-        """Levels read from the broadcast filter."""
-        block = (h % np.uint64(self.blocks)).astype(np.int64)
-        return probe(self.filter, h ^ salt, self.bits[block], self.offset[block])
-
-    def low(self, h: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """The least count of level q (0 for level 0)."""
-        tau = self.tau[(h % np.uint64(self.blocks)).astype(np.int64)]
-        return np.where(q > 0, np.ceil(tau * BETA ** (q - 1.0) - 1e-6), 0.0)
-
-    def high(self, h: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """The largest count of level q."""
-        tau = self.tau[(h % np.uint64(self.blocks)).astype(np.int64)]
-        return np.ceil(tau * BETA**q.astype(float) - 1e-6) - 1
-
-    def log_probabilities(self, h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 P of each token given the one before; ``starts``: first tokens of texts."""
-        words, at = np.unique(h, return_inverse=True)
-        q = self.level_of(words, _UNIGRAM)
-        total = self.n + self.v + 1
-        p1 = (self.low(words, q) + 1.0) / total
-        upper = self.high(words, q)
-        end_q = self.level_of(np.array([END]), _UNIGRAM)
-        end_upper = float(self.high(np.array([END]), end_q)[0])
-        before = np.empty(len(h), float)
-        before[1:] = upper[at[:-1]]
-        before[starts] = end_upper
-        previous = np.empty_like(h)
-        previous[1:] = h[:-1]
-        previous[starts] = END
-        grams, where = np.unique(mix64(previous * _PAIR + h), return_inverse=True)
-        seen = self.low(grams, self.level_of(grams, _BIGRAM))[where]
-        seen = np.minimum(np.minimum(seen, before), upper[at])  # no more than either word, should a probe be wrong
-        weight = MU + MU_SHARE * before
-        return np.log10((seen + weight * p1[at]) / (before + weight))
-
-
-def _find(table: np.ndarray, counts: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each of ``h`` is in the sorted table, and its count (0 if not)."""
-    if not len(table):
-        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-    i = np.minimum(np.searchsorted(table, h), len(table) - 1)
-    hit = table[i] == h
-    return hit, np.where(hit, counts[i], 0)
-
-
-def _ranges(first: np.ndarray, per: np.ndarray) -> np.ndarray:
-    """first[0] .. first[0] + per[0] - 1, first[1] .. and so on."""
-    return np.repeat(first - (np.cumsum(per) - per), per) + np.arange(per.sum())
-
-
-def _pair_rows(p, v, w, qv, qw, per, local, tf, rk, blocks: int) -> Iterator[tuple[int, bytes]]:
-    """(block, payload) of pairs with their documents, by the block that each must go to next."""
-    per = per.astype(np.int64)
-    first = np.cumsum(per) - per
-    for b, at in _by_block(np.where(qv == UNKNOWN, v, np.where(qw == UNKNOWN, w, p)), blocks):
-        take = _ranges(first[at], per[at])
-        docs_here, places = np.unique(local[take], return_inverse=True)
-        yield b, _pack(p[at], v[at][qv[at] == UNKNOWN], w[at][qw[at] == UNKNOWN], rk[docs_here], *[x.astype(np.uint32) for x in (per[at], places, tf[take])], qv[at], qw[at])
-
-
-def _read_pairs(payload: bytes) -> list[np.ndarray]:
-    p, cold_v, cold_w, rk, per, local, tf, qv, qw = _unpack(payload, np.uint64, np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint32, np.uint8, np.uint8)
-    v, w = np.zeros_like(p), np.zeros_like(p)
-    v[qv == UNKNOWN], w[qw == UNKNOWN] = cold_v, cold_w
-    return [p, v, w, qv.copy(), qw.copy(), per.astype(np.int64), local.astype(np.int64), tf, rk]
-
-
-def _split_score(m: Model, h, starts, doc, words, at, is_hot, counts, rk) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
-    """The texts' scores from hot words and pairs, and the other pairs by block."""
-    n_docs, total = len(rk), m.n + m.v + 1
-    q = np.where(is_hot, levels(counts, 1), UNKNOWN).astype(np.uint8)
-    score = np.bincount(doc, np.where(is_hot, word_logs(np.where(is_hot, q, 0), total), 0.0)[at], n_docs)
-    before = np.empty_like(at)
-    before[1:] = at[:-1]
-    before[starts] = np.searchsorted(words, END)
-    p, first, where = np.unique(mix64(words[before] * _PAIR + h), return_index=True, return_inverse=True)
-    v, w = before[first], at[first]
-    known, times = _find(m.pairs, m.pair_counts, p)
-    known &= is_hot[v] & is_hot[w]
-    more = np.zeros(len(p))
-    more[known] = pair_logs(levels(times[known], 1), q[v[known]], q[w[known]], total)
-    score += np.bincount(doc, more[where], n_docs)
-    mine = np.flatnonzero(~known[where])
-    key, tf = np.unique(where[mine].astype(np.int64) * n_docs + doc[mine], return_counts=True)
-    pair, local = key // n_docs, key % n_docs
-    uniq, per = np.unique(pair, return_counts=True)
-    v, w = v[uniq], w[uniq]
-    return score, list(_pair_rows(p[uniq], words[v], words[w], q[v], q[w], per, local, tf, rk, m.blocks))
-
-
-SCORED = "block int, kind string, payload binary, rk long, doc_id {id}, held_out boolean, n_tokens long, part double, known long, score double"
-
-
-def _score_rows(rows: DataFrame, held, kind: str) -> DataFrame:
-    """'doc' rows: hot words' share of the base score, and the model's score or its hot share; 'cold' and 'pair' rows: the others by block."""
-    names = [x.split()[0] for x in SCORED.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(cls, rows: DataFrame, bits: int) -> Model:
+        """From the training rows; what the driver gathers is bounded by :func:`most_bits` and 16 bytes a training token."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, run, training in _runs(batches):
+                blocks, payloads = zip(*run.questions(bits, training), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(payloads, pa.binary())], names=["block", "payload"])
+
+        def merge(table: pa.Table) -> pa.Table:
+            b = Block(table.column("payload").to_pylist())
+            return pa.table({"block": [table.column("block")[0].as_py()], "filter": [b.filter.tobytes()], "words": [pack(b.words, b.word_counts)]})
+
+        merged = rows.filter("not held_out").mapInArrow(count, "block long, payload binary").groupBy("block").applyInArrow(merge, "block long, filter binary, words binary")
+        size, filters = np.full(1 << bits, 64, np.int64), [bytes(8)] * (1 << bits)
+        words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for r in sorted(merged.collect(), key=lambda r: r.block):
+            size[r.block], filters[r.block] = 8 * len(r["filter"]), bytes(r["filter"])
+            w, c = unpack(bytes(r["words"]), np.uint64, np.int64)
+            words.append(w)
+            counts.append(c)
+        offset = np.concatenate(([0], np.cumsum(size)[:-1]))
+        counts = np.concatenate(counts)
+        return cls(int(counts.sum()), bits, size, offset, np.frombuffer(b"".join(filters), np.uint8), np.concatenate(words), counts)
+
+    def word_counts(self, words: np.ndarray) -> np.ndarray:
+        if not self.v:
+            return np.zeros(len(words), np.int64)
+        i = np.minimum(np.searchsorted(self.words, words), self.v - 1)
+        return np.where(self.words[i] == words, self.counts[i], 0)
+
+    def levels_of(self, h: np.ndarray, block: np.ndarray) -> np.ndarray:
+        block = block.astype(np.int64)
+        return probe(self.filter, h, self.size[block], self.offset[block])
+
+
+def score_by_broadcast(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows of OUT, one per document, scored where they are read."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
-        for places, texts in _runs(batches, 1):
-            h = np.concatenate(texts)
-            sizes = np.array([len(t) for t in texts])
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            n_docs = len(texts)
-            words, at = np.unique(h, return_inverse=True)
-            is_hot, counts = _find(m.hot, m.hot_counts, words)
-            logs = np.where(is_hot, np.log10(counts + 1.0), 0.0)
-            part = np.bincount(doc, logs[at], n_docs)
-            known = np.bincount(doc, is_hot[at].astype(float), n_docs).astype(np.int64)
-            batch_rows: dict[int, list] = {}
-            for n, (b, p) in enumerate(places):
-                batch_rows.setdefault(id(b), [b, [], []])
-                batch_rows[id(b)][1].append(p)
-                batch_rows[id(b)][2].append(n)
-            cols = [pa.concat_arrays([b.column(c).take(pa.array(ps)) for b, ps, _ in batch_rows.values()]) for c in (0, 2, 3)]
-            rk = cols[1].to_numpy(zero_copy_only=False)
-            if m.filter is None:
-                score, pair_rows = _split_score(m, h, starts, doc, words, at, is_hot, counts, rk)
-            else:
-                score, pair_rows = np.bincount(doc, m.log_probabilities(h, starts), n_docs), []
-            none = lambda t, k: pa.nulls(k, t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((rk % m.blocks).astype(np.int32)), pa.array(["doc"] * n_docs), none(pa.binary(), n_docs), cols[1], cols[0], cols[2],
-                 pa.array(sizes, pa.int64()), pa.array(part), pa.array(known), pa.array(score)], names=names)
-            # Words that aren't hot: distinct (word, document) with the word's frequency in it.
-            mine = np.flatnonzero(~is_hot[at])
-            key, tf = np.unique(at[mine].astype(np.int64) * n_docs + doc[mine], return_counts=True)
-            word, d = key // n_docs, key % n_docs
-            uniq, first, per = np.unique(word, return_index=True, return_counts=True)
-            ids, payloads = [], []
-            for b, w in _by_block(words[uniq], m.blocks):
-                take = _ranges(first[w], per[w])
-                docs_here, local = np.unique(d[take], return_inverse=True)
-                ids.append(b)
-                payloads.append(_pack(words[uniq[w]], per[w].astype(np.uint32), local.astype(np.uint32), tf[take].astype(np.uint32), rk[docs_here]))
-            said = ["cold"] * len(ids) + ["pair"] * len(pair_rows)
-            ids += [b for b, _ in pair_rows]
-            payloads += [x for _, x in pair_rows]
-            k = len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int32()), pa.array(said, pa.string()), pa.array(payloads, pa.binary()), none(pa.int64(), k), none(cols[0].type, k),
-                 none(pa.bool_(), k), none(pa.int64(), k), none(pa.float64(), k), none(pa.int64(), k), none(pa.float64(), k)], names=names)
-
-    return rows.mapInArrow(run, SCORED.format(id=kind))
-
-
-SETTLED = "rk long, doc_id {id}, held_out boolean, n_tokens long, part double, known long, score double"
-
-
-def _settle(blocks: int, total: int, split: bool):
-    """A function of one block's rows: the cold words' shares per document; 'doc' rows pass through.
-
-    With ``split`` also the pairs' shares of the score, and 'pair' rows for those that go on to another block.
-    """
+        for parts, run, _ in _runs(batches):
+            keys, first, where = run.pairs(m.bits)
+            word_levels = m.levels_of(run.words ^ _UNIGRAM, word_block(run.words, m.bits))
+            pair_levels = m.levels_of((keys & np.uint64((1 << PAIR_BITS) - 1)) ^ _BIGRAM, keys >> np.uint64(PAIR_BITS))
+            known, part, total = document_scores(run, first, where, m.word_counts(run.words), word_levels, pair_levels, m.n)
+            yield _scored(column(parts, 1), column(parts, 2), run.sizes, known, part, total)
+
+    return rows.mapInArrow(score, OUT.format(id=rows.schema["doc_id"].dataType.simpleString()))
 
-    def run(table: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
-        kinds = table.column("kind")
-        out = ["rk", "doc_id", "held_out", "n_tokens", "part", "known", "score", *(["block", "kind", "payload"] if split else [])]
-        of = lambda kind: table.filter(pc.equal(kinds, kind))
-        done = of("doc").select(out)
-        counts = of("counts").column("payload").to_pylist()
-        h, c = _unpack(counts[0], np.uint64, np.int64) if counts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        rks, parts, knowns, scores = [], [], [], []
-        for payload in of("cold").column("payload").to_pylist():
-            words, per, local, tf, rk = _unpack(payload, np.uint64, np.uint32, np.uint32, np.uint32, np.int64)
-            found = _find(h, c, words)[1]
-            count = np.repeat(found, per)
-            rks.append(rk)
-            parts.append(np.bincount(local, tf * np.log10(count + 1.0), len(rk)))
-            knowns.append(np.bincount(local, tf * (count > 0), len(rk)).astype(np.int64))
-            if split:
-                scores.append(np.bincount(local, tf * np.repeat(word_logs(levels(found, 1), total), per), len(rk)))
-        onward = []
-        if split:
-            held = of("filter").column("payload").to_pylist()
-            bits = np.frombuffer(held[0], np.uint8) if held else np.zeros(8, np.uint8)
-            waiting = []
-            for payload in of("pair").column("payload").to_pylist():
-                p, v, w, qv, qw, per, local, tf, rk = _read_pairs(payload)
-                here = (qv != UNKNOWN) & (qw != UNKNOWN)
-                q = probe(bits, p[here] ^ _BIGRAM, np.full(here.sum(), 8 * len(bits)), np.zeros(here.sum(), np.int64))
-                each = np.zeros(len(p))
-                each[here] = pair_logs(q, qv[here], qw[here], total)
-                rks.append(rk)
-                scores.append(np.bincount(local, tf * np.repeat(each, per), len(rk)))
-                parts.append(np.zeros(len(rk)))
-                knowns.append(np.zeros(len(rk), np.int64))
-                ask_v = qv == UNKNOWN
-                ask_w = ~ask_v & (qw == UNKNOWN)
-                qv[ask_v] = levels(_find(h, c, v[ask_v])[1], 1)
-                qw[ask_w] = levels(_find(h, c, w[ask_w])[1], 1)
-                go = ~here & (qv > 0) & (qw > 0)  # a pair of a word that was never seen adds nothing
-                docs_of = np.repeat(go, per)
-                waiting.append([p[go], v[go], w[go], qv[go], qw[go], per[go], local[docs_of], tf[docs_of], rk])
-            if waiting:
-                shift = np.cumsum([0] + [len(x[8]) for x in waiting])
-                for x, n in zip(waiting, shift.tolist(), strict=False):
-                    x[6] = x[6] + n
-                onward = list(_pair_rows(*[np.concatenate(x) for x in zip(*waiting, strict=True)], blocks))
-        if not rks:
-            return done
-        rows, k = {}, sum(map(len, rks)) + len(onward)
-        for name, lists in (("rk", rks), ("part", parts), ("known", knowns), ("score", scores)):
-            if lists:
-                rows[name] = pa.concat_arrays([pa.array(np.concatenate(lists)), pa.nulls(len(onward), table.schema.field(name).type)])
-        if onward:
-            none = k - len(onward)
-            rows["block"] = pa.array([None] * none + [b for b, _ in onward], pa.int32())
-            rows["kind"] = pa.array([None] * none + ["pair"] * len(onward), pa.string())
-            rows["payload"] = pa.array([None] * none + [x for _, x in onward], pa.binary())
-        more = pa.table({n: rows.get(n, pa.nulls(k, table.schema.field(n).type)) for n in out})
-        return pa.concat_tables([done, more.cast(done.schema)])
-
-    return run
-
-
-def score_documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held_out_fold: int = 2, max_bits: int = 1 << 28, hot_words: int = 1 << 19
-) -> DataFrame:
+
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held_out_fold: int = 2, max_bits: int = 1 << 28) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
 
     ``max_bits`` bounds what is broadcast, not what the filter holds.
     """
-    spark = docs.sparkSession
-    fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
-    rows = keyed(docs, F.col(doc_id).alias("doc_id"), ascii_lower(F.col(text)).cast("binary").alias("text"), (fold == held_out_fold).alias("held_out"))
-    rows = rows.select("doc_id", "text", "rk", "held_out")
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    blocks = max(8, -(-int(size) // BLOCK_BYTES))
-    merged = saved(merge_blocks(count_ngrams(rows.filter("not held_out"), blocks), blocks, hot_words))
-    model = Model.gather(merged, blocks, max_bits)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = _score_rows(rows, spark.sparkContext.broadcast(model), kind)
-    held = merged.select("block", F.lit("counts").alias("kind"), F.col("cold").alias("payload"))
-    settled = SETTLED.format(id=kind)
-    split = model.filter is None
-    settle = _settle(blocks, model.n + model.v + 1, split)
-    if split:
-        held = held.unionByName(merged.select("block", F.lit("filter").alias("kind"), F.col("filter").alias("payload")))
-        parts = None
-        for last in (False, False, True):  # the blocks of the word before, of the word and of the pair
-            step = scored.unionByName(held, allowMissingColumns=True).groupBy("block")
-            step = step.applyInArrow(settle, f"{settled}, block int, kind string, payload binary")
-            step = step if last else saved(step)
-            done = step.filter("rk is not null").drop("block", "kind", "payload")
-            parts = done if parts is None else parts.unionByName(done)
-            scored = step.filter("rk is null")
+
+    def held_out(name):
+        return F.crc32(F.coalesce(name.cast("string"), F.lit("")).cast("binary")) % folds == held_out_fold
+
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    trained = F.sum(F.when(~held_out(F.col(doc_id)), F.regexp_count(whole, F.lit(WORD)) + 1).cast("long"))
+    size, n = docs.agg(F.sum(F.octet_length(whole).cast("long")), trained).first()
+    n = int(n or 0)
+    bits = max(3, (-(-int(size or 0) // BLOCK_BYTES) - 1).bit_length())
+    rows = keyed(docs, lambda c: ascii_lower(c(text)).cast("binary").alias("text"), lambda c: c(doc_id).alias("doc_id"), lambda c: held_out(c(doc_id)).alias("held_out"))
+    if most_bits(n) <= max_bits:
+        model = Model.fit(rows, bits)
+        scored, n, v = score_by_broadcast(rows, model), model.n, model.v
     else:
-        parts = scored.unionByName(held, allowMissingColumns=True).groupBy("block").applyInArrow(settle, settled)
-    whole = parts.groupBy("rk").agg(*[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")], *[F.sum(c).alias(n) for c, n in (("score", "score"), ("part", "part"), ("known", "n_known"))])
-    denominator = F.log10(F.lit(float(model.n + model.v + 1)))
-    return whole.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("part") - F.col("n_tokens") * denominator).alias("base_score"), "score",
-    )
+        scored = saved(score_in_blocks(rows, bits, n))
+        n, v = (int(x or 0) for x in scored.agg(F.sum("n"), F.sum("v")).first())
+        scored = scored.filter("v is null")
+    base = F.col("part") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def op5_lm_score(spark, sf_dir):

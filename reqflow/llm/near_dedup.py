@@ -9,15 +9,18 @@ texts are linked if their sets' Jaccard similarity reaches the threshold.
    about the probability of the sets' similarity; ``ROWS`` of them make a band key.
    A pair at similarity 0.8 shares none of the 24 bands with probability 3e-6.
 3. Nodes that share a band are candidates.  In each band bucket they are compared
-   on the full sets to its hub, the member with most company over all buckets.
-   Members of a hub that are still in different components are then compared
-   across components, where what they share with the hub, and the shingles that
-   no other node has, leave room for the threshold.  So no link between components
-   is left out, and a group of near copies costs a comparison or two per member,
-   not all pairs.
-4. Pairs across components are dropped if the joint likelihood of their sketches
-   at any similarity from the threshold up is ``exp(-MAX_LOG_ODDS)`` of its maximum
-   or less; the rest are confirmed on the full sets.
+   to its hub, the member with most company over all buckets.  Members of a hub that are still in
+   different components are then compared across components, without listing a family's
+   pairs: two sets that are linked share one of their rarest shingles.  Shingles that no other of
+   these nodes has come first and can't be shared; with the sizes they bound what two sets may have in common
+   and so which sizes a partner may have.  Nodes meet by (shingle, size band) where the shingle is among the
+   larger set's first ones for that band and among the smaller set's first ones for any larger partner;
+   of nodes in the component that has most nodes at that meeting point, only those of others are compared.
+   So no link between components is left out, and a group of near copies costs a comparison or two per
+   member, not all pairs.
+4. All pairs are dropped if the joint likelihood of their sketches at any similarity from the
+   threshold up is ``exp(-MAX_LOG_ODDS)`` of its maximum or less; the rest are confirmed on the
+   full sets.
 
 Components come from alternating large-star and small-star steps on the links.
 
@@ -27,7 +30,7 @@ long texts are read whole; equal ids and repeated rows are separate documents of
 one component, of which one row is kept; a null doc_id is larger than any other;
 an empty table gives an empty table; extra columns, whatever their names, are passed
 through by :func:`drop_near_copies` and not read otherwise.  The input is read more
-than once and must be a stable scan, such as a Parquet table.
+than once, by keys that don't depend on how it is split (see :func:`reqflow.llm.common.keyed_rows`).
 """
 
 from __future__ import annotations
@@ -40,13 +43,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqflow.llm.common import WordHasher, ascii_lower, attach_groups, keyed, mix64, saved
+from reqflow.llm.common import SALTS, WordHasher, ascii_lower, attach_groups, columns_of, hot_keys, keyed_rows, mix64, saved
 from reqflow.llm.exact_dedup import MAX_BROADCAST_ROWS, drop_rows
 
 M, ROWS = 96, 4
 #: Register base and rate of the exponential hashes; registers fit 16 bits.
 B, RATE = 1.001, 20.0
 MAX_LOG_ODDS = 10.0
+#: Sizes in one band differ by less than this factor; counters by which shingles are ordered (only speed depends on them).
+BAND = 1.05
+MOST_COUNTERS = 1 << 22
 _SEEDS = mix64(np.arange(1, M + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND = mix64(np.arange(101, 101 + M // ROWS, dtype=np.uint64))
 _PLACE = mix64(np.arange(1001, 1017, dtype=np.uint64)) | np.uint64(1)
@@ -141,11 +147,12 @@ def components(links: DataFrame) -> DataFrame:
     before = mark(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = saved(small.distinct())
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c"))
+        large = attach_groups(both, least, "u", "c").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = saved(large.distinct())
+        low = saved(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")))
+        small = attach_groups(large, low, "u", "c").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         after = mark(edges)
         if after == before:
             break
@@ -153,12 +160,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
+def _with_sides(pairs: DataFrame, side: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``pairs`` (a, b) with columns of both nodes, renamed by side; a node of very many pairs is split."""
+    out = pairs
+    for key in ("a", "b"):
+        hot = hot_keys(pairs.groupBy(key).agg(F.count("*").alias("c")), key, "c")
+        part = side.select(F.col("node").alias(key), *[F.col(c).alias(n + key) for c, n in columns.items()])
+        out = attach_groups(out, part, key, None, "inner", hot)
+    return out
+
+
 def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """a, b of the pairs that sizes and sketches don't rule out."""
-    side = nodes.select("node", "n_shingles", "regs")
-    left = side.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("regs").alias("ra"))
-    right = side.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("regs").alias("rb"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -169,14 +182,11 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
             keep = pa.array(may_reach(ra, rb, na, nb, threshold))
             yield pa.RecordBatch.from_arrays([cols["a"].filter(keep), cols["b"].filter(keep)], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    return _with_sides(pairs, nodes, {"n_shingles": "n", "regs": "r"}).mapInArrow(run, "a long, b long")
 
 
 def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, common, na, nb: sizes of the full sets and of their intersection."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
@@ -188,7 +198,7 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 nb.append(len(y))
             yield pa.RecordBatch.from_arrays([cols["a"], cols["b"], *[pa.array(c, pa.int64()) for c in (common, na, nb)]], names=["a", "b", "common", "na", "nb"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, common long, na long, nb long")
+    return _with_sides(pairs, sets, {"shingles": "s"}).mapInArrow(run, "a long, b long, common long, na long, nb long")
 
 
 def _links(measured: DataFrame, percent: int) -> DataFrame:
@@ -209,19 +219,120 @@ def _full_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return texts.select(F.col("rk").alias("node"), "text").mapInArrow(run, "node long, shingles binary")
 
 
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Nodes and their sets, of batches of (node, shingles)."""
+    for b in batches:
+        yield b.column(0).to_numpy(zero_copy_only=False), [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+
+
 def _lone_shingles(sets: DataFrame) -> DataFrame:
-    """node, n_alone: how many of a node's shingles no other node has."""
+    """node, alone: those of a node's shingles that no other node has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hashes = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+        for nodes, hashes in _hashes(batches):
             if hashes:
-                nodes = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(h) for h in hashes])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(hashes))], names=["node", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, [len(h) for h in hashes])), pa.array(np.concatenate(hashes))], names=["node", "h"])
 
     grams = sets.select("node", "shingles").mapInArrow(run, "node long, h long")
     once = grams.groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1")
-    return once.groupBy("node").agg(F.count("*").alias("n_alone"))
+    return once.groupBy("node").agg(F.collect_list("h").alias("alone"))
+
+
+def _slot(h: np.ndarray, counters: int) -> np.ndarray:
+    return (mix64(h.view(np.uint64)) & np.uint64(counters - 1)).astype(np.int64)
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur, roughly: counters by hash, MOST_COUNTERS at most."""
+    total = sets.agg(F.sum(F.octet_length("shingles") / 8)).first()[0] or 0
+    n = min(MOST_COUNTERS, 1 << max(10, int(total / 4).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(n, np.int64)
+        for _, hashes in _hashes(batches):
+            if hashes:
+                held += np.bincount(_slot(np.concatenate(hashes), n), minlength=n)
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "c"])
+
+    counted = sets.select("node", "shingles").mapInArrow(run, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(n, np.int64)
+    out[counted.column("slot").to_numpy()] = counted.column("c").to_numpy()
+    return np.minimum(out, 2**31 - 1).astype(np.int32)
+
+
+def _size_band(n: int) -> int:
+    return int(np.log(n) / np.log(BAND) + 1e-9)
+
+
+def meeting_points(shingles: np.ndarray, alone: np.ndarray, counts: np.ndarray, percent: int) -> Iterator[tuple[str, int, np.ndarray]]:
+    """(role, size band, shingles) at which a set must meet any linked set: as the larger of the two, and as the smaller."""
+    shared = np.setdiff1d(shingles, alone, assume_unique=True)
+    n, reach = len(shingles), len(shared)
+    need = lambda m: -(-percent * (n + m) // (100 + percent))  # noqa: E731  what sets of n and m must have in common
+    order = shared[np.lexsort((shared, counts[_slot(shared, len(counts))]))]
+    if reach >= need(n):
+        yield "smaller", _size_band(n), order[: reach - need(n) + 1]
+    least = -(-percent * n // 100)
+    most = min(n, reach * (100 + percent) // percent - n)
+    if most >= least:
+        for band in range(_size_band(least), _size_band(most) + 1):
+            m = max(least, int(BAND**band) - 1)  # no size in the band is smaller
+            if reach >= need(m):
+                yield "larger", band, order[: reach - need(m) + 1]
+
+
+def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """a, b: the nodes of different components that sizes and rare shingles don't rule out; ``placed`` has node, comp."""
+    counts = placed.sparkSession.sparkContext.broadcast(_counters(sets))
+    known = sets.join(_lone_shingles(sets), "node", "left").join(placed, "node").select("node", "shingles", "comp", "alone")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            roles, bands, points, per, at, sizes, reach = [], [], [], [], [], [], []
+            for i in range(b.num_rows):
+                s = np.frombuffer(b.column(1)[i].as_py(), np.int64)
+                alone = np.array(b.column(3)[i].as_py() or [], np.int64)
+                for role, band, h in meeting_points(s, alone, counts.value, percent):
+                    roles.append(role == "larger")
+                    bands.append(band)
+                    points.append(h)
+                    per.append(len(h))
+                    at.append(i)
+                    sizes.append(len(s))
+                    reach.append(len(s) - len(alone))
+            if at:
+                take = pa.array(np.repeat(at, per))
+                numbers = [pa.array(np.repeat(x, per)) for x in (roles, bands)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(points)), *numbers, b.column(0).take(take), b.column(2).take(take), pa.array(np.repeat(sizes, per)), pa.array(np.repeat(reach, per))],
+                    names=["h", "larger", "band", "node", "comp", "n", "reach"],
+                )
+
+    met = saved(known.mapInArrow(run, "h long, larger boolean, band long, node long, comp long, n long, reach long").withColumn("point", F.xxhash64("h", "band")))
+    parts = met.groupBy("point", "comp").agg(F.count("*").alias("rows"))
+    points = parts.groupBy("point").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.max_by("comp", F.struct("rows", "comp")).alias("main"))
+    points = saved(points.filter("parts > 1").select("point", "size", "main"))
+    hot = hot_keys(points, "point", "size")
+    is_hot = F.col("point").isin(hot) if hot else F.lit(False)
+    met = attach_groups(met.drop("h", "band"), points, "point", None, "inner", hot)
+
+    def side(role: str, main: bool | None, key: str, copies: bool) -> DataFrame:
+        rows = met.filter("larger" if role == "larger" else "not larger")
+        if main is not None:
+            rows = rows.filter("comp = main" if main else "comp <> main")
+        salt = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))) if copies else F.when(is_hot, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
+        return rows.select("point", salt.alias("salt"), *[F.col(c).alias(f"{c}_{key}") for c in ("node", "comp", "n", "reach")])
+
+    enough = F.lit(100 + percent) * F.least("reach_x", "reach_y") >= F.lit(percent) * (F.col("n_x") + F.col("n_y"))
+    fits = enough & (F.col("comp_x") != F.col("comp_y")) & (F.col("n_x") >= F.col("n_y"))
+    found = None
+    for main_x, main_y in ((False, None), (True, False)):
+        # The side that is outside the main component is spread, the other one copied.
+        part = side("larger", main_x, "x", main_x).join(side("smaller", main_y, "y", not main_x), ["point", "salt"]).filter(fits)
+        part = part.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        found = part if found is None else found.union(part)
+    return found.distinct()
 
 
 def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, width: int, percent: int) -> DataFrame:
@@ -233,46 +344,33 @@ def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, widt
     member = saved(attach_groups(member, saved(buckets), "bucket", "c", "inner"))
     company = member.groupBy("node").agg(F.sum("c").alias("company"))
     member = saved(member.join(company, "node"))
-    sets = saved(_full_sets(rows, company.select("node"), width))
     hubs = member.groupBy("bucket").agg(F.count("*").alias("size"), F.max(F.struct("company", (-F.col("node")).alias("neg"))).alias("top"))
     hubs = saved(hubs.select("bucket", "size", (-F.col("top.neg")).alias("hub")))
     star = attach_groups(member.select("node", "bucket"), hubs, "bucket", "size").filter("node <> hub")
-    star = star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    star = saved(_measure(star, sets))
-    links = _links(star, percent)
+    star = saved(star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    sets = saved(_full_sets(rows, company.select("node"), width))
+    links = saved(_links(_measure(saved(_plausible(star, nodes, threshold)), sets), percent))
     comp = components(links).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
-    # Members of a hub's buckets, the hub included, with what they share with it.
-    members = star.select(F.col("b").alias("hub"), F.col("a").alias("node"), F.col("na").alias("n"), "common")
-    hubs = star.groupBy("b").agg(F.first("nb").alias("n")).select(F.col("b").alias("hub"), F.col("b").alias("node"), "n", F.col("n").alias("common"))
-    placed = members.union(hubs).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).select("hub", "node", "n", "common", "comp")
-    placed = saved(placed)
-    parts = placed.groupBy("hub", "comp").agg(F.count("*").alias("rows"), F.min("n").alias("least"))
-    whole = parts.groupBy("hub").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.min("least").alias("least"))
-    whole = saved(whole.filter("parts > 1").select("hub", "size", "main", "least"))
-    mixed = saved(attach_groups(placed, whole, "hub", "size", "inner"))
-    # Shingles that no other of these nodes has can't be shared: the rest bounds every intersection.
-    # With a hub h, what x and y share is at most |h| - max(|h - x|, |h - y|) and the shared ones not in h.
-    alone = _lone_shingles(sets.join(mixed.select("node").distinct(), "node", "left_semi"))
-    mixed = mixed.join(alone, "node", "left").withColumn("reach", F.col("n") - F.coalesce("n_alone", F.lit(0)))
-    mixed = mixed.withColumn("gained", F.col("reach") - F.col("common"))
-    enough = lambda most, both: F.lit(100 + percent) * most >= F.lit(percent) * both  # noqa: E731  J = c / (a + b - c)
-    mixed = saved(mixed.filter(enough(F.col("reach"), F.col("n") + F.col("least"))))
-
-    def side(df: DataFrame, key: str) -> DataFrame:
-        return df.select("hub", F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in ("comp", "n", "reach", "common", "gained")], (F.col("comp") == F.col("main")).alias(f"main_{key}"))
-
-    both = F.col("n_a") + F.col("n_b")
-    near = enough(F.least("reach_a", "reach_b"), both) & enough(F.least("common_a", "common_b") + F.least("gained_a", "gained_b"), both)
-    across = side(mixed.filter("comp <> main"), "a").join(side(mixed, "b"), "hub")
-    across = across.filter(near & (F.col("comp_a") != F.col("comp_b")) & (F.col("main_b") | (F.col("a") < F.col("b")))).select("a", "b").distinct()
-    more = _links(_measure(saved(_plausible(across, nodes, threshold)), sets), percent)
+    # Hubs whose members, themselves included, are in several components.
+    members = star.select(F.col("b").alias("hub"), F.col("a").alias("node")).union(star.select(F.col("b").alias("hub"), F.col("b").alias("node")).distinct())
+    placed = saved(members.join(comp, "node", "left").select("hub", "node", F.coalesce("comp", "node").alias("comp")))
+    mixed = placed.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    placed = saved(attach_groups(placed, saved(mixed), "hub", "size", "inner").select("node", "comp").distinct())
+    family = saved(sets.join(placed.select("node"), "node", "left_semi"))
+    across = saved(_pairs_across(family, placed, percent))
+    more = _links(_measure(saved(_plausible(across, nodes, threshold)), family), percent)
     return components(links.union(more)).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """rk, doc_id, n_shingles, component_id, kept: one row per input row."""
-    rows = keyed(docs, F.col(doc_id).alias("doc_id"), ascii_lower(F.col(text)).cast("binary").alias("text"))
+    return groups_of(keyed_rows(docs), doc_id, text, width, percent)
+
+
+def groups_of(rows: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """:func:`near_groups` of keyed rows."""
+    rows = columns_of(rows, lambda c: c(doc_id).alias("doc_id"), lambda c: ascii_lower(c(text)).cast("binary").alias("text"))
     sketches = saved(sketch_documents(rows, width))
     # The row of a set that has the smallest doc_id, then the smallest key; null ids come last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rk"))
@@ -296,7 +394,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns; documents without words stay."""
-    return drop_rows(docs, saved(near_groups(docs, doc_id, text, width, percent).filter("not kept").select("rk")))
+    rows = keyed_rows(docs)
+    return drop_rows(rows, saved(groups_of(rows, doc_id, text, width, percent).filter("not kept").select("rk")))
 
 
 def op7_near_dedup(spark, sf_dir):

@@ -4,7 +4,9 @@ Each page becomes one capture of three records: a ``request``, a ``response``
 (or a ``revisit`` of an equal payload archived elsewhere) and a ``metadata``
 record.  The first and the last name the capture in ``WARC-Concurrent-To``.
 Spark's text writer makes the files (a record ends in the separator CRLF CRLF), so
-any store that Spark writes to will do; files hold a bounded number of captures.
+any store that Spark writes to will do; files hold a bounded number of captures, fewer of
+large ones, so that reading a file as a whole is bounded too.  Which payloads repeat is found
+from digests; payloads aren't shuffled unless very many different ones repeat.
 
 Reading takes each file as bytes, cuts it into records by their lengths, and
 joins requests and metadata to captures by the concurrent-to identifiers - never
@@ -33,7 +35,10 @@ from reqflow.llm.common import attach_groups, keyed, saved, shared_path
 CRLF = "\r\n"
 END = CRLF + CRLF
 MIN_REVISIT_BYTES = 1000
-CAPTURES_PER_FILE = 1000
+#: Payload sizes (from, below) and the most captures of such size in one file.
+FILES = ((0, 1 << 16, 1000), (1 << 16, 1 << 22, 16), (1 << 22, 1 << 62, 1))
+#: Repeated payloads are broadcast (some 100 bytes each) up to so many, joined by shuffle beyond.
+MAX_BROADCAST_ROWS = 1_000_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -61,18 +66,22 @@ def _record(kind: Column | str, record_id: Column, block: Column, *headers: Colu
 
 def mark_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """rk, page_id, url, html, n_bytes, sha1, refers_rk: the row whose payload this one repeats, or null."""
-    payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = keyed(pages, F.col("page_id").cast("string").alias("page"), F.col("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
+    rows = keyed(
+        pages, lambda c: c("page_id").cast("string").alias("page"), lambda c: c("page_id").alias("page_id"), lambda c: c("url").cast("string").alias("url"),
+        lambda c: F.coalesce(c("html").cast("string"), F.lit("")).alias("html"),
+    )
     n_bytes = F.octet_length("html").cast("long")
     # Equal payloads are told by length and SHA-256; the archive's own digest is SHA-1.
-    same = F.when(n_bytes >= min_bytes, F.concat(F.sha2("html", 256), F.lit("-"), n_bytes.cast("string"))).otherwise(F.concat(F.lit("row-"), F.col("rk").cast("string")))
-    rows = rows.withColumns({"n_bytes": n_bytes, "sha1": F.sha1(F.col("html").cast("binary")), "same": same})
+    same = F.when(n_bytes >= min_bytes, F.concat(F.sha2("html", 256), F.lit("-"), n_bytes.cast("string")))
+    rows = rows.withColumns({"n_bytes": n_bytes, "same": same})
     best = F.max(F.struct("page_id", (-F.col("rk")).alias("neg"))).alias("best")
     groups = rows.filter(F.col("n_bytes") >= min_bytes).groupBy("same").agg(F.count("*").alias("n"), best).filter("n > 1")
     groups = saved(groups.select("same", "n", (-F.col("best.neg")).alias("first_rk"), F.col("best.page_id").cast("string").alias("first_page")))
-    out = attach_groups(rows, groups, "same", "n")
+    few = groups.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    out = rows.join(F.broadcast(groups), "same", "left") if few else attach_groups(rows, groups, "same", "n")
     other = F.col("first_rk").isNotNull() & (F.col("first_rk") != F.col("rk"))
-    return out.select("rk", "page", "url", "html", "n_bytes", "sha1", F.when(other, F.col("first_rk")).alias("refers_rk"), F.when(other, F.col("first_page")).alias("refers_page"))
+    sha1 = F.sha1(F.col("html").cast("binary")).alias("sha1")
+    return out.select("rk", "page", "url", "html", "n_bytes", sha1, F.when(other, F.col("first_rk")).alias("refers_rk"), F.when(other, F.col("first_page")).alias("refers_page"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
@@ -104,7 +113,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
         _record("metadata", _uuid(F.lit("metadata"), F.col("rk").cast("string")), fields, target, concurrent, F.lit("Content-Type: application/warc-fields")),
     ]
     value = F.concat(records[0], F.lit(END), records[1], F.lit(END), records[2]).alias("value")
-    rows.select(value).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", CAPTURES_PER_FILE).text(path)
+    largest = pages.agg(F.max(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
+    for low, high, most in FILES:
+        if low <= largest:
+            part = rows.filter((F.col("n_bytes") >= low) & (F.col("n_bytes") < high)).select(value)
+            part.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).mode("append").text(path)
 
 
 RECORDS = (
