@@ -1,12 +1,13 @@
 """License scans: ordered signature rules on word sequences, all in Spark expressions.
 
 A text is lower-cased (A-Z) and reduced to its words with one blank between
-them; rules are regular expressions over that string, so line breaks, comment
+them; rules are regular expressions over these words, so line breaks, comment
 signs and punctuation inside a license line don't matter.  Each rule names one
 word that any match of it holds; a rule is tried on a document only if that word
-is among the document's words.  A detection is dropped if one of the same or a
+is among the document's words.  In the string that rules are matched against, each word is followed by
+its number, so a match tells where it stands and the work is linear in text and detections.  A detection is dropped if one of the same or a
 better priority covers its whole interval (of equal intervals, the earlier rule
-stays).  Base phrases always keep their labels.
+stays): by running maxima over a document's detections in order.  Base phrases always keep their labels.
 
 Defined results: null and empty texts have no words, no detections and score 0;
 long texts are scanned whole; repeated rows are scanned alike; an empty table
@@ -15,12 +16,13 @@ gives an empty table; extra columns are never read.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reqflow.llm.common import ascii_lower
+from reqflow.llm.common import ascii_lower, keyed
 
 #: What is not part of a word.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -144,8 +146,146 @@ STATEMENTS = (
 )
 
 
+#: Some words, as few as will do.
+_W = r"(?:[^\x01\x20]+ ){1,12}?"
+
+# Whole notices, headers and clauses of license texts: label, keyword, pattern, priority.
+NOTICES = (
+    ("apache-2.0", "compliance", r"you may not use this file except in compliance with the licen[cs]e", 2),
+    ("apache-2.0", "applicable", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis", 2),
+    ("apache-2.0", "perpetual", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent) licen[cs]e", 2),
+    ("apache-2.0", "contributor", r"licensed to the apache software foundation asf under one or more contributor licen[cs]e agreements", 1),
+    ("apache-1.1", "apache", r"this product includes software developed by the apache software foundation", 3),
+    ("apache-2.0-llvm", "llvm", r"apache licen[cs]e v2 0 with llvm exceptions?", 1),
+    ("mit", "substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 2),
+    ("mit", "noninfringement", r"including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", 3),
+    ("mit", "holders", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", 3),
+    ("mit", "restriction", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies", 2),
+    ("bsd", "retain", r"redistributions of source code must retain the above copyright notice", 2),
+    ("bsd", "reproduce", r"redistributions in binary form must reproduce the above copyright notice", 2),
+    ("bsd-3-clause", "endorse", rf"neither the names? of {_W}nor the names of (?:its|their|any) contributors may be used to endorse or promote products derived from this software", 1),
+    ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 1),
+    ("bsd", "consequential", r"in no event shall the (?:regents|copyright (?:holders?|owner)|author)(?: or contributors)? be liable for any direct indirect incidental special exemplary or consequential damages", 3),
+    ("isc", "disclaims", r"the software is provided as is and the author disclaims all warranties with regard to this software", 2),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such", 2),
+    ("zlib", "removed", r"this notice may not be removed or altered from any source distribution", 2),
+    ("zlib", "applications", r"permission is granted to anyone to use this software for any purpose including commercial applications", 2),
+    ("gpl-2.0-or-later", "option", r"gnu general public licen[cs]e as published by the free software foundation either version 2 of the licen[cs]e or at your option any later version", 1),
+    ("gpl-3.0-or-later", "option", r"gnu general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version", 1),
+    ("lgpl-2.1-or-later", "option", r"gnu lesser general public licen[cs]e as published by the free software foundation either version 2 1 of the licen[cs]e or at your option any later version", 1),
+    ("lgpl-3.0-or-later", "option", r"gnu lesser general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version", 1),
+    ("agpl-3.0-or-later", "option", r"gnu affero general public licen[cs]e as published by the free software foundation either version 3 of the licen[cs]e or at your option any later version", 1),
+    ("gpl-2.0", "foundation", r"gnu general public licen[cs]e version 2 as published by the free software foundation", 1),
+    ("gpl-2.0", "1991", r"gnu general public licen[cs]e version 2 june 1991", 1),
+    ("gpl-3.0", "2007", r"gnu general public licen[cs]e version 3 29 june 2007", 1),
+    ("lgpl-2.1", "1999", r"gnu lesser general public licen[cs]e version 2 1 february 1999", 1),
+    ("lgpl-3.0", "2007", r"gnu lesser general public licen[cs]e version 3 29 june 2007", 1),
+    ("agpl-3.0", "2007", r"gnu affero general public licen[cs]e version 3 19 november 2007", 1),
+    ("gpl", "hope", r"distributed in the hope that it will be useful but without any warranty", 3),
+    ("gpl", "received", r"you should have received a copy of the gnu general public licen[cs]e", 2),
+    ("lgpl", "received", r"you should have received a copy of the gnu (?:lesser|library) general public licen[cs]e", 2),
+    ("agpl", "received", r"you should have received a copy of the gnu affero general public licen[cs]e", 2),
+    ("gpl", "verbatim", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed", 3),
+    ("gpl-2.0", "freedom", r"the licen[cs]es for most software are designed to take away your freedom to share and change it", 2),
+    ("gpl-3.0", "copyleft", r"the gnu general public licen[cs]e is a free copyleft licen[cs]e for software and other kinds of works", 1),
+    ("agpl-3.0", "interacting", r"all users interacting with it remotely through a computer network", 2),
+    ("gpl-classpath", "classpath", r"(?:gnu )?classpath (?:linking )?exception", 2),
+    ("gpl-gcc-exception", "runtime", r"gcc runtime library exception(?: version)?(?: 3 1)?", 2),
+    ("gpl-linux-syscall", "syscall", r"linux syscall note", 2),
+    ("fdl", "invariant", r"with no invariant sections no front cover texts and no back cover texts", 2),
+    ("fsfap", "royalty", r"copying and distribution of this file with or without modification are permitted in any medium without royalty", 1),
+    ("fsful", "unlimited", r"the free software foundation gives unlimited permission to copy and or distribute it", 1),
+    ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public licen[cs]e v ?2 0", 1),
+    ("mpl-2.0", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at", 2),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1", 1),
+    ("epl-1.0", "accompanying", r"the accompanying materials are made available under the terms of the eclipse public licen[cs]e v ?1 0", 1),
+    ("epl-2.0", "accompanying", r"the accompanying materials are made available under the terms of the eclipse public licen[cs]e (?:v ?)?2 0", 1),
+    ("cddl-1.0", "subject", r"the contents of this file are subject to the terms of the common development and distribution licen[cs]e", 1),
+    ("bsl-1.0", "organization", r"to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e", 1),
+    ("unlicense", "compile", r"anyone is free to copy modify publish use compile sell or distribute this software", 2),
+    ("unlicense", "heirs", r"detriment of our heirs and successors", 2),
+    ("unlicense", "relinquishment", r"an overt act of relinquishment in perpetuity of all present and future rights", 2),
+    ("wtfpl", "fuck", r"do what the fuck you want to public licen[cs]e", 1),
+    ("cc0-1.0", "waived", rf"to the extent possible under law {_W}(?:has|have) waived all copyright and related or neighbou?ring rights", 1),
+    ("cc-by", "work", r"this work is licensed under a creative commons attribution(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 1),
+    ("cc-by-sa", "work", r"this work is licensed under a creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 1),
+    ("cc-by-nc", "work", r"this work is licensed under a creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 1),
+    ("cc", "redistribute", r"you are free to share copy and redistribute the material in any medium or format", 3),
+    ("cc-by", "credit", r"you must give appropriate credit provide a link to the licen[cs]e and indicate if changes were made", 3),
+    ("cc-by-sa", "remix", r"if you remix transform or build upon the material you must distribute your contributions under the same licen[cs]e as the original", 2),
+    ("cc-by-nd", "remix", r"if you remix transform or build upon the material you may not distribute the modified material", 2),
+    ("cc-by-nc", "material", r"you may not use the material for commercial purposes", 2),
+    ("odbl", "database", r"this [^\x01\x20]+ database is made available under the open database licen[cs]e|this database is made available under the open database licen[cs]e", 1),
+    ("dbcl", "contents", r"any rights in individual contents of the database are licensed under the database contents licen[cs]e", 1),
+    ("ofl-1.1", "font", r"this font software is licensed under the sil open font licen[cs]e version 1 1", 1),
+    ("artistic-1.0", "intent", r"the intent of this document is to state the conditions under which a package may be copied", 1),
+    ("perl", "perl", r"(?:you can|you may) redistribute it and or modify it under the same terms as perl(?: itself)?", 1),
+    ("python-2.0", "psf", r"psf (?:is making python available to licensee on an as is basis|hereby grants licensee a nonexclusive royalty free world wide licen[cs]e)", 1),
+    ("php-3.01", "php", r"this product includes php software freely available from", 1),
+    ("openssl", "toolkit", r"this product includes software developed by the openssl project for use in the openssl toolkit", 1),
+    ("hpnd", "historical", r"historical permission notice and disclaimer", 2),
+    ("x11", "consortium", r"the name of the x consortium shall not be used in advertising", 1),
+    ("libpng", "libpng", r"libpng (?:version [12] )?licen[cs]e(?: version [12])?", 3),
+    ("ijg", "jpeg", r"based in part on the work of the independent jpeg group", 1),
+    ("curl", "curl", r"curl licen[cs]e", 3),
+    ("vim", "vim", r"vim licen[cs]e", 3),
+    ("beerware", "beer", r"the beer ware licen[cs]e|you can buy me a beer in return", 2),
+    ("beerware", "beerware", r"beerware licen[cs]e", 2),
+    ("unicode", "unicode", r"unicode (?:inc )?licen[cs]e agreement(?: data files and software)?", 2),
+    ("w3c", "w3c", r"w3c (?:software|document)(?: and document)?(?: notice and)? licen[cs]e", 2),
+    ("nasa-1.3", "nasa", r"nasa open source agreement(?: version)?(?: 1 3)?", 2),
+    ("ibm-pl", "ibm", r"ibm public licen[cs]e(?: version)?(?: 1 0)?", 2),
+    ("lucent", "lucent", r"lucent public licen[cs]e(?: version)?(?: 1 02)?", 2),
+    ("apsl-2.0", "apple", r"apple public source licen[cs]e(?: version)?(?: 2 0)?", 2),
+    ("sleepycat", "sleepycat", r"sleepycat (?:public |software )?licen[cs]e", 2),
+    ("npl-1.1", "netscape", r"netscape public licen[cs]e(?: version)?(?: 1 [01])?", 2),
+    ("zpl-2.1", "zope", r"zope public licen[cs]e(?: version)?(?: 2 1)?", 2),
+    ("efl-2.0", "eiffel", r"eiffel forum licen[cs]e(?: version)?(?: 2)?", 2),
+    ("cpal-1.0", "attribution", r"common public attribution licen[cs]e(?: version)?(?: 1 0)?", 2),
+    ("rpl-1.5", "reciprocal", r"reciprocal public licen[cs]e(?: version)?(?: 1 5)?", 2),
+    ("cecill", "cecill", r"cecill(?: [bc])?(?: version)?(?: 2 [01])?(?: licen[cs]e)?", 3),
+    ("cecill", "logiciel", r"ce logiciel est r\u00E9gi par la licence cecill", 1),
+    ("eupl-1.2", "eupl", r"licensed under the eupl(?: version)?(?: v?1 [012])?", 2),
+    ("mulan-2.0", "mulan", r"mulan (?:psl|permissive software licen[cs]e)(?: ?v2| version 2)?", 2),
+    ("busl-1.1", "production", r"the right to copy modify create derivative works redistribute and make non production use of the licensed work", 1),
+    ("sspl-1.0", "functionality", r"if you make the functionality of the program or a modified version available to third parties as a service", 1),
+    ("elastic-2.0", "elastic", r"elastic licen[cs]e(?: version)?(?: v?2(?: 0)?)?", 3),
+    ("elastic-2.0", "hosted", r"you may not provide the software to third parties as a hosted or managed service", 1),
+    ("commons-clause", "commons", r"commons clause(?: licen[cs]e condition)?(?: v1 0)?", 2),
+    ("polyform", "polyform", r"polyform (?:noncommercial|small business|shield|perimeter|strict|free trial|internal use) licen[cs]e", 2),
+    ("llama-community", "llama", r"built with (?:meta )?llama", 3),
+    ("llama-community", "meta", r"meta llama [23] is licensed under the meta llama [23] community licen[cs]e", 1),
+    ("gemma", "gemma", r"gemma terms of use", 2),
+    ("openrail", "bigscience", r"bigscience (?:open )?rail(?: m)?(?: licen[cs]e)?", 2),
+    ("openrail", "creativeml", r"creativeml open ?rail(?: ?m)?(?: licen[cs]e)?", 2),
+    ("ogl-uk", "government", r"open government licen[cs]e(?: v?[123](?: 0)?)?", 2),
+    ("ogl-uk", "sector", r"contains public sector information licensed under", 2),
+    ("etalab", "ouverte", r"licence ouverte(?: open licence)?(?: version)?(?: 2 0)?", 2),
+    ("dl-de", "datenlizenz", r"datenlizenz deutschland(?: namensnennung| zero)?(?: version)?(?: 2 0)?", 2),
+    ("public-domain", "protection", r"(?:is )?not subject to copyright protection in the united states", 2),
+    ("public-domain", "105", r"pursuant to title 17 section 105 of the united states code", 1),
+    ("public-domain", "copyrighted", r"this (?:work|software|file|document) is not copyrighted", 3),
+    ("proprietary", "reproduced", r"no part of this (?:publication|book|document|work|website) may be reproduced", 2),
+    ("proprietary", "internal", r"for internal use only", 3),
+    ("proprietary", "information", r"this (?:software|document|file) is the confidential and proprietary information of", 2),
+    ("proprietary", "secrets", r"contains trade secrets", 3),
+    ("proprietary", "written", r"(?:copied|reproduced|distributed|republished|used) (?:in any form )?without (?:the )?(?:prior |express |explicit )*written (?:permission|consent)", 2),
+    ("eula", "agree", r"by (?:using|installing|downloading|accessing) (?:this|the) (?:software|product|program|site|website) you agree to", 3),
+    ("eula", "agreement", r"end user licen[cs]e agreement", 2),
+    ("eula", "revocable", r"limited non exclusive non transferable revocable licen[cs]e", 2),
+    ("evaluation", "evaluation", r"for evaluation (?:purposes )?only", 3),
+    ("non-commercial", "commercial", r"(?:for non ?commercial use only|not for commercial use|personal and non ?commercial use only)", 3),
+    ("reserved", "vorbehalten", r"alle rechte vorbehalten", 4),
+    ("reserved", "droits", r"tous droits r\u00E9serv\u00E9s", 4),
+    ("reserved", "reservados", r"todos los derechos reservados", 4),
+    ("reserved", "riservati", r"tutti i diritti riservati", 4),
+    ("license-file", "copying", r"see (?:the )?(?:file )?copying(?: lesser| txt| md)? for (?:more )?(?:copying permission|details|information)", 4),
+    ("license-file", "license", r"see (?:the )?(?:file )?license(?: txt| md)? (?:file )?(?:in the project root )?for (?:full |more )?(?:licen[cs]e )?(?:details|information)", 4),
+)
+
+
 def build_rules() -> tuple[Rule, ...]:
-    """Every family's forms - identifier, grant, address, name, name with a nearby notice - then statements and base phrases."""
+    """Every family's forms - identifier, grant, address, name, name with a nearby notice - then statements, notices and base phrases."""
     rules = []
     grant = r"(?:licen[cs]ed|released|distributed|published|available|provided|covered|redistributed|shared) (?:for use )?(?:under|by|subject to|according to) (?:the )?(?:terms (?:and conditions )?of )?(?:the |a |an )?"
     for label, keyword, name, spdx, address in FAMILIES:
@@ -156,7 +296,7 @@ def build_rules() -> tuple[Rule, ...]:
         rules.append(Rule(label, keyword, name, 3))
         if address:
             rules.append(Rule(label, address.split(" ")[0], rf"(?:https? )?(?:www )?{address}", 2))
-    rules += [Rule(*s) for s in STATEMENTS]
+    rules += [Rule(*s) for s in STATEMENTS + NOTICES]
     rules += [Rule(label, BASE_KEYWORDS[phrase], phrase, 5, True) for phrase, label in BASE.items()]
     return tuple(rules)
 
@@ -164,91 +304,82 @@ def build_rules() -> tuple[Rule, ...]:
 RULES = build_rules()
 
 
+#: What follows a word in the string that rules are matched against: a mark and the word's number.
+MARK = "\x01"
+_NUMBER = r"\x01[0-9]++"
+
+
+def over_numbered(pattern: str) -> str:
+    """A pattern over words with blanks between, for words that are followed by their numbers."""
+    return rf"(?<= )(?:{pattern.replace(' ', f'(?:{_NUMBER} )')}){_NUMBER}(?= )"
+
+
 def rule_array(rules: tuple[Rule, ...]) -> Column:
     """The ordered rules as one literal."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
-                F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.base).alias("base"),
-            )
-            for i, r in enumerate(rules)
-        ]
-    )
-
-
-def _blanks(c: Column) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-
-
-def _spans(norm: Column, rule: Column) -> Column:
-    """Detections of one rule: matches and what lies between them, turned into word positions."""
-    found = F.regexp_extract_all(norm, rule["pattern"], F.lit(0))
-    between = F.slice(F.split(norm, rule["pattern"], -1), 1, F.size(found))
-
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + _blanks(x["gap"]) - 1
-        words = _blanks(x["match"]) + 1
-        hit = F.struct(
-            start.cast("long").alias("start"), (-(start + words)).cast("long").alias("neg_end"), rule["priority"].alias("priority"),
-            rule["rule"].alias("rule"), rule["label"].alias("label"), rule["base"].alias("base"), x["match"].alias("match"),
-        )
-        return F.struct((acc["at"] + _blanks(x["gap"]) + _blanks(x["match"])).cast("int").alias("at"), F.concat(acc["hits"], F.array(hit)).alias("hits"))
+    made = [{"rule": i, "label": r.label, "keyword": r.keyword, "pattern": over_numbered(r.pattern), "priority": r.priority, "base": r.base} for i, r in enumerate(rules)]
+    return F.from_json(F.lit(json.dumps(made)), "array<struct<rule:int,label:string,keyword:string,pattern:string,priority:int,base:boolean>>")
+
 
-    none = F.from_json(F.lit("[]"), HITS)
-    pairs = F.zip_with(between, found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("hits")), add, lambda acc: acc["hits"])
+def _hits(numbered: Column, rule: Column) -> Column:
+    """Detections of one rule: start and end in words, and the match."""
 
+    def hit(m: Column) -> Column:
+        start = F.regexp_extract(m, r"\x01([0-9]+)", 1).cast("long")
+        words = F.length(m) - F.length(F.replace(m, F.lit(MARK), F.lit("")))
+        return F.struct(
+            start.alias("start"), (start + words).alias("end"), rule["priority"].alias("priority"), rule["rule"].alias("rule"),
+            rule["label"].alias("label"), rule["base"].alias("base"), F.regexp_replace(m, r"\x01[0-9]+", "").alias("match"),
+        )
 
-HITS = "array<struct<start:bigint,neg_end:bigint,priority:int,rule:int,label:string,base:boolean,match:string>>"
+    return F.transform(F.regexp_extract_all(numbered, rule["pattern"], F.lit(0)), hit)
 
 
-def _resolve(hits: Column) -> Column:
-    """Detections not covered by one of the same or a better priority; ``hits`` are sorted by start, then longest first."""
-    levels = sorted(CONFIDENCE)
+def detections(docs: DataFrame, doc_id: str, text: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """rk, doc_id, n_words, hit: one row per detection, and one with a null hit per document without any."""
+    keywords = F.from_json(F.lit(json.dumps(sorted({r.keyword for r in rules}))), "array<string>")
+    flat = lambda c: F.trim(F.regexp_replace(ascii_lower(c(text)), NOT_WORD, " "))
+    rows = keyed(docs, lambda c: c(doc_id).alias("doc_id"), lambda c: flat(c).alias("flat"))
+    words = rows.select("rk", "doc_id", F.when(F.col("flat") == "", F.array().cast("array<string>")).otherwise(F.split("flat", " ", -1)).alias("words"))
+    gated = words.withColumn("met", F.array_intersect("words", keywords))
+    numbered = F.array_join(F.transform("words", lambda w, i: F.concat(w, F.lit(MARK), i.cast("string"))), " ")
+    gated = gated.select("rk", "doc_id", F.size("words").cast("long").alias("n_words"), "met", F.when(F.size("met") > 0, F.concat(F.lit(" "), numbered, F.lit(" "))).alias("numbered"))
+    tried = F.filter(rule_array(rules), lambda r: F.array_contains(F.col("met"), r["keyword"]))
+    hits = F.when(F.size("met") > 0, F.flatten(F.transform(tried, lambda r: _hits(F.col("numbered"), r))))
+    return gated.select("rk", "doc_id", "n_words", F.explode_outer(hits).alias("hit"))
 
-    def add(acc: Column, d: Column) -> Column:
-        end = -d["neg_end"]
-        # reach_p: the farthest end so far among detections of priority p or better.
-        reach = F.coalesce(*[F.when(d["priority"] == p, acc[f"reach_{p}"]) for p in levels])
-        kept = F.when(reach >= end, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d)))
-        ends = [F.when(d["priority"] <= p, F.greatest(acc[f"reach_{p}"], end)).otherwise(acc[f"reach_{p}"]).alias(f"reach_{p}") for p in levels]
-        return F.struct(*ends, kept.alias("kept"))
 
-    start = F.struct(*[F.lit(-1).cast("long").alias(f"reach_{p}") for p in levels], F.from_json(F.lit("[]"), HITS).alias("kept"))
-    return F.aggregate(hits, start, add, lambda acc: acc["kept"])
+def unsuppressed(found: DataFrame) -> DataFrame:
+    """``found`` with kept: whether a detection isn't covered by one of the same or a better priority."""
+    before = Window.partitionBy("rk").orderBy("hit.start", F.desc("hit.end"), "hit.priority", "hit.rule").rowsBetween(Window.unboundedPreceding, -1)
+    # The farthest end so far among detections of each priority or a better one.
+    reach = [F.when(F.col("hit.priority") == p, F.max(F.when(F.col("hit.priority") <= p, F.col("hit.end"))).over(before)) for p in sorted(CONFIDENCE)]
+    return found.withColumn("kept", F.col("hit").isNotNull() & (F.coalesce(*reach, F.lit(-1)) < F.col("hit.end")))
 
 
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: n_words, hits (all detections), detections (those that stay), base_* and labels, score."""
-    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in rules})])
-    lowered = F.trim(F.regexp_replace(ascii_lower(F.col(text)), NOT_WORD, " "))
-    words = docs.select(F.col(doc_id).alias("doc_id"), lowered.alias("flat"))
-    words = words.select("doc_id", "flat", F.when(F.col("flat") == "", F.array().cast("array<string>")).otherwise(F.split("flat", " ", -1)).alias("words"))
-    gated = words.select("doc_id", "flat", F.size("words").cast("long").alias("n_words"), F.array_intersect("words", keywords).alias("met"))
-    gated = gated.withColumn("norm", F.when(F.size("met") > 0, F.concat(F.lit(" "), F.col("flat"), F.lit(" ")))).drop("flat")
-    tried = F.filter(rule_array(rules), lambda r: F.array_contains(F.col("met"), r["keyword"]))
-    hits = F.array_sort(F.flatten(F.transform(tried, lambda r: _spans(F.col("norm"), r))))
-    found = gated.select("doc_id", "n_words", F.when(F.size("met") > 0, hits).otherwise(F.from_json(F.lit("[]"), HITS)).alias("hits"))
-    found = found.withColumn("detections", F.when(F.size("hits") > 0, _resolve(F.col("hits"))).otherwise(F.col("hits")))
-    base = F.filter("hits", lambda h: h["base"])
-    out = found.withColumn("base_hits", base)
-
-    def joined(a: Column) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(a)), ",")
+    """One row per document: n_words, base_* columns, labels, score and detections (those that stay).
 
-    base_labels = F.transform("base_hits", lambda h: h["label"])
+    Documents are counted from the rows of their detections: one exchange, of those alone.
+    """
+    found = unsuppressed(detections(docs, doc_id, text, rules))
+    base, kept, hit = F.col("hit.base"), F.col("kept"), F.col("hit")
     confidence = F.create_map(*[x for p, c in CONFIDENCE.items() for x in (F.lit(p), F.lit(c))])
-    return out.select(
-        "doc_id",
-        "n_words",
-        F.size("base_hits").cast("long").alias("n_base"),
-        F.array_min(F.transform("base_hits", lambda h: h["start"])).alias("first_word"),
-        F.array_max(F.transform("base_hits", lambda h: h["start"])).alias("last_word"),
-        joined(base_labels).alias("base_labels"),
-        joined(F.concat(base_labels, F.transform("detections", lambda h: h["label"]))).alias("labels"),
-        F.coalesce(F.array_max(F.transform("detections", lambda h: F.element_at(confidence, h["priority"]))), F.lit(0.0)).alias("score"),
-        F.transform("detections", lambda h: F.struct(h["start"].alias("start"), (-h["neg_end"]).alias("end"), h["label"].alias("label"), h["match"].alias("match"))).alias("detections"),
+    joined = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, hit["label"]))), ",")
+    span = F.struct(hit["start"].alias("start"), hit["end"].alias("end"), hit["label"].alias("label"), hit["match"].alias("match"))
+    return (
+        found.groupBy("rk")
+        .agg(
+            F.first("doc_id").alias("doc_id"),
+            F.first("n_words").alias("n_words"),
+            F.count_if(base).alias("n_base"),
+            F.min(F.when(base, hit["start"])).alias("first_word"),
+            F.max(F.when(base, hit["start"])).alias("last_word"),
+            joined(base).alias("base_labels"),
+            joined(base | kept).alias("labels"),
+            F.coalesce(F.max(F.when(kept, F.element_at(confidence, hit["priority"]))), F.lit(0.0)).alias("score"),
+            F.array_sort(F.collect_list(F.when(kept, span))).alias("detections"),
+        )
+        .drop("rk")
     )
 
 

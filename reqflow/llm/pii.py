@@ -6,10 +6,13 @@ separators, length and case stay).  The permutation is a conjugated rotation, so
 it has no fixed point: no value is left as it is.  As it is one-to-one, different
 values get different surrogates and equal values equal ones, in all documents and
 tasks, without a table of what has been seen.  Check digits (cards, IBAN) are made
-anew, so valid values stay valid; a long number that fails the card check is no card.  Names keep title and
-gender: a known given name becomes another of its gender and script.  Each part of a name has
-one surrogate wherever it stands, and a text's names are replaced at later mentions too, whole
-or in part, without title or cue.
+anew, so valid values stay valid; a long number that fails the card check is no card.  What is
+mapped is a value's canonical form (see :func:`canonical`): a phone number or card has one surrogate in whatever
+format it is written, and the format is put back around it.  Names keep title and
+gender: a known given name becomes another of its gender and script, any other name another of its
+script with the same vowels' and common consonants' places and the same kind of ending, which tells gender in many languages.
+Each part of a name has one surrogate wherever it stands, and a text's names are replaced at later
+mentions too, whole or in part, without title or cue.
 
 :func:`surrogate_table` lists the distinct surrogates over all documents and
 :func:`collisions` checks them: two values with one surrogate, one value with two, or
@@ -130,12 +133,41 @@ def _span(a: int, b: int) -> str:
     return "".join(map(chr, range(a, b + 1)))
 
 
-#: Letters that stand for one another: by script, case and, in Latin, vowel or not.
-CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "àáâãäåèéêëìíîïòóôõöùúûü", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "çñß", "ÇÑ",
+#: Letters that stand for one another: by script, case and, in Latin, vowel, common consonant or rare one.
+CLASSES = ("0123456789", "aeiou", "bcdfghklmnprstvw", "jqxyz", "AEIOU", "BCDFGHKLMNPRSTVW", "JQXYZ", "àáâãäåèéêëìíîïòóôõöùúûü", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "çñß", "ÇÑ",
            _span(0x3B1, 0x3C9), _span(0x391, 0x3A1) + _span(0x3A3, 0x3A9), _span(0x430, 0x44F), _span(0x410, 0x42F), _span(0x4E00, 0x9FFF))
 _CLASS = {ch: (n, i) for n, cls in enumerate(CLASSES) for i, ch in enumerate(cls)}
 
 
+# Country calling codes of one and two digits; all others have three.
+CALLING = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+#: Endings that mark a feminine name in its script.
+FEMININE = "aàáαάηήая"
+
+
+def split_phone(value: str) -> tuple[str, str, str]:
+    """Digits before the country code, the country code, and the other digits; numbers without a country are of the North American plan."""
+    digits = re.sub(r"\D", "", value)
+    if not value.startswith(("+", "00")):
+        return "", "", digits
+    lead = "00" if value.startswith("00") else ""
+    rest = digits[len(lead) :]
+    n = next((n for n in (1, 2) if rest[:n] in CALLING), 3)
+    return lead, rest[:n], rest[n:]
+
+
+def canonical(kind: str, value: str) -> str:
+    """What a value is, whatever its format: values with equal canonical forms are one entity."""
+    if kind == "phone":
+        _, country, number = split_phone(value)
+        return f"+{country or '1'} {number}"
+    if kind == "card":
+        return re.sub(r"\D", "", value)
+    if kind == "iban":
+        return value.replace(" ", "")
+    return value.lower() if kind == "email" else value
+
+
 class Surrogates:
     """Surrogates of values by kind, under one key."""
 
@@ -228,9 +260,10 @@ class Surrogates:
         return self._shape("ssn", v)
 
     def _phone(self, v: str) -> str:
-        head = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d|00\d{2}|", v).group()
-        rest = v[len(head) :]
-        return head + self._shape("phone" + head, rest, lambda t: next((c for c in t if c.isdigit()), "0") in "01")
+        lead, country, number = split_phone(v)
+        made = self._shape("phone" + (country or "1"), number, lambda t: t[:1] in ("0", "1"))
+        out = iter(lead + country + made)
+        return "".join(next(out) if c.isdigit() else c for c in v)
 
     def _name(self, v: str) -> str:
         return " ".join(map(self._name_part, v.split(" ")))
@@ -241,7 +274,7 @@ class Surrogates:
                 return names[self._perm(f"given|{gender}|{script}", len(names))(names.index(part))]
         known = {n for names in GIVEN.values() for n in names}
         # A name that isn't listed must not turn into one that is: those are taken by the listed ones.
-        return self._shape("name", part, lambda t: t in known)
+        return self._shape("name", part, lambda t: (t in known, t[-1] in FEMININE))
 
 
 def luhn_digit(body: str) -> int:
@@ -295,8 +328,8 @@ def scrub(text: str | None, make: Surrogates) -> tuple:
         return text, [], 0, 0
     parts, entities, values, at, size = [], [], {}, 0, 0
     for a, b, kind in find_entities(text):
-        value = text[a:b]
-        new = values.setdefault((kind, value), make.of(kind, value))
+        new = make.of(kind, text[a:b])
+        values[kind, canonical(kind, text[a:b])] = canonical(kind, new)
         parts += [text[at:a], new]
         size += a - at
         entities.append((size, size + len(new), kind, new))
@@ -347,12 +380,12 @@ def entity_report(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
 
 
 def surrogate_table(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """kind, value, surrogate: the distinct values of all documents (as private as the documents themselves)."""
+    """kind, value, surrogate, in canonical form: the distinct values of all documents (as private as the documents themselves)."""
 
     @F.pandas_udf("array<struct<kind:string,value:string,surrogate:string>>")
     def run(texts: pd.Series) -> pd.Series:
         make = Surrogates(key)
-        return pd.Series([[{"kind": k, "value": t[a:b], "surrogate": make.of(k, t[a:b])} for a, b, k in find_entities(t)] if t else [] for t in texts], dtype=object)
+        return pd.Series([[{"kind": k, "value": canonical(k, t[a:b]), "surrogate": canonical(k, make.of(k, t[a:b]))} for a, b, k in find_entities(t)] if t else [] for t in texts], dtype=object)
 
     return docs.select(F.explode(run(F.col(text).cast("string"))).alias("e")).select("e.*").distinct()
 

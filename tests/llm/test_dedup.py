@@ -121,3 +121,106 @@ def test_registers_estimate_similarity(share):
         # The sketch of a union is the larger register of each.
         assert (N.registers(np.unique(np.concatenate((x, y)))) == np.maximum(a, b)).all()
     assert abs(same - share) < 0.05
+
+
+def family(n, seed=2, size=100, words=40):
+    """Near copies of one form, most of them just above or below the threshold to one another."""
+    import random
+
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(size)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3])):
+            w[rng.randrange(size)] = f"x{rng.randrange(words)}"
+        rows.append((i, " ".join(w), None, None, 0))
+    return rows
+
+
+def brute_by_bits(rows, width, percent):
+    """Smallest id of each row's component, for rows of many near copies: sets as integers of bits."""
+    number, bits = {}, []
+    for _, t, *_ in rows:
+        w, x = t.split(), 0
+        for i in range(len(w) - width + 1):
+            x |= 1 << number.setdefault(tuple(w[i : i + width]), len(number))
+        bits.append(x)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    sizes = [x.bit_count() for x in bits]
+    for i, x in enumerate(bits):
+        for j in range(i):
+            c = (x & bits[j]).bit_count()
+            if 100 * c >= percent * (sizes[i] + sizes[j] - c):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {r[0]: rows[find(i)][0] for i, r in enumerate(rows)}
+
+
+def test_a_family_around_the_threshold_is_exact_and_its_pairs_are_few(spark, monkeypatch):
+    rows = family(1500)
+    seen = {}
+    pairs_across = N._pairs_across
+
+    def counted(sets, placed, percent):
+        out = pairs_across(sets, placed, percent)
+        seen["in"], seen["out"] = placed.count(), out.count()
+        return out
+
+    monkeypatch.setattr(N, "_pairs_across", counted)
+    got = {r.doc_id: r.component_id for r in N.near_groups(frame(spark, rows)).collect()}
+    assert got == brute_by_bits(rows, 5, 80)
+    # Only nodes that are really linked to the large component have many candidates there.
+    assert len(set(got.values())) > 50 and seen["out"] < 0.04 * seen["in"] * (seen["in"] - 1) / 2
+
+
+def test_keys_do_not_follow_the_splits(spark):
+    """Rows found in one scan are the rows dropped in another, whatever the parallelism in between."""
+    from reqflow.llm import common, lm_score, warc
+
+    rows = [r for r in documents(size=120) if r[0] is not None]
+    df = frame(spark, rows * 8, extra=False).select("doc_id", "text")
+    option, before = "spark.sql.files.minPartitionNum", {}
+    wanted = len({norm(r[1]) for r in rows})
+    real = common.saved
+
+    def changing(frame_):
+        out = real(frame_)
+        spark.conf.set(option, {"2": "16", "16": "5", "5": "2"}[spark.conf.get(option)])
+        return out
+
+    try:
+        spark.conf.set(option, "2")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        for module in (E, N, lm_score, warc):
+            before[module] = module.saved
+            module.saved = changing
+        assert E.drop_copies(df).count() == wanted
+        again = N.near_groups(df, width=4).collect()
+        want, n_groups = brute_components(rows, 4, 80)
+        assert {(r.doc_id, r.component_id) for r in again} == {(i, c) for i, _, c in want}
+        assert N.drop_near_copies(df, width=4).count() == n_groups + 7 * sum(not norm(r[1]).split() for r in rows)  # wordless rows all stay
+        keys = [common.keyed(df, lambda c: c("doc_id").alias("doc_id")).collect() for _ in "ab" if spark.conf.set(option, "2" if _ == "a" else "16") is None]
+        assert sorted(map(tuple, keys[0])) == sorted(map(tuple, keys[1]))
+    finally:
+        for module, f in before.items():
+            module.saved = f
+        for o in (option, "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
+            spark.conf.unset(o)
+
+
+def test_input_that_is_no_scan_is_written_once(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([r for r in documents() if r[0] is not None], "doc_id long, text string, lang string, source string, n_chars long").repartition(3, F.rand())
+    assert E.drop_copies(df).count() == len({norm(r[1]) for r in documents()})
+    metadata = df.withColumn("_metadata", F.lit("x"))
+    assert E.drop_copies(frame(spark, documents()).withColumn("_metadata", F.lit("x"))).columns[-1] == "_metadata" and E.exact_groups(metadata).count() == df.count()
