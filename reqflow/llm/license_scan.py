@@ -274,7 +274,8 @@ NOTICES = (
     ("eula", "agreement", r"end user licen[cs]e agreement", 2),
     ("eula", "revocable", r"limited non exclusive non transferable revocable licen[cs]e", 2),
     ("evaluation", "evaluation", r"for evaluation (?:purposes )?only", 3),
-    ("non-commercial", "commercial", r"(?:for non ?commercial use only|not for commercial use|personal and non ?commercial use only)", 3),
+    ("non-commercial", "commercial", r"(?:for non commercial use only|not for commercial use|personal and non commercial use only)", 3),
+    ("non-commercial", "noncommercial", r"(?:for|personal and) noncommercial use only", 3),
     ("reserved", "vorbehalten", r"alle rechte vorbehalten", 4),
     ("reserved", "droits", r"tous droits r\u00E9serv\u00E9s", 4),
     ("reserved", "reservados", r"todos los derechos reservados", 4),

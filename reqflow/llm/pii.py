@@ -133,10 +133,16 @@ def _span(a: int, b: int) -> str:
     return "".join(map(chr, range(a, b + 1)))
 
 
-#: Letters that stand for one another: by script, case and, in Latin, vowel, common consonant or rare one.
-CLASSES = ("0123456789", "aeiou", "bcdfghklmnprstvw", "jqxyz", "AEIOU", "BCDFGHKLMNPRSTVW", "JQXYZ", "àáâãäåèéêëìíîïòóôõöùúûü", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "çñß", "ÇÑ",
+#: Letters that stand for one another: by script, case and, in Latin, vowel or not; in names, common or rare consonants.
+CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "àáâãäåèéêëìíîïòóôõöùúûü", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "çñß", "ÇÑ",
            _span(0x3B1, 0x3C9), _span(0x391, 0x3A1) + _span(0x3A3, 0x3A9), _span(0x430, 0x44F), _span(0x410, 0x42F), _span(0x4E00, 0x9FFF))
-_CLASS = {ch: (n, i) for n, cls in enumerate(CLASSES) for i, ch in enumerate(cls)}
+#: In names, these stand for one another and the rest of their class for one another: rare consonants, and other scripts' vowels.
+APART = ("jqxyz", "аеиоуыэюя", "йщъьфцжхшч", "αεηιουω", "ξψζφχθς")
+NAME_CLASSES = tuple(
+    part for cls in CLASSES for low in [[c.lower() for c in cls]] for group in (None, *APART)
+    if (part := "".join(c for c, x in zip(cls, low, strict=True) if next((g for g in APART if x in g), None) == group))
+)
+_CLASS, _NAME_CLASS = ({ch: (n, i) for n, cls in enumerate(classes) for i, ch in enumerate(cls)} for classes in (CLASSES, NAME_CLASSES))
 
 
 # Country calling codes of one and two digits; all others have three.
@@ -178,11 +184,12 @@ class Surrogates:
 
     def _shape(self, kind: str, text: str, accept=None) -> str:
         """Another text of the same shape; with ``accept``, one for which it gives the same."""
-        at = [_CLASS.get(ch) for ch in text]
+        classes, class_of = (NAME_CLASSES, _NAME_CLASS) if kind == "name" else (CLASSES, _CLASS)
+        at = [class_of.get(ch) for ch in text]
         size = 1
         for a in at:
             if a:
-                size *= len(CLASSES[a[0]])
+                size *= len(classes[a[0]])
         shape = ",".join(ch if a is None else str(a[0]) for ch, a in zip(text, at, strict=True))
         if size < 2:
             return text
@@ -190,15 +197,15 @@ class Surrogates:
         x = 0
         for a in at:
             if a:
-                x = x * len(CLASSES[a[0]]) + a[1]
+                x = x * len(classes[a[0]]) + a[1]
         want = accept(text) if accept else None
         while True:  # one cycle: it comes to another accepted value if there is one
             x = move(x)
             y, out = x, []
             for ch, a in zip(reversed(text), reversed(at), strict=True):
                 if a:
-                    y, i = divmod(y, len(CLASSES[a[0]]))
-                    ch = CLASSES[a[0]][i]
+                    y, i = divmod(y, len(classes[a[0]]))
+                    ch = classes[a[0]][i]
                 out.append(ch)
             found = "".join(reversed(out))
             if accept is None or accept(found) == want:
