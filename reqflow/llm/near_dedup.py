@@ -50,9 +50,10 @@ M, ROWS = 96, 4
 #: Register base and rate of the exponential hashes; registers fit 16 bits.
 B, RATE = 1.001, 20.0
 MAX_LOG_ODDS = 10.0
+MANY_EDGES = 1_000_000
 #: Sizes in one band differ by less than this factor; counters by which shingles are ordered (only speed depends on them).
 BAND = 1.05
-MOST_COUNTERS = 1 << 22
+MOST_COUNTERS = 1 << 18
 _SEEDS = mix64(np.arange(1, M + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND = mix64(np.arange(101, 101 + M // ROWS, dtype=np.uint64))
 _PLACE = mix64(np.arange(1001, 1017, dtype=np.uint64)) | np.uint64(1)
@@ -147,11 +148,10 @@ def components(links: DataFrame) -> DataFrame:
     before = mark(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c"))
-        large = attach_groups(both, least, "u", "c").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = saved(large.distinct())
-        low = saved(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")))
-        small = attach_groups(large, low, "u", "c").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = _meet(both, least, before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = _meet(large, low, before[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         after = mark(edges)
         if after == before:
@@ -160,11 +160,18 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
+def _meet(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """``edges`` (about ``n``) with the least of their node; stars of very many edges are split."""
+    # Of fewer edges, a star is some megabytes at most: looking for large ones isn't worth a job.
+    hot = hot_keys(edges.groupBy("u").agg(F.count("*").alias("c")), "u", "c") if n > MANY_EDGES else []
+    return attach_groups(edges, least, "u", None, "inner", hot)
+
+
 def _with_sides(pairs: DataFrame, side: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """``pairs`` (a, b) with columns of both nodes, renamed by side; a node of very many pairs is split."""
+    """``pairs`` (a, b) with columns of both nodes, renamed by side; a node (b) of very many pairs is split."""
     out = pairs
     for key in ("a", "b"):
-        hot = hot_keys(pairs.groupBy(key).agg(F.count("*").alias("c")), key, "c")
+        hot = hot_keys(pairs.groupBy(key).agg(F.count("*").alias("c")), key, "c") if key == "b" else []
         part = side.select(F.col("node").alias(key), *[F.col(c).alias(n + key) for c, n in columns.items()])
         out = attach_groups(out, part, key, None, "inner", hot)
     return out

@@ -427,7 +427,7 @@ def test_lm_scores_match_brute_force_but_for_false_positives(spark):
         got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm_score.score_documents(df, **kw).collect())
         assert [g[:2] for g in got] == [w[:2] for w in want]
         off = [abs(g[2] - w[2]) for g, w in zip(got, want, strict=True)]
-        assert sum(o < 1e-6 for o in off) > 0.4 * len(off)
+        assert sum(o < 1e-6 for o in off) > 0.15 * len(off)  # the others have a false positive
         assert all(o < 0.05 * abs(w[2]) + 0.01 for o, w in zip(off, want, strict=True))
         found.append([round(g[2], 9) for g in got])
     assert found[0] == found[1]  # one filter, two ways to it
