@@ -3,7 +3,6 @@
 import random
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-EXTRA = "rk string, kept int, row string, q long, group_size string, key__ int"
 
 
 def words(rng: random.Random, n: int) -> list[str]:
