@@ -73,3 +73,22 @@ def payment_terms(terms: Column) -> Column:
 
 def total_or_product(total: Column, unit: Column, quantity: Column) -> Column:
     return F.coalesce(total, unit * quantity)
+
+
+#: A line of a quotation that names an item, as the default rules read it: name, quantity, unit price, currency.
+ITEM_LINE = r"(?im)^item(?: description)?:[ ]*([^|\n]+?)[ ]*\|[ ]*(?:quantity|qty):[ ]*([0-9.]+)[ ]*\|[ ]*unit price:[ ]*([0-9.]+)(?:[ ]*\|[ ]*currency:[ ]*([^ |\n]+))?"
+
+
+def rule_items(text: Column) -> Column:
+    """The array of items that a quotation's text names line by line, with the terms that it states for all of them."""
+    once = lambda name: F.nullif(F.regexp_extract(text, rf"(?im)^{name}:[ ]*([^\n]+)$", 1), F.lit(""))
+    delivery, terms, supplier = once("delivery time"), once("payment terms"), once("vendor name")
+
+    def item(line: Column) -> Column:
+        part = lambda i: F.nullif(F.regexp_extract(line, ITEM_LINE, i), F.lit(""))
+        return F.struct(
+            part(1).alias("item_name"), part(2).try_cast("double").alias("quantity"), part(3).try_cast("double").alias("unit_price"), F.lit(None).cast("double").alias("total_price"),
+            part(4).alias("currency"), delivery.alias("delivery_time"), terms.alias("payment_terms"), supplier.alias("supplier_name"),
+        )
+
+    return F.transform(F.regexp_extract_all(text, F.lit(ITEM_LINE), F.lit(0)), item)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from reqflow.functions.text import default_currency
 
 
-def price_benchmark(items: DataFrame, neighbours: DataFrame, history: DataFrame, top: int = 5) -> DataFrame:
+def price_benchmark(items: DataFrame, neighbours: DataFrame, history: DataFrame, top: int = 5, on_error: str = "null") -> DataFrame:
     """One row per item and currency: median, least, most, count and score-weighted mean of neighbours' prices.
 
     ``items``: detail_id, currency, unit_price.  ``neighbours``: query_id,
     detail_id, score, rk.  ``history``: detail_id, currency, unit_price.  Only
-    prices in the item's currency count; an item without any has null prices.
+    prices in the item's currency count; an item without any has null prices, or no row with ``on_error="skip"``.
     """
     near = neighbours.filter(F.col("rk") <= top).select("query_id", "detail_id", F.floor(F.col("score") * 1000 + 0.5).cast("long").alias("weight"))
     prices = history.select("detail_id", default_currency(F.col("currency")).alias("currency"), F.col("unit_price").alias("old_price"))
@@ -29,7 +29,7 @@ def price_benchmark(items: DataFrame, neighbours: DataFrame, history: DataFrame,
     )
     current = items.select(F.col("detail_id").alias("query_id"), default_currency(F.col("currency")).alias("currency"), "unit_price")
     current = current.groupBy("query_id", "currency").agg(F.median("unit_price").alias("unit_price"))
-    out = current.join(stats, ["query_id", "currency"], "left")
+    out = current.join(stats, ["query_id", "currency"], "inner" if on_error == "skip" else "left")
     return out.select(
         F.col("query_id").alias("detail_id"), "currency", "unit_price", "bp_unit_price", "min_price", "max_price",
         F.coalesce("n_prices", F.lit(0)).cast("long").alias("n_prices"), "weighted_price", (F.col("unit_price") / F.col("bp_unit_price")).alias("price_ratio"),

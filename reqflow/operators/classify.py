@@ -17,11 +17,15 @@ class Category:
 
 # Categories in order of precedence; a field is a pattern, `required` must be met.
 CATEGORIES = (
-    Category("MPBC", (r"supplier\s*[1-3]", r"bid comparison|preisspiegel|angebotsvergleich", r"vendor|supplier"), (r"supplier\s*3",)),
-    Category("Quotation", (r"vendor name", r"\bdate\b", r"total amount", r"payment terms", r"delivery time")),
-    Category("RFQ", (r"project name", r"rfq number", r"\bdate\b", r"supplier to specify")),
-    Category("BER", (r"bid exception report", r"order value", r"justification", r"prepared"), (r"bid exception report",)),
-    Category("E-Auction", (r"event id", r"bid id", r"participant", r"basic price|extended price|delivery")),
+    Category(
+        "MPBC",
+        (r"supplier\s*[12]\b", r"supplier\s*3", r"\bras (?:number|no)", r"\bgsp\b", r"\bmpbc\b|bid comparison|preisspiegel|angebotsvergleich", r"approv"),
+        (r"supplier\s*3",),
+    ),
+    Category("Quotation", (r"vendor name", r"\baddress\b", r"\bdate\b", r"total amount", r"payment terms", r"delivery time", r"\bvalidity\b|valid until", r"item description")),
+    Category("RFQ", (r"project name", r"rfq number", r"\bdate\b", r"supplier to specify", r"specification", r"\bcommercials\b")),
+    Category("BER", (r"bid exception report", r"order value", r"justification", r"\b[a-e]\)|option [a-e]\b", r"\bprepared\b", r"\bpurchasing\b", r"\bmd\b"), (r"bid exception report",)),
+    Category("E-Auction", (r"event id", r"bid id", r"participant", r"basic price", r"extended price", r"e-?auction|reverse auction", r"[0-9]{1,2}:[0-9]{2}")),
 )
 MIN_COVERAGE = 0.6
 

@@ -24,12 +24,36 @@ def latest_sync(status: DataFrame) -> DataFrame:
 
 
 def sync_summary(status: DataFrame) -> DataFrame:
-    return status.agg(
-        F.coalesce(F.bool_and(F.col("status") == "SUCCESS"), F.lit(True)).alias("success"),
+    """Totals of a run (etl_id null) and the results of each table: etl_id, success, tables, failed, n_rows."""
+    totals = status.rollup("etl_id").agg(
+        F.grouping("etl_id").alias("__all"),
+        F.bool_and(F.col("status") == "SUCCESS").alias("success"),
         F.count("*").alias("tables"),
         F.count_if(F.col("status") == "FAILED").alias("failed"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
     )
+    return totals.withColumn("success", F.coalesce("success", F.lit(True))).drop("__all")
+
+
+def pipeline_summary(results: DataFrame) -> DataFrame:
+    """status, n, total: how many requisitions of a run (req_no, status) succeeded and failed."""
+    n = results.groupBy("status").agg(F.count("*").alias("n"))
+    return n.withColumn("total", F.sum("n").over(Window.partitionBy()))  # one row per status
+
+
+def result_lines(stages: DataFrame, errors: DataFrame) -> DataFrame:
+    """req_no, status, line: ``OK [x] STAGE:word -> ...`` of a requisition's stages, or ``ERR [x] error`` of its first error.
+
+    ``stages``: req_no, stage_id, status, of which the words before a bracket are taken.  ``errors``: req_no, stage_id, error.
+    """
+    names = F.array(*[F.lit(s) for s in STAGES])
+    word = F.rtrim(F.regexp_extract("status", r"^([^(]*)", 1))
+    done = joined_in_order(stages, "req_no", F.concat(F.element_at(names, F.col("stage_id")), F.lit(":"), word), ["stage_id"], " → ", "stages")
+    first = errors.groupBy("req_no").agg(F.min(F.struct("stage_id", "error")).alias("e")).select("req_no", F.col("e.error").alias("error"))
+    both = done.join(first, "req_no", "full")
+    failed = F.col("error").isNotNull()
+    line = F.when(failed, F.concat(F.lit("ERR ["), F.col("req_no"), F.lit("] "), F.col("error"))).otherwise(F.concat(F.lit("OK ["), F.col("req_no"), F.lit("] "), F.col("stages")))
+    return both.select("req_no", F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"), line.alias("line"))
 
 
 def counts_per_requisition(scope: DataFrame, **tables: tuple[DataFrame, Column | None]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Nearest vectors: queries in blocks of a fixed size against a partitioned index, exact top k."""
+"""Nearest vectors: exact top k, few queries broadcast to a partitioned index, many met in blocks."""
 
 from __future__ import annotations
 
@@ -6,74 +6,106 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries broadcast at once.
+#: Queries broadcast at once, or in one block; index vectors in one block.
 QUERY_BLOCK = 2048
+INDEX_BLOCK = 32_768
+FOUND = "query_id long, detail_id long, score double, same_group boolean"
 
 
-def _block_top_k(index: DataFrame, queries: list, k: int, exclude: bool) -> DataFrame:
-    vecs = np.array([q.vals for q in queries], np.float64)
-    vecs /= np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-300)
-    held = index.sparkSession.sparkContext.broadcast((vecs, np.array([q.detail_id for q in queries]), [q.req_group for q in queries]))
+class _Side:
+    """Unit vectors with identifiers, groups as text (null belongs to no group) and order."""
+
+    def __init__(self, table: pa.Table):
+        n = table.num_rows
+        values = table.column("vals").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        self.unit = values.reshape(n, -1)
+        self.unit = self.unit / np.maximum(np.linalg.norm(self.unit, axis=1, keepdims=True), 1e-300)
+        self.ids = table.column("detail_id").to_numpy()
+        self.groups = np.array(table.column("req_group").to_pylist(), object)
+        self.seq = table.column("seq").to_numpy()
+
+
+def _top_k(q: _Side, x: _Side, k: int, exclude: bool, earlier: bool) -> pa.RecordBatch:
+    """The ``k`` best of ``x`` for each of ``q``, and those that tie with the last; ties are cut by identifier in the end."""
+    score = q.unit @ x.unit.T
+    same = (q.groups[:, None] == x.groups[None, :]) & (q.groups[:, None] != None)  # noqa: E711 - element by element
+    same = same.astype(bool)
+    if exclude:
+        score = np.where(same, -np.inf, score)
+    if earlier:
+        score = np.where(x.seq[None, :] < q.seq[:, None], score, -np.inf)
+    n = min(k, score.shape[1])
+    edge = -np.partition(-score, n - 1, axis=1)[:, n - 1 : n]
+    qi, xi = np.nonzero((score >= edge) & np.isfinite(score))
+    return pa.RecordBatch.from_arrays([pa.array(q.ids[qi]), pa.array(x.ids[xi]), pa.array(score[qi, xi]), pa.array(same[qi, xi])], names=["query_id", "detail_id", "score", "same_group"])
+
+
+def _by_broadcast(index: DataFrame, queries: pa.Table, k: int, exclude: bool, earlier: bool) -> DataFrame:
+    held = index.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q, q_ids, q_groups = held.value
-        groups = np.array(q_groups)
+        q = _Side(held.value)
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.array(b.column(2).to_pylist(), np.float64)
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            ids, own = b.column(0).to_numpy(zero_copy_only=False), np.array(b.column(1).to_pylist())
-            score = q @ x.T
-            same = groups[:, None] == own[None, :]
-            if exclude:
-                score = np.where(same, -np.inf, score)
-            n = min(k, score.shape[1])
-            # Ties at the edge are all kept here, and cut by identifier in the end.
-            edge = -np.partition(-score, n - 1, axis=1)[:, n - 1 : n]
-            qi, xi = np.nonzero((score >= edge) & np.isfinite(score))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q_ids[qi]), pa.array(ids[xi]), pa.array(score[qi, xi]), pa.array(same[qi, xi])], names=["query_id", "detail_id", "score", "same_group"]
-            )
-
-    return index.select("detail_id", "req_group", "vals").mapInArrow(run, "query_id long, detail_id long, score double, same_group boolean")
-
-
-def nearest(index: DataFrame, queries: DataFrame, k: int = 10, exclude: str = "before") -> DataFrame:
+            if b.num_rows:
+                yield _top_k(q, _Side(pa.Table.from_batches([b])), k, exclude, earlier)
+
+    return index.mapInArrow(run, FOUND)
+
+
+def _by_blocks(index: DataFrame, queries: DataFrame, k: int, exclude: bool, earlier: bool) -> DataFrame:
+    """Every block of queries meets every block of the index in a task of its own."""
+
+    def blocked(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        number = F.pmod(F.xxhash64("detail_id"), F.lit(n_own)).cast("int")
+        return df.withColumn(own, number).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+
+    def run(q: pa.Table, x: pa.Table) -> pa.Table:
+        empty = pa.table({"query_id": pa.array([], pa.int64()), "detail_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "same_group": pa.array([], pa.bool_())})
+        return pa.Table.from_batches([_top_k(_Side(q), _Side(x), k, exclude, earlier)]) if q.num_rows and x.num_rows else empty
+
+    n_q, n_x = (max(1, -(-df.count() // most)) for df, most in ((queries, QUERY_BLOCK), (index, INDEX_BLOCK)))
+    q, x = blocked(queries, "qb", n_q, "xb", n_x), blocked(index, "xb", n_x, "qb", n_q)
+    return q.groupBy("qb", "xb").cogroup(x.groupBy("qb", "xb")).applyInArrow(run, FOUND)
+
+
+def nearest(index: DataFrame, queries: DataFrame, k: int = 10, exclude: str = "before", visibility: str = "all", seq: Column | None = None) -> DataFrame:
     """query_id, detail_id, score, rk: the ``k`` nearest by cosine, ties by identifier.
 
     Vectors of the query's own group are left out ``before`` the cut (k rows as a
     rule) or ``after`` it (fewer rows then).  Both sides have detail_id, req_group, vals.
+    With visibility ``earlier`` only vectors whose ``seq`` (a column of both sides) is less than the query's are seen.
+    Rows without a vector or identifier are left out; a null group is no group's own.
     """
-    found = None
-    block: list = []
-    for q in queries.select("detail_id", "req_group", "vals").toLocalIterator():
-        block.append(q)
-        if len(block) == QUERY_BLOCK:
-            part, block = _block_top_k(index, block, k, exclude == "before"), []
-            found = part if found is None else found.union(part)
-    if block or found is None:
-        part = _block_top_k(index, block, k, exclude == "before") if block else index.sparkSession.createDataFrame([], "query_id long, detail_id long, score double, same_group boolean")
-        found = part if found is None else found.union(part)
+    place = F.lit(0) if seq is None else seq
+    narrow = lambda df: df.filter("vals is not null and detail_id is not null").select(F.col("detail_id").cast("long").alias("detail_id"), F.col("req_group").cast("string").alias("req_group"), F.col("vals").alias("vals"), place.cast("long").alias("seq"))
+    index, queries = narrow(index), narrow(queries)
+    few = queries.limit(QUERY_BLOCK + 1).toArrow()
+    modes = (k, exclude == "before", visibility == "earlier")
+    if few.num_rows > QUERY_BLOCK:
+        found = _by_blocks(index, queries, *modes)
+    elif few.num_rows:
+        found = _by_broadcast(index, few, *modes)
+    else:
+        found = index.sparkSession.createDataFrame([], FOUND)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "detail_id")
     out = found.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
     return (out.filter("not same_group") if exclude == "after" else out).drop("same_group")
 
 
 def hashed_vectors(names: DataFrame, column: str, size: int = 64) -> DataFrame:
-    """``column`` and vals: an offline embedding of each distinct text by hashed words, of unit length."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    words = names.select(column).filter(F.col(column).isNotNull()).distinct().withColumn("__w", F.split(F.lower(column), r"\s+"))
-    tf = HashingTF(inputCol="__w", outputCol="__tf", numFeatures=size).transform(words)
-    unit = Normalizer(inputCol="__tf", outputCol="__u").transform(tf)
-    return unit.select(column, vector_to_array("__u", "float32").alias("vals"))
+    """``column`` and vals: an offline embedding of each distinct text by hashed words, of unit length (zero without words)."""
+    words = F.filter(F.split(F.lower(column), r"\s+"), lambda w: w != "")
+    slots = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("long") % size)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter("__slots", lambda s: s == i)))
+    norm = F.sqrt(F.aggregate("__counts", F.lit(0).cast("long"), lambda a, c: a + c * c).cast("double"))
+    distinct = names.select(column).filter(F.col(column).isNotNull()).distinct().withColumn("__slots", slots).withColumn("__counts", counts)
+    unit = F.transform("__counts", lambda c: (c / F.greatest(norm, F.lit(1.0))).cast("float"))
+    return distinct.select(column, unit.alias("vals"))
 
 
 def batch_embed(items: DataFrame, column: str, embed=hashed_vectors) -> DataFrame:
-    """``items`` with vals: each distinct text is embedded once and joined back."""
-    return items.join(embed(items, column), column)
+    """``items`` with vals: each distinct text is embedded once and joined back; a null text has no vector."""
+    return items.join(embed(items, column), column, "left").select(*items.columns, "vals")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from reqflow.operators import requisitions as R
 from reqflow.operators.benchmark import price_benchmark, summary_text
 from reqflow.operators.classify import coverage_classify
 from reqflow.operators.merge import last_wins, upsert
-from reqflow.operators.reports import counts_per_requisition, ok_or_skipped, stage_lines, text_batch
+from reqflow.operators.reports import counts_per_requisition, ok_or_skipped, result_lines, stage_lines, text_batch
 from reqflow.operators.vectors import batch_embed, nearest
 from reqflow.sources.publish import export_blobs
 
@@ -59,18 +60,39 @@ def blobs_of(scope: DataFrame, attachments: DataFrame, documents: DataFrame) ->
     return held.select(path.alias("path"), F.col("content").cast("binary").alias("content"))
 
 
-def classify_files(files: DataFrame, infer: Callable | None = None) -> DataFrame:
-    """``files`` with doc_type and confidence: rules, or a model's answers; what can't be read is Others, 0.0."""
-    capped = files.withColumn("text", F.substring("text", 1, X.CLASSIFY_CAP))
-    if infer is None:
+def reading_way(kind, text, pages, width, height, bright):
+    """How a file is read: ``unsupported`` and ``trivial`` ones not at all, images and blank scans as ``image``, the rest as ``text``."""
+    scan = (kind == "pdf") & X.needs_ocr(text, F.coalesce(pages, F.lit(0))) & (X.strip(F.coalesce(text, F.lit(""))) == "")
+    picture = F.when(X.is_trivial_image(width, height, bright), "trivial").otherwise("image")
+    return F.when(kind == "unsupported", "unsupported").when(kind == "image", picture).when(scan, "image").otherwise("text")
+
+
+def classify_files(files: DataFrame, infer: Callable | None = None, stats: DataFrame | None = None, infer_image: Callable | None = None) -> DataFrame:
+    """``files`` with way, doc_type and confidence: rules, or a model's answers; what can't be read is Others, 0.0.
+
+    ``stats`` (attachment_id, n_pages, width, height, bright_frac) tells scans and trivial images; a picture
+    without them is trivial.  ``infer_image`` answers for files that are read as images, by blob_path; without it they are Others, 0.0.
+    """
+    if stats is None:
+        known = files.withColumns({"n_pages": F.lit(None).cast("int"), "width": F.lit(None).cast("int"), "height": F.lit(None).cast("int"), "bright_frac": F.lit(None).cast("double")})
+    else:
+        known = files.join(stats.select("attachment_id", "n_pages", "width", "height", "bright_frac"), "attachment_id", "left")
+    way = reading_way(*[F.col(c) for c in ("kind", "text", "n_pages", "width", "height", "bright_frac")])
+    capped = known.withColumn("way", way).withColumn("text", F.substring("text", 1, X.CLASSIFY_CAP)).drop("n_pages", "width", "height", "bright_frac")
+
+    def answered(part: DataFrame, model: Callable, column: str) -> DataFrame:
+        got = batch_infer(part, model, column).withColumn("__c", A.parse_classification(F.col("answer")))
+        return got.withColumn("doc_type", F.col("__c.doc_type")).withColumn("confidence", F.col("__c.confidence")).drop("__c", "answer", "answer_error")
+
+    if infer is None and infer_image is None:  # one pass
         scored = coverage_classify(capped)
         label, conf = A.label_map(F.col("doc_type")), F.when(F.col("doc_type") == "Other", 0.0).otherwise(F.col("coverage"))
-        scored = scored.withColumn("doc_type", label).withColumn("confidence", conf).drop("coverage", "band")
-    else:
-        scored = batch_infer(capped, infer).withColumn("__c", A.parse_classification(F.col("answer")))
-        scored = scored.withColumn("doc_type", F.col("__c.doc_type")).withColumn("confidence", F.col("__c.confidence")).drop("__c", "answer", "answer_error")
-    unknown = F.col("kind") == "unsupported"
-    return scored.withColumn("doc_type", F.when(unknown, "Others").otherwise(F.col("doc_type"))).withColumn("confidence", F.when(unknown, 0.0).otherwise(F.col("confidence")))
+        read = F.col("way") == "text"
+        return scored.withColumn("confidence", F.when(read, conf).otherwise(0.0)).withColumn("doc_type", F.when(read, label).otherwise("Others")).drop("coverage", "band")
+    texts, rest = capped.filter("way = 'text'"), capped.filter("way <> 'text'")
+    texts = answered(texts, infer, "text") if infer else classify_files(texts.drop("way"))
+    out = texts.unionByName(rest.filter("way <> 'image'" if infer_image else "true").withColumns({"doc_type": F.lit("Others"), "confidence": F.lit(0.0)}))
+    return out.unionByName(answered(rest.filter("way = 'image'"), infer_image, "blob_path")) if infer_image else out
 
 
 def normalised_item(item) -> list:
@@ -82,11 +104,22 @@ def normalised_item(item) -> list:
     ]
 
 
-def extract_items(files: DataFrame, infer: Callable) -> DataFrame:
-    """req_no, blob_path and one row per item of the quotations' texts."""
+def extracted(files: DataFrame, infer: Callable | None = None) -> DataFrame:
+    """req_no, blob_path, items, error of the quotations' texts: by rules, or a model; a model's failure is the row's error."""
     texts = files.filter((F.col("doc_type") == "Quotation") & (F.col("text") != "")).withColumn("text", F.substring("text", 1, X.EXTRACT_CAP))
-    got = batch_infer(texts, infer).select("req_no", "blob_path", F.explode(A.parse_items(F.col("answer"))).alias("i"))
-    return got.select("req_no", "blob_path", *normalised_item(F.col("i")))
+    if infer is None:
+        return texts.select("req_no", "blob_path", A.rule_items(F.col("text")).alias("items"), F.lit(None).cast("string").alias("error"))
+    return batch_infer(texts, infer).select("req_no", "blob_path", A.parse_items(F.col("answer")).alias("items"), F.col("answer_error").alias("error"))
+
+
+def extract_items(files: DataFrame, infer: Callable | None = None) -> DataFrame:
+    """req_no, blob_path and one row per item of the quotations' texts."""
+    return listed_items(extracted(files, infer))
+
+
+def listed_items(found: DataFrame) -> DataFrame:
+    rows = found.select("req_no", "blob_path", F.explode("items").alias("i"))
+    return rows.select("req_no", "blob_path", *normalised_item(F.col("i")))
 
 
 def replace_items(table: DataFrame, new: DataFrame, mode: str = "replace") -> DataFrame:
@@ -105,19 +138,38 @@ def embed_selected(items: DataFrame, embed: Callable | None = None) -> tuple[Dat
     return rows, chosen.filter("detail_id is null")
 
 
-def benchmark_items(items: DataFrame, vectors: DataFrame, history: DataFrame, k: int = 10, top: int = 5, exclude: str = "before") -> DataFrame:
-    """Benchmarks of the items that have a vector, with a summary each."""
+def store_vectors(index: DataFrame, rows: DataFrame) -> DataFrame:
+    """The vector table (id, detail_id, req_group, vals) after an upsert of :func:`embed_selected`'s rows; their requisition is the group."""
+    columns = ["id", "detail_id", F.col("req_group").cast("string").alias("req_group"), F.col("vals").cast("array<float>").alias("vals")]
+    return upsert(index.select(*columns), rows.withColumnRenamed("req_no", "req_group").select(*columns), "id", ["detail_id", "req_group", "vals"])
+
+
+def benchmark_items(items: DataFrame, vectors: DataFrame, history: DataFrame, k: int = 10, top: int = 5, exclude: str = "before", on_error: str = "null", **seen) -> DataFrame:
+    """Benchmarks of the items that have a vector, with a summary each; ``seen``: visibility and seq of :func:`nearest`."""
     wanted = vectors.join(items.select("detail_id").distinct(), "detail_id", "left_semi")
-    near = nearest(vectors, wanted, k, exclude)
-    return price_benchmark(items, near, history, top).withColumn("summary", summary_text())
+    near = nearest(vectors, wanted, k, exclude, **seen)
+    return price_benchmark(items.join(wanted.select("detail_id"), "detail_id", "left_semi"), near, history, top, on_error).withColumn("summary", summary_text())
+
+
+BENCHMARK = ("detail_id", "currency", "bp_unit_price", "summary", "created_at", "updated_at")
+
+
+def store_benchmarks(table: DataFrame, found: DataFrame, run_date: str) -> DataFrame:
+    """The benchmark table (BENCHMARK's columns) after an upsert by item and currency; a null price overwrites."""
+    day, key = F.lit(run_date).cast("date"), F.concat_ws("/", "detail_id", "currency")
+    new = found.withColumn("created_at", day).withColumn("updated_at", day).select(*BENCHMARK, key.alias("__key"))
+    return upsert(table.select(*BENCHMARK, key.alias("__key")), new, "__key", ["bp_unit_price", "summary", "updated_at"]).drop("__key")
 
 
-def ingest(requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, run_date: str, n: int | None = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stages 1-3 of a run: the tracker after it, the run's files, and one text per requisition."""
+def ingest(
+    requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, run_date: str, root: str | None = None, n: int | None = 10
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stages 1-3 of a run: the tracker after it, the run's files, and one text per requisition; files are exported below ``root``, if given."""
     scope = R.choose(requisitions, tracker, n=n)
-    moved = touch(tracker, scope, run_date)
+    if root is not None:
+        export_blobs(blobs_of(scope, attachments, documents), root)
     files = attachments_of(scope, attachments, documents)
-    return moved, files, text_batch(scope, files.select("req_no", "attachment_id", "name", "text"))
+    return touch(tracker, scope, run_date), files, text_batch(scope, files.select("req_no", "attachment_id", "name", "text"))
 
 
 def _moves(tracker: DataFrame, scope: DataFrame, stage: int, run_date: str) -> DataFrame:
@@ -168,18 +220,15 @@ def items_of_records(records: DataFrame) -> DataFrame:
     return rows.select("req_no", "attachment_id", "blob_path", *normalised_item(F.col("i")))
 
 
-def run_summary(scope: DataFrame, files: DataFrame, classified: DataFrame, items: DataFrame, vectors: DataFrame, benchmarks: DataFrame) -> DataFrame:
-    """req_no, line: what each stage did for each requisition."""
-    n = counts_per_requisition(
-        scope, files=(files, None), classified=(classified, None), quotations=(classified, F.col("doc_type") == "Quotation"), items=(items, None), vectors=(vectors, None), benchmarks=(benchmarks, None)
-    )
-    status = [
-        (1, F.lit("OK")), (2, F.concat(F.lit("OK ("), F.col("files").cast("string"), F.lit(" files)"))), (4, F.concat(F.lit("OK ("), F.col("classified").cast("string"), F.lit(" files)"))),
-        (5, F.concat(F.lit("OK ("), F.col("items").cast("string"), F.lit(" items)"))), (6, ok_or_skipped(F.col("vectors"), "vectors", "no vectors")),
-        (7, ok_or_skipped(F.col("benchmarks"), "rows", "no vectors")), (8, F.lit("OK")),
-    ]
-    stages = n.select("req_no", F.explode(F.array(*[F.struct(F.lit(i).alias("stage_id"), s.alias("status")) for i, s in status])).alias("x")).select("req_no", "x.*")
-    return stage_lines(stages)
+def stage_status(scope: DataFrame, stages: dict[int, tuple[str, DataFrame | None]]) -> DataFrame:
+    """req_no, stage_id, status of a run: ``OK (n what)``, ``SKIPPED (no what)`` for none in stages 6 and 7, ``OK`` without a table."""
+    n = counts_per_requisition(scope, **{f"s{i}": (df, None) for i, (_, df) in stages.items() if df is not None})
+    said = []
+    for i, (what, df) in stages.items():
+        c = F.col(f"s{i}")
+        some = F.concat(F.lit("OK ("), c.cast("string"), F.lit(f" {what})")) if df is not None else F.lit("OK")
+        said.append(F.struct(F.lit(i).alias("stage_id"), (ok_or_skipped(c, what, f"no {what}") if i in (6, 7) else some).alias("status")))
+    return n.select("req_no", F.explode(F.array(*said)).alias("x")).select("req_no", "x.*")
 
 
 def _aligned(items: DataFrame, like: DataFrame) -> DataFrame:
@@ -187,37 +236,109 @@ def _aligned(items: DataFrame, like: DataFrame) -> DataFrame:
     return items.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema if f.name not in items.columns])
 
 
+@dataclass
+class Run:
+    """Tables after a run: the tracker, benchmarks, statuses (req_no, stage_id, status), errors (req_no, stage_id, error) and lines."""
+
+    tracker: DataFrame
+    benchmarks: DataFrame
+    statuses: DataFrame
+    errors: DataFrame
+    lines: DataFrame
+
+
+class _Tables:
+    """Tables of a run, written below a folder and read again."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/tables/{name}")
+        return df.sparkSession.read.parquet(f"{self.root}/tables/{name}")
+
+
 def run_pipeline(
-    requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, infer: Callable, root: str, n: int | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All stages for the pending requisitions: the tracker after the run, the benchmarks, and the summary.
+    requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, root: str,
+    infer: Callable | None = None, stats: DataFrame | None = None, n: int | None = None, on_error: str = "null", visibility: str = "all",
+) -> Run:
+    """All eight stages for the pending requisitions, each over all of them at once.
 
     ``items`` and ``vectors`` (id, detail_id, req_group, vals) are the tables
-    before the run; ``infer`` reads items from quotations; files and the tables
-    between stages go below ``root``.
+    before the run; ``infer`` reads items from quotations (default: rules); files and the tables
+    between stages go below ``root``.  After each stage the tracker moves the requisitions on that
+    have no rejected row so far; others stay at the stage before, aren't worked on further, and have their error in the result.
     """
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{root}/tables/{name}")
-        return df.sparkSession.read.parquet(f"{root}/tables/{name}")
-
+    kept = _Tables(root)
     scope = kept(R.choose(requisitions, tracker, n=n), "scope")
-    moved = touch(tracker, scope, run_date)
-    files = kept(attachments_of(scope, attachments, documents), "files")
-    export_blobs(blobs_of(scope, attachments, documents), f"{root}/blobs")
-    classified = kept(classify_files(files), "classified")
-    typed = files.join(classified.select("req_no", "attachment_id", "doc_type"), ["req_no", "attachment_id"])
-    extracted = kept(extract_items(typed, infer), "extracted")
-    held = _aligned(items, extracted)
-    table = kept(replace_items(held, _aligned(extracted, held)), "items")
-    chosen = kept(R.selected_items(R.in_scope(table, scope)), "chosen")
+    errors = None
+
+    def moved(stage: int, rejects: DataFrame | None = None) -> None:
+        nonlocal tracker, alive, errors
+        if rejects is not None:
+            found = kept(rejects.select("req_no", F.lit(stage).alias("stage_id"), F.substring("error", 1, 500).alias("error")).distinct(), f"rejects-{stage}")
+            errors = found if errors is None else errors.union(found)
+            alive = kept(alive.join(found.select("req_no"), "req_no", "left_anti"), f"alive-{stage}")
+        tracker = kept(set_stage(tracker, alive, stage, run_date), f"tracker-{stage}")
+
+    alive = scope
+    moved(1)
+    files = kept(attachments_of(alive, attachments, documents), "files")
+    moved(2)
+    export_blobs(blobs_of(alive, attachments, documents), f"{root}/blobs")
+    moved(3)
+    classified = kept(classify_files(files, stats=stats), "classified")
+    moved(4)
+    found = kept(extracted(classified, infer), "extracted")
+    moved(5, found.filter("error is not null"))
+    new = kept(R.in_scope(listed_items(found.filter("error is null")), alive), "new-items")
+    held = _aligned(items, new)
+    table = kept(replace_items(held, _aligned(new, held)), "items")
+    chosen = kept(R.selected_items(R.in_scope(table, alive)), "chosen")
+    moved(6, chosen.filter("detail_id is null").select("req_no", F.concat(F.lit("item without a number: "), "item_name").alias("error")))
+    chosen = kept(R.in_scope(chosen, alive), "embedded-items")
     embedded = kept(embed_selected(chosen)[0], "embedded")
-    columns = ["id", "detail_id", F.col("req_group").cast("string").alias("req_group"), F.col("vals").cast("array<float>").alias("vals")]
-    new = embedded.withColumnRenamed("req_no", "req_group").select(*columns)
-    index = kept(upsert(vectors.select(*columns), new, "id", ["detail_id", "req_group", "vals"]), "vectors")
-    benchmarks = kept(benchmark_items(chosen, index, table), "benchmarks")
+    index = kept(store_vectors(vectors, embedded), "vectors")
+    order = F.coalesce(F.xxhash64("req_group"), F.lit(0)) if visibility == "earlier" else None
+    benchmarks = kept(benchmark_items(chosen, index, table, on_error=on_error, visibility=visibility, seq=order), "benchmarks")
+    moved(7)
+    moved(8)
     owned = chosen.select("req_no", "detail_id").distinct()
     with_vector = owned.join(embedded.select("detail_id"), "detail_id", "left_semi")
-    priced = owned.join(benchmarks.filter("n_prices > 0").select("detail_id").distinct(), "detail_id", "left_semi")
-    lines = run_summary(scope, files, classified, extracted, with_vector, priced)
-    return set_stage(moved, scope, R.COMPLETE, run_date), benchmarks, lines
+    priced = owned.join(benchmarks.select("detail_id").distinct(), "detail_id", "left_semi")
+    statuses = stage_status(
+        alive, {1: ("", None), 2: ("files", files), 3: ("files", files), 4: ("files", classified), 5: ("items", new), 6: ("vectors", with_vector), 7: ("rows", priced), 8: ("", None)}
+    )
+    return Run(tracker, benchmarks, statuses, errors, result_lines(statuses, errors))
+
+
+def apply_results(
+    responses: DataFrame, requisitions: DataFrame, tracker: DataFrame, classified: DataFrame, items: DataFrame, vectors: DataFrame, benchmarks: DataFrame, run_date: str, root: str
+) -> Run:
+    """Stages 4 to 8 from a model's answers for all files (raw, in order of doc_id), for the requisitions of the run.
+
+    All records are classified; only the run's requisitions are moved and reported.  Neighbours of a requisition
+    itself are taken out after the cut.  Answers that can't be read are errors without a requisition.
+    """
+    kept = _Tables(root)
+    records, bad = file_records(responses)
+    records = kept(records.withColumn("attachment_id", F.col("attachment_id").try_cast("long")), "records")
+    last = last_wins(records.filter("attachment_id is not null"), "attachment_id", F.col("doc_id"), F.col("seq"))
+    table = kept(upsert(classified, last.select(*classified.columns), "attachment_id", ["doc_type", "confidence", "blob_path"]), "classified")
+    new = kept(items_of_records(records), "new-items")
+    held = _aligned(items, new)
+    history = kept(replace_items(held, _aligned(new, held)), "items")
+    chosen = kept(R.selected_items(R.in_scope(history, requisitions)), "chosen")
+    embedded = kept(embed_selected(chosen)[0], "embedded")
+    index = kept(store_vectors(vectors, embedded), "vectors")
+    found = kept(benchmark_items(chosen, index, history, exclude="after"), "found")
+    priced = kept(store_benchmarks(benchmarks, found, run_date), "benchmarks")
+    moved = kept(advance(tracker, requisitions, 8, run_date), "tracker")
+    owned = chosen.select("req_no", "detail_id").distinct()
+    statuses = stage_status(
+        requisitions.select("req_no"),
+        {4: ("files", last), 5: ("items", new), 6: ("vectors", owned.join(embedded.select("detail_id"), "detail_id", "left_semi")),
+         7: ("rows", owned.join(found.select("detail_id").distinct(), "detail_id", "left_semi")), 8: ("", None)},
+    )
+    errors = bad.select(F.lit(None).cast("string").alias("req_no"), F.lit(4).alias("stage_id"), F.concat(F.lit("unreadable answer of "), F.col("doc_id").cast("string")).alias("error"))
+    return Run(moved, priced, statuses, errors, stage_lines(statuses))

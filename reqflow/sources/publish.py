@@ -1,7 +1,13 @@
-"""Versioned publishing: write beside, reconcile, then move the pointer; old data stays until then."""
+"""Versioned publishing: write beside, reconcile, then move the pointer; old data stays until then.
+
+A pointer is a small file with the version's path, written aside and renamed to the next
+number.  The highest number counts, so at any time there is one whole pointer or the one before.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -21,12 +27,36 @@ def write_version(df: DataFrame, root: str, version: str) -> tuple[str, int]:
     return path, seen.get["n"]
 
 
+def _pointers(spark: SparkSession, root: str) -> list:
+    """Pointer files in order."""
+    fs, p = file_system(spark, f"{root}/_pointers")
+    return sorted((f.getPath() for f in fs.listStatus(p) if f.getPath().getName().isdigit()), key=lambda f: int(f.getName())) if fs.exists(p) else []
+
+
+def _named(spark: SparkSession, root: str) -> str | None:
+    """The version folder that the last pointer names."""
+    found = _pointers(spark, root)
+    return spark.read.text(found[-1].toString()).first().value if found else None
+
+
+def _point(spark: SparkSession, root: str, path: str, keep: int) -> None:
+    old = _pointers(spark, root)
+    number = int(old[-1].getName()) + 1 if old else 1
+    aside, final = f"{root}/_pointers/_{uuid.uuid4().hex}", f"{root}/_pointers/{number:09d}"
+    fs, p = file_system(spark, aside)
+    out = fs.create(p)
+    out.write(bytearray(path.encode()))
+    out.close()
+    if not fs.rename(p, file_system(spark, final)[1]):
+        raise RuntimeError(f"{final} exists: another run has published")
+    for f in old[: -max(1, keep)]:
+        fs.delete(f, False)
+
+
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The version that the pointer names."""
-    fs, p = file_system(spark, f"{root}/_current")
-    if not fs.exists(p):
-        return None
-    return spark.read.parquet(spark.read.json(f"{root}/_current").first().path)
+    path = _named(spark, root)
+    return None if path is None else spark.read.parquet(path)
 
 
 def publish(spark: SparkSession, df: DataFrame, root: str, version: str, expected: int | None = None, keep: int = 2) -> int:
@@ -35,7 +65,7 @@ def publish(spark: SparkSession, df: DataFrame, root: str, version: str, expecte
     if expected is not None and n != expected:
         drop(spark, path)
         raise ReconcileError(f"{root}: {n} rows staged, {expected} in the source")
-    spark.createDataFrame([(path, version)], "path string, version string").coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    _point(spark, root, path, keep)
     clean_versions(spark, root, keep)
     return n
 
@@ -56,7 +86,7 @@ def versions(spark: SparkSession, root: str) -> list[str]:
 
 def clean_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
     """Delete all but the newest ``keep`` versions and the current one; what was deleted."""
-    named = spark.read.json(f"{root}/_current").first().path.rsplit("/", 1)[-1]
+    named = _named(spark, root).rsplit("/", 1)[-1]
     old = [v for v in versions(spark, root)[:-keep] if not v.endswith("/" + named)]
     for v in old:
         drop(spark, v)

@@ -9,9 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; one is made only where none is set."""
+    """A fresh folder below ``spark.checkpoint.dir``; one is made only where none is set and all runs on this machine."""
     if spark.sparkContext.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(path)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 

@@ -118,3 +118,54 @@ def test_classify_files_with_a_model_that_fails(spark):
     df = spark.createDataFrame([(1, "pdf", "x"), (2, "pdf", "boom"), (3, "unsupported", "x")], "i int, kind string, text string").coalesce(1)
     got = {r.i: (r.doc_type, r.confidence) for r in D.classify_files(df, model).collect()}
     assert got == {1: ("RFQ", 0.5), 2: ("Others", 0.0), 3: ("Others", 0.0)}
+
+
+def test_a_requisition_with_a_rejected_row_stays_at_the_stage_before(spark, tmp_path):
+    req = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "req_no string, created_on int")
+    tracker = spark.createDataFrame([("d", 8, "u", None, None)], "req_no string, stage_id int, tracker_uuid string, created_at date, updated_at date")
+    offer = "Vendor Name: V\nAddress: x\nDate: y\nTotal Amount: 3\nPayment Terms: 30 days net\nDelivery Time: 2 weeks\n{}"
+    files = [(1, "a", "in/a.txt", offer.format("Item Description: Bolt | Quantity: 2 | Unit Price: 1.5 | Currency: EUR")), (2, "b", "in/b.txt", offer.format("boom")), (3, "c", "in/c.zip", "x")]
+    attachments = spark.createDataFrame([f[:2] for f in files], "attachment_id long, req_no string")
+    documents = spark.createDataFrame([(f[0], *f[2:]) for f in files], "attachment_id long, attachment_name string, content string")
+    items = spark.createDataFrame([("k1", 5, "a", "bolt", 2.0, 3.0, 6.0, "EUR", "V", 1), ("k2", None, "c", "nut", 2.0, 3.0, 6.0, "EUR", "V", 1)],
+        "item_key string, detail_id long, req_no string, item_name string, quantity double, unit_price double, total_price double, currency string, supplier_name string, is_selected int")
+    vectors = spark.createDataFrame([("dtl_9", 9, "z", [1.0] * 64)], "id string, detail_id long, req_group string, vals array<float>")
+
+    def model(texts):
+        if texts.str.contains("boom").any():
+            raise ValueError("no answer")
+        return pd.Series(['[{"item_name": "Bolt", "quantity": 2, "unit_price": 1.5}]'] * len(texts))
+
+    run = D.run_pipeline(req, tracker, attachments, documents, items, vectors, "2024-06-01", str(tmp_path), infer=model)
+    assert {r.req_no: r.stage_id for r in run.tracker.collect()} == {"a": 8, "b": 4, "c": 5, "d": 8}
+    lines = {r.req_no: (r.status, r.line) for r in run.lines.collect()}
+    assert set(lines) == {"a", "b", "c"} and lines["a"][0] == "SUCCESS" and lines["a"][1].endswith("COMPLETE:OK")
+    assert lines["b"] == ("FAILED", "ERR [b] ValueError: no answer") and lines["c"] == ("FAILED", "ERR [c] item without a number: nut")
+    assert [r.detail_id for r in run.benchmarks.collect()] == [5]
+    said = {(r.req_no, r.stage_id): r.status for r in run.statuses.collect()}
+    assert said["a", 5] == "OK (1 items)" and said["a", 3] == "OK (1 files)"
+
+
+def test_key_ranges_cover_without_overlap(spark):
+    for low, high, n in ((0, 99, 7), (5, 5, 4), (-3, 3, 3), (0, 1, 8)):
+        r = S.key_ranges(low, high, n)
+        assert [x for a, b in r for x in range(a, b + 1)] == list(range(low, high + 1))
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (50, "c"), (50, "d")], "k long, v string")
+    parts = S.sliced_scan(df, "k", 3, columns=["v"])
+    assert sorted(r.v for p in parts for r in p.collect()) == ["a", "b", "c", "d"]
+    assert sum(p.count() for p in S.sliced_scan(df.limit(0), "k", 3)) == 0
+
+
+def test_a_pointer_left_aside_is_never_read(spark, tmp_path):
+    root = str(tmp_path)
+    W.publish(spark, spark.range(3), root, "1", 3)
+    (tmp_path / "_pointers" / "_dead").write_text("nowhere")  # a run that died before the rename
+    assert W.current(spark, root).count() == 3
+    W.publish(spark, spark.range(4), root, "2", 4)
+    assert W.current(spark, root).count() == 4
+
+
+def test_orphans_are_reported_after_a_run(spark, tmp_path):
+    tables = {"p": spark.range(3), "c": spark.createDataFrame([(1,), (9,), (None,)], "fk long"), "x": None}
+    got = {r.etl_id: (r.success, r.tables, r.failed, r.n_rows, r.n_orphans) for r in job(spark, tmp_path, tables).run_and_check(control(spark, "pcx"), [("c", "fk", "p", "id"), ("x", "fk", "p", "id")]).collect()}
+    assert got == {0: (True, 1, 0, 3, 0), 1: (True, 1, 0, 3, 1), 2: (False, 1, 1, 0, 0), None: (False, 3, 1, 6, 1)}
