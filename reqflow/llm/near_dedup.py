@@ -51,6 +51,8 @@ M, ROWS = 96, 4
 B, RATE = 1.001, 20.0
 MAX_LOG_ODDS = 10.0
 MANY_EDGES = 1_000_000
+#: Links per task: rounds over few links need no more tasks, and one task's worth of them needs no exchange.
+LINKS_PER_TASK = 100_000
 #: Sizes in one band differ by less than this factor; counters by which shingles are ordered (only speed depends on them).
 BAND = 1.05
 MOST_COUNTERS = 1 << 18
@@ -147,12 +149,15 @@ def components(links: DataFrame) -> DataFrame:
 
     before = mark(edges)
     while before[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        tasks = -(-before[0] // LINKS_PER_TASK)
+        edges = edges.coalesce(tasks)
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = _meet(both, least, before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = _meet(large, low, before[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        both = small.union(low.select("u", F.col("m").alias("v")))
+        edges = saved((both.coalesce(1) if tasks == 1 else both).distinct())
         after = mark(edges)
         if after == before:
             break
