@@ -126,12 +126,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def hot_keys(groups: DataFrame, key: str, size: str) -> list:
-    """Keys of the groups with more than ``HOT_SHARE`` of all rows: at most 512."""
+def hot_keys(groups: DataFrame, key: str, size: str, count: Callable[[], int] | None = None) -> list:
+    """Keys of the groups with more than ``HOT_SHARE`` of all rows: at most 512; ``count`` tells how many rows there are, where that is cheaper than adding up."""
     top = groups.select(key, size).orderBy(F.desc(size)).limit(int(1 / HOT_SHARE)).collect()
     if not top or top[0][1] <= MIN_HOT:
         return []
-    total = groups.agg(F.sum(size)).first()[0]
+    total = count() if count else groups.agg(F.sum(size)).first()[0]
     return [k for k, n in top if n > max(MIN_HOT, total * HOT_SHARE)]
 
 

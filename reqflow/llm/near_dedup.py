@@ -176,7 +176,7 @@ def _with_sides(pairs: DataFrame, side: DataFrame, columns: dict[str, str]) -> D
     """``pairs`` (a, b) with columns of both nodes, renamed by side; a node (b) of very many pairs is split."""
     out = pairs
     for key in ("a", "b"):
-        hot = hot_keys(pairs.groupBy(key).agg(F.count("*").alias("c")), key, "c") if key == "b" else []
+        hot = hot_keys(pairs.groupBy(key).agg(F.count("*").alias("c")), key, "c", pairs.count) if key == "b" else []
         part = side.select(F.col("node").alias(key), *[F.col(c).alias(n + key) for c, n in columns.items()])
         out = attach_groups(out, part, key, None, "inner", hot)
     return out
@@ -327,7 +327,8 @@ def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame
     points = saved(points.filter("parts > 1").select("point", "size", "main"))
     hot = hot_keys(points, "point", "size")
     is_hot = F.col("point").isin(hot) if hot else F.lit(False)
-    met = attach_groups(met.drop("h", "band"), points, "point", None, "inner", hot)
+    # Written once: four sides are read from it, and points where one component meets itself are gone.
+    met = saved(attach_groups(met.drop("h", "band"), points, "point", None, "inner", hot))
 
     def side(role: str, main: bool | None, key: str, copies: bool) -> DataFrame:
         rows = met.filter("larger" if role == "larger" else "not larger")
