@@ -22,7 +22,7 @@ texts are linked if their sets' Jaccard similarity reaches the threshold.
    threshold up is ``exp(-MAX_LOG_ODDS)`` of its maximum or less; the rest are confirmed on the
    full sets.
 
-Components come from alternating large-star and small-star steps on the links.
+Components come from alternating large-star and small-star steps on the links, until those left fit one task.
 
 Defined results: null, empty and wordless texts have no shingles, are linked with
 nothing and are their own component; texts shorter than a shingle are one shingle;
@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +52,8 @@ M, ROWS = 96, 4
 B, RATE = 1.001, 20.0
 MAX_LOG_ODDS = 10.0
 MANY_EDGES = 1_000_000
-#: Links per task: rounds over few links need no more tasks, and one task's worth of them needs no exchange.
-LINKS_PER_TASK = 100_000
+#: So many links are joined in one task: some 32 MB of them.
+LINKS_IN_ONE_TASK = 2_000_000
 #: Sizes in one band differ by less than this factor; counters by which shingles are ordered (only speed depends on them).
 BAND = 1.05
 MOST_COUNTERS = 1 << 18
@@ -140,29 +141,64 @@ def sketch_documents(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, f"rk long, doc_id {kind}, n_shingles long, digest string, regs binary, bands array<long>")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """u, v: each node of the links that isn't its component's smallest, and that smallest."""
+def smallest_labels(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the links u-v and the smallest node of each one's component."""
+    nodes, ends = np.unique(np.concatenate((u, v)), return_inverse=True)
+    u, v = ends[: len(u)], ends[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, label[u], low)
+        np.minimum.at(new, label[v], low)
+        while True:  # labels of labels, to the end
+            next_ = new[new]
+            if (next_ == new).all():
+                break
+            new = next_
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """:func:`components` of few links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        if held:
+            nodes, low = smallest_labels(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            rest = nodes != low
+            for lo in range(0, int(rest.sum()), 100_000):
+                part = slice(lo, lo + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[rest][part]), pa.array(low[rest][part])], names=["u", "v"])
+
+    return saved(edges.coalesce(1).mapInArrow(run, "u long, v long"))
+
+
+def components(links: DataFrame, most: int = LINKS_IN_ONE_TASK) -> DataFrame:
+    """u, v: each node of the links that isn't its component's smallest, and that smallest.
+
+    Up to ``most`` links are joined in one task (16 bytes each); more of them in rounds of joins until they are few, or all is joined.
+    """
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     before = mark(edges)
-    while before[0]:
-        tasks = -(-before[0] // LINKS_PER_TASK)
-        edges = edges.coalesce(tasks)
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
+    while before[0] > most:
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = _meet(both, least, before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = _meet(large, low, before[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        both = small.union(low.select("u", F.col("m").alias("v")))
-        edges = saved((both.coalesce(1) if tasks == 1 else both).distinct())
+        edges = saved(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         after = mark(edges)
         if after == before:
-            break
+            return edges
         before = after
-    return edges
+    return _in_one_task(edges) if before[0] else edges
 
 
 def _meet(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
@@ -182,39 +218,28 @@ def _with_sides(pairs: DataFrame, side: DataFrame, columns: dict[str, str]) -> D
     return out
 
 
-def _plausible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """a, b of the pairs that sizes and sketches don't rule out."""
+def _links(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs that are linked; ``known`` has each node's regs and shingles.
+
+    Sizes and sketches are asked first, then the full sets of those that they don't rule out.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             ra, rb = (np.frombuffer(b"".join(cols[c].to_pylist()), np.uint16).reshape(-1, M) for c in ("ra", "rb"))
-            na, nb = (cols[c].to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
-            keep = pa.array(may_reach(ra, rb, na, nb, threshold))
-            yield pa.RecordBatch.from_arrays([cols["a"].filter(keep), cols["b"].filter(keep)], names=["a", "b"])
-
-    return _with_sides(pairs, nodes, {"n_shingles": "n", "regs": "r"}).mapInArrow(run, "a long, b long")
-
-
-def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, common, na, nb: sizes of the full sets and of their intersection."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            common, na, nb = [], [], []
-            for i in range(b.num_rows):
-                x, y = (np.frombuffer(cols[c][i].as_py(), np.uint64) for c in ("sa", "sb"))
-                common.append(len(np.intersect1d(x, y, assume_unique=True)))
-                na.append(len(x))
-                nb.append(len(y))
-            yield pa.RecordBatch.from_arrays([cols["a"], cols["b"], *[pa.array(c, pa.int64()) for c in (common, na, nb)]], names=["a", "b", "common", "na", "nb"])
-
-    return _with_sides(pairs, sets, {"shingles": "s"}).mapInArrow(run, "a long, b long, common long, na long, nb long")
-
+            na, nb = (pc.binary_length(cols[c]).to_numpy(zero_copy_only=False) // 8 for c in ("sa", "sb"))
+            keep = may_reach(ra, rb, na.astype(float), nb.astype(float), percent / 100.0)
+            for i in np.flatnonzero(keep):
+                x, y = (np.frombuffer(cols[c][i].as_buffer(), np.uint64) for c in ("sa", "sb"))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
+            kept = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([cols["a"].filter(kept), cols["b"].filter(kept)], names=["a", "b"])
 
-def _links(measured: DataFrame, percent: int) -> DataFrame:
-    return measured.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    return _with_sides(pairs, known, {"regs": "r", "shingles": "s"}).mapInArrow(run, "a long, b long")
 
 
 def _full_sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -350,7 +375,6 @@ def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame
 
 def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, width: int, percent: int) -> DataFrame:
     """node, comp for nodes that are linked to others (comp: the component's smallest node)."""
-    threshold = percent / 100.0
     nodes = saved(sketches.join(heads.select(F.col("node").alias("rk")), "rk", "left_semi").select(F.col("rk").alias("node"), "n_shingles", "regs", "bands"))
     member = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = member.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1")
@@ -361,8 +385,9 @@ def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, widt
     hubs = saved(hubs.select("bucket", "size", (-F.col("top.neg")).alias("hub")))
     star = attach_groups(member.select("node", "bucket"), hubs, "bucket", "size").filter("node <> hub")
     star = saved(star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    sets = saved(_full_sets(rows, company.select("node"), width))
-    links = saved(_links(_measure(saved(_plausible(star, nodes, threshold)), sets), percent))
+    sets = _full_sets(rows, company.select("node"), width)
+    sets = saved(sets.join(nodes.select("node", "regs"), "node"))
+    links = saved(_links(star, sets, percent))
     comp = components(links).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
     # Hubs whose members, themselves included, are in several components.
@@ -371,8 +396,7 @@ def link_components(rows: DataFrame, sketches: DataFrame, heads: DataFrame, widt
     mixed = placed.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
     placed = saved(attach_groups(placed, saved(mixed), "hub", "size", "inner").select("node", "comp").distinct())
     family = saved(sets.join(placed.select("node"), "node", "left_semi"))
-    across = saved(_pairs_across(family, placed, percent))
-    more = _links(_measure(saved(_plausible(across, nodes, threshold)), family), percent)
+    more = _links(saved(_pairs_across(family, placed, percent)), family, percent)
     return components(links.union(more)).select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
