@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reqflow.llm import bpe, exact_dedup, license_scan, lm_score, near_dedup, packing, periodic, pii, prefix_trie, quality, token_count, warc
+from reqflow.llm import bpe, chat_format, exact_dedup, license_scan, lm_score, near_dedup, packing, periodic, pii, prefix_trie, quality, token_count, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_chat_format": chat_format.op12_chat_format,
         "op13_periodic_runs": periodic.op13_periodic_runs,
     }
 
