@@ -1,13 +1,12 @@
 """Versioned publishing: write beside, reconcile, then move the pointer; old data stays until then.
 
-A pointer is a small file with the version's path, written aside and renamed to the next
-number.  The highest number counts, so at any time there is one whole pointer or the one before.
+A pointer is a small file with the version's path, created under the next number and never overwritten.  The highest number that
+has a path counts: of a pointer that is only half written, the one before it.  One run writes to a target at a time, so version folders that no
+pointer names are leftovers of writes that failed; they are removed before a write, after one that fails, and after publishing.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -20,10 +19,21 @@ class ReconcileError(RuntimeError):
 
 
 def write_version(df: DataFrame, root: str, version: str) -> tuple[str, int]:
-    """Write ``df`` to a fresh version folder; its path and the rows written, counted in the same pass."""
+    """Write ``df`` to a fresh version folder; its path and the rows written, counted in the same pass.
+
+    What a failed write of the same version has left is removed first, and what this one leaves if it fails.
+    A version that a pointer names is never written again.
+    """
+    spark, path = df.sparkSession, f"{root}/v={version}"
+    if version in _kept_versions(spark, root):
+        raise FileExistsError(f"{path} is published")
+    drop(spark, path)
     seen = Observation()
-    path = f"{root}/v={version}"
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+    except Exception:
+        drop(spark, path)
+        raise
     return path, seen.get["n"]
 
 
@@ -33,23 +43,28 @@ def _pointers(spark: SparkSession, root: str) -> list:
     return sorted((f.getPath() for f in fs.listStatus(p) if f.getPath().getName().isdigit()), key=lambda f: int(f.getName())) if fs.exists(p) else []
 
 
+def _read(spark: SparkSession, pointer) -> str:
+    return "".join(r.value for r in spark.read.text(pointer.toString()).collect())  # one line
+
+
 def _named(spark: SparkSession, root: str) -> str | None:
-    """The version folder that the last pointer names."""
-    found = _pointers(spark, root)
-    return spark.read.text(found[-1].toString()).first().value if found else None
+    """The version folder that the last whole pointer names."""
+    return next((path for path in (_read(spark, p) for p in reversed(_pointers(spark, root))) if path), None)
+
+
+def _kept_versions(spark: SparkSession, root: str) -> set[str]:
+    """Names of the versions that pointers name."""
+    return {_read(spark, p).rsplit("/v=", 1)[-1] for p in _pointers(spark, root)}
 
 
 def _point(spark: SparkSession, root: str, path: str, keep: int) -> None:
     old = _pointers(spark, root)
-    number = int(old[-1].getName()) + 1 if old else 1
-    aside, final = f"{root}/_pointers/_{uuid.uuid4().hex}", f"{root}/_pointers/{number:09d}"
-    fs, p = file_system(spark, aside)
-    out = fs.create(p)
+    final = f"{root}/_pointers/{int(old[-1].getName()) + 1 if old else 1:09d}"
+    fs, p = file_system(spark, final)
+    out = fs.create(p, False)  # refused if another run has published
     out.write(bytearray(path.encode()))
     out.close()
-    if not fs.rename(p, file_system(spark, final)[1]):
-        raise RuntimeError(f"{final} exists: another run has published")
-    for f in old[: -max(1, keep)]:
+    for f in old[: max(0, len(old) + 1 - max(1, keep))]:
         fs.delete(f, False)
 
 
@@ -60,13 +75,17 @@ def current(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def publish(spark: SparkSession, df: DataFrame, root: str, version: str, expected: int | None = None, keep: int = 2) -> int:
-    """Replace the table at ``root`` by ``df``; nothing changes unless all its rows are written."""
+    """Replace the table at ``root`` by ``df``; nothing changes unless all its rows are written.
+
+    A run that failed, at whatever point before the pointer, is simply repeated under the same version.
+    """
+    clean_versions(spark, root)
     path, n = write_version(df, root, version)
     if expected is not None and n != expected:
         drop(spark, path)
         raise ReconcileError(f"{root}: {n} rows staged, {expected} in the source")
     _point(spark, root, path, keep)
-    clean_versions(spark, root, keep)
+    clean_versions(spark, root)
     return n
 
 
@@ -84,10 +103,10 @@ def versions(spark: SparkSession, root: str) -> list[str]:
     return [s.getPath().toString() for s in sorted(found, key=lambda s: (s.getModificationTime(), s.getPath().getName()))]
 
 
-def clean_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete all but the newest ``keep`` versions and the current one; what was deleted."""
-    named = _named(spark, root).rsplit("/", 1)[-1]
-    old = [v for v in versions(spark, root)[:-keep] if not v.endswith("/" + named)]
+def clean_versions(spark: SparkSession, root: str) -> list[str]:
+    """Delete the version folders that no pointer names: old ones and leftovers of failed writes; what was deleted."""
+    named = _kept_versions(spark, root)
+    old = [v for v in versions(spark, root) if v.rsplit("/v=", 1)[-1] not in named]
     for v in old:
         drop(spark, v)
     return old

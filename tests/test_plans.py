@@ -156,13 +156,31 @@ def test_key_ranges_cover_without_overlap(spark):
     assert sum(p.count() for p in S.sliced_scan(df.limit(0), "k", 3)) == 0
 
 
-def test_a_pointer_left_aside_is_never_read(spark, tmp_path):
+def test_half_written_pointers_and_leftovers_are_passed_over(spark, tmp_path):
     root = str(tmp_path)
     W.publish(spark, spark.range(3), root, "1", 3)
-    (tmp_path / "_pointers" / "_dead").write_text("nowhere")  # a run that died before the rename
+    (tmp_path / "_pointers" / "_dead").write_text("nowhere")
+    (tmp_path / "_pointers" / "000000007").write_text("")  # a run that died while it wrote the pointer
+    W.write_version(spark.range(9), root, "dead")  # one that died before it
     assert W.current(spark, root).count() == 3
     W.publish(spark, spark.range(4), root, "2", 4)
     assert W.current(spark, root).count() == 4
+    assert sorted(v.rsplit("/", 1)[-1] for v in W.versions(spark, root)) == ["v=2"]  # the empty pointer counts as one of the two kept
+    with pytest.raises(FileExistsError):
+        W.write_version(spark.range(1), root, "2")
+
+
+def test_a_failed_write_is_repeated_under_the_same_run(spark, tmp_path):
+    tables = {"a": spark.range(3), "b": spark.range(2)}
+    job(spark, tmp_path, tables).run(control(spark, "ab"))
+    bad = spark.range(5).withColumn("id", F.when(F.col("id") == 4, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")))
+    first = {r.etl_id: r.status for r in job(spark, tmp_path, {"a": bad, "b": spark.range(4)}, 2).run(control(spark, "ab")).collect()}
+    assert first == {0: "FAILED", 1: "SUCCESS"}
+    assert W.current(spark, f"{tmp_path}/a").count() == 3 and not (tmp_path / "a" / "v=2").exists()
+    (tmp_path / "a" / "v=2" / "_temporary").mkdir(parents=True)  # killed, so that nothing could tidy up
+    again = job(spark, tmp_path, {"a": spark.range(6)}, 2).run(control(spark, "a"))
+    assert [r.n_rows for r in again.filter("status = 'SUCCESS' and etl_id = 0").collect()] == [6]
+    assert W.current(spark, f"{tmp_path}/a").count() == 6
 
 
 def test_orphans_are_reported_after_a_run(spark, tmp_path):
