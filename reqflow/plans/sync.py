@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reqflow.functions.text import error_clip
 from reqflow.operators.reports import sync_summary
 from reqflow.operators.requisitions import orphans
+from reqflow.sources.database import JdbcTarget
 from reqflow.sources.publish import append_status, current, publish
 from reqflow.sources.scan import TableRules, align_to, control_scan
 
@@ -24,7 +25,7 @@ class SyncError(RuntimeError):
 
 @dataclass
 class SyncJob:
-    """``read`` gives a source table by name; ``root`` holds targets and the status log."""
+    """``read`` gives a source table by name; ``root`` holds the status log and, unless they are in a ``database``, the targets."""
 
     spark: SparkSession
     read: Callable[[str], DataFrame]
@@ -34,25 +35,32 @@ class SyncJob:
     rules: TableRules = field(default_factory=TableRules)
     on_empty: str = "keep"
     parallel: int = 4
+    database: JdbcTarget | None = None
+
+    def published(self, name: str) -> DataFrame | None:
+        """What a target holds now."""
+        return current(self.spark, self.target(name)) if self.database is None else self.database.read(name) if self.database.exists(name) else None
 
     def target(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def refresh(self, source: str, destination: str) -> int:
+    def refresh(self, entry) -> int:
         """Publish one table; the rows published, 0 if an empty source leaves the target as it is."""
-        rows = self.rules.apply(self.read(source), source)
-        old = current(self.spark, self.target(destination))
+        rows = self.rules.apply(self.read(entry.source), entry.source)
+        old = current(self.spark, self.target(entry.destination)) if self.database is None else None
         if old is not None:
             rows = align_to(rows, old)
         expected = rows.count()
         if not expected and self.on_empty == "keep":
             return 0
-        return publish(self.spark, rows, self.target(destination), str(self.run_id), expected)
+        if self.database is not None:
+            return self.database.refresh(rows, entry.destination, expected, (entry.etl_id, self.run_id, self.run_date, "SUCCESS", expected, None))
+        return publish(self.spark, rows, self.target(entry.destination), str(self.run_id), expected)
 
     def one(self, entry) -> tuple:
         """A status row; a failure is recorded and leaves the other tables alone."""
         try:
-            return (entry.etl_id, self.run_id, "SUCCESS", self.refresh(entry.source, entry.destination), None)
+            return (entry.etl_id, self.run_id, "SUCCESS", self.refresh(entry), None)
         except Exception as e:  # noqa: BLE001 - any table's failure is a status row
             return (entry.etl_id, self.run_id, "FAILED", 0, f"{type(e).__name__}: {e}")
 
@@ -74,7 +82,7 @@ class SyncJob:
         """
         status = self.run(control)
         names = control_scan(control).select("etl_id", F.col("destination").alias("child"))
-        there = {r.child: current(self.spark, self.target(r.child)) for r in names.collect()}  # one entry per table to sync
+        there = {r.child: self.published(r.child) for r in names.collect()}  # one entry per table to sync
         usable = [k for k in keys if there.get(k[0]) is not None and there.get(k[2]) is not None]
         found = foreign_key_report(there, usable) if usable else self.spark.createDataFrame([], "child string, foreign_key string, n_orphans long")
         per_child = names.join(found, "child", "left").groupBy("etl_id").agg(F.coalesce(F.sum("n_orphans"), F.lit(0)).cast("long").alias("n_orphans"))
