@@ -18,7 +18,7 @@ class ReconcileError(RuntimeError):
     """The staging copy doesn't hold as many rows as the source."""
 
 
-def write_version(df: DataFrame, root: str, version: str) -> tuple[str, int]:
+def write_version(df: DataFrame, root: str, version: str, partition_by: str | None = None) -> tuple[str, int]:
     """Write ``df`` to a fresh version folder; its path and the rows written, counted in the same pass.
 
     What a failed write of the same version has left is removed first, and what this one leaves if it fails.
@@ -30,7 +30,7 @@ def write_version(df: DataFrame, root: str, version: str) -> tuple[str, int]:
     drop(spark, path)
     seen = Observation()
     try:
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path, partitionBy=partition_by)
     except Exception:
         drop(spark, path)
         raise
