@@ -326,7 +326,7 @@ def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            roles, bands, points, per, at, sizes, reach = [], [], [], [], [], [], []
+            roles, bands, points, per, at, sizes, left = [], [], [], [], [], [], []
             for i in range(b.num_rows):
                 s = np.frombuffer(b.column(1)[i].as_py(), np.int64)
                 alone = np.array(b.column(3)[i].as_py() or [], np.int64)
@@ -337,16 +337,16 @@ def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame
                     per.append(len(h))
                     at.append(i)
                     sizes.append(len(s))
-                    reach.append(len(s) - len(alone))
+                    left.append(len(s) - len(alone) - np.arange(len(h)))
             if at:
                 take = pa.array(np.repeat(at, per))
                 numbers = [pa.array(np.repeat(x, per)) for x in (roles, bands)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(points)), *numbers, b.column(0).take(take), b.column(2).take(take), pa.array(np.repeat(sizes, per)), pa.array(np.repeat(reach, per))],
-                    names=["h", "larger", "band", "node", "comp", "n", "reach"],
+                    [pa.array(np.concatenate(points)), *numbers, b.column(0).take(take), b.column(2).take(take), pa.array(np.repeat(sizes, per)), pa.array(np.concatenate(left))],
+                    names=["h", "larger", "band", "node", "comp", "n", "left"],
                 )
 
-    met = saved(known.mapInArrow(run, "h long, larger boolean, band long, node long, comp long, n long, reach long").withColumn("point", F.xxhash64("h", "band")))
+    met = saved(known.mapInArrow(run, "h long, larger boolean, band long, node long, comp long, n long, left long").withColumn("point", F.xxhash64("h", "band")))
     parts = met.groupBy("point", "comp").agg(F.count("*").alias("rows"))
     points = parts.groupBy("point").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.max_by("comp", F.struct("rows", "comp")).alias("main"))
     points = saved(points.filter("parts > 1").select("point", "size", "main"))
@@ -360,9 +360,10 @@ def _pairs_across(sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame
         if main is not None:
             rows = rows.filter("comp = main" if main else "comp <> main")
         salt = F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))) if copies else F.when(is_hot, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
-        return rows.select("point", salt.alias("salt"), *[F.col(c).alias(f"{c}_{key}") for c in ("node", "comp", "n", "reach")])
+        return rows.select("point", salt.alias("salt"), *[F.col(c).alias(f"{c}_{key}") for c in ("node", "comp", "n", "left")])
 
-    enough = F.lit(100 + percent) * F.least("reach_x", "reach_y") >= F.lit(percent) * (F.col("n_x") + F.col("n_y"))
+    # Of what two sets have in common, none comes before the first of it in either's order, at which they meet.
+    enough = F.lit(100 + percent) * F.least("left_x", "left_y") >= F.lit(percent) * (F.col("n_x") + F.col("n_y"))
     fits = enough & (F.col("comp_x") != F.col("comp_y")) & (F.col("n_x") >= F.col("n_y"))
     found = None
     for main_x, main_y in ((False, None), (True, False)):
