@@ -5,6 +5,7 @@ Every query reads the given tables or what is derived from them in ``fixtures``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,6 +26,8 @@ from reqflow.plans import documents as D
 from reqflow.plans.sync import SyncJob, foreign_key_report
 from reqflow.sources import publish as W
 from reqflow.sources import scan as S
+from reqflow.sources.database import JdbcTarget
+from reqflow.sources.keyed import KeyedTable
 from reqflow.storage import shared_folder
 
 RUN_DATE = "2024-06-01"
@@ -105,6 +108,26 @@ def _(supplier):
     return W.current(spark, root).select("s_suppkey", "s_name")
 
 
+@query("database_refresh", "customer", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+def _(customer):
+    """Refreshed twice in a database: the one that ``spark.reqflow.jdbc.url`` names, or where all runs on one machine, one in memory."""
+    spark = customer.sparkSession
+    url, table = spark.conf.get("spark.reqflow.jdbc.url", ""), f"customers_{uuid.uuid4().hex[:12]}"
+    options = {"driver": spark.conf.get("spark.reqflow.jdbc.driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver")}
+    if not url:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.reqflow.jdbc.url to a database that all executors reach")
+        url = f"jdbc:derby:memory:{table};create=true"
+    db = JdbcTarget(spark, url, options)
+    with db.connection() as con:
+        db.run(con, f"CREATE TABLE {table} (c_custkey BIGINT NOT NULL PRIMARY KEY, c_name VARCHAR(100), c_acctbal DOUBLE PRECISION)")
+    rows = customer.select("c_acctbal", "c_custkey", "c_name", "c_nationkey")
+    db.refresh(rows, table, rows.count())
+    kept = rows.filter("c_acctbal > 0")
+    db.refresh(kept, table, kept.count())
+    return db.read(table).toDF("c_custkey", "c_name", "c_acctbal")
+
+
 @query("sync_status_append", "sync_status", "SELECT etl_id, run_id, status, n_rows, error_message FROM sync_status")
 def _(status):
     path = shared_folder(status.sparkSession, "status")
@@ -321,6 +344,17 @@ def _(items, req, tracker):
     return R.in_scope(items, R.choose(req, tracker)).select("item_key", "req_no")
 
 
+@query("keyed_upsert", "tracker requisitions", _moved("FULL", "1", "o_orderkey % 5 = 0"))
+def _(tracker, req):
+    spark, root = tracker.sparkSession, shared_folder(tracker.sparkSession, "keyed")
+    table = KeyedTable(spark, root, "req_no", 16)
+    table.replace(tracker, "1")
+    day = F.lit(RUN_DATE).cast("date")
+    moves = req.filter("o_orderkey % 5 = 0").select("req_no", F.lit(1).alias("stage_id"), F.lit(None).cast("string").alias("tracker_uuid"), day.alias("created_at"), day.alias("updated_at"))
+    table.upsert(moves, "2", ["stage_id", "updated_at"])
+    return table.read()
+
+
 # --- aggregations ---
 
 
@@ -691,25 +725,49 @@ def _(items, vectors):
 LINE_SQL = """'INGESTION:OK → EMBED_DOC_EXTRACTION:OK → BLOB_UPLOAD:OK → CLASSIFICATION:OK → METADATA_EXTRACTION:OK → EMBEDDINGS:' || {v} || ' → PRICE_BENCHMARK:' || {v} || ' → COMPLETE:OK'"""
 
 
-@query("run_pipeline", f"{RUN} run_stats run_items item_vectors", f"""WITH {SCOPE_SQL}, chosen AS (SELECT * FROM run_items WHERE is_selected = 1 AND item_name <> '' AND req_no IN (SELECT req_no FROM scope)),
+# What a run leaves: its requisitions' lines and counts, classifications (new and renewed, with the tracker's uuid) and benchmarks stored.
+@query("run_pipeline", f"{RUN} run_stats run_items item_vectors run_classified benchmarks", f"""WITH {SCOPE_SQL}, chosen AS (SELECT * FROM run_items WHERE is_selected = 1 AND item_name <> '' AND req_no IN (SELECT req_no FROM scope)),
     bad AS (SELECT req_no, min('item without a number: ' || item_name) AS error FROM chosen WHERE detail_id IS NULL GROUP BY 1), {CLASSIFIED_SQL}, {FOUND_SQL},
-    n AS (SELECT req_no, (SELECT count(*) FROM f WHERE f.req_no = s.req_no) AS files, (SELECT count(*) FROM found WHERE found.req_no = s.req_no) AS items, (SELECT count(DISTINCT detail_id) FROM chosen WHERE chosen.req_no = s.req_no) AS vectors FROM scope s)
+    fs AS (SELECT req_no, count(*) AS files FROM f GROUP BY 1), its AS (SELECT req_no, count(*) AS items FROM found GROUP BY 1),
+    vs AS (SELECT req_no, count(DISTINCT detail_id) AS vectors, count(DISTINCT (detail_id, coalesce(nullif(currency, ''), 'USD'))) AS benchmarks FROM chosen GROUP BY 1),
+    cs AS (SELECT k.req_no, count(*) FILTER (o.attachment_id IS NULL) AS n_new, count(*) FILTER (o.attachment_id IS NOT NULL) AS n_renewed, count(*) FILTER (k.doc_type = 'Quotation') AS quotations,
+      max(CASE WHEN o.attachment_id IS NULL THEN coalesce(t.tracker_uuid, sha256('tracker/' || k.req_no)) END) AS tracker_uuid
+      FROM k JOIN scope USING (req_no) LEFT JOIN run_classified o ON o.attachment_id = k.attachment_id LEFT JOIN tracker t ON t.req_no = k.req_no GROUP BY 1),
+    n AS (SELECT req_no, coalesce(files, 0) AS files, coalesce(items, 0) AS items, coalesce(vectors, 0) AS vectors, coalesce(benchmarks, 0) AS benchmarks, coalesce(n_new, 0) AS n_new, coalesce(n_renewed, 0) AS n_renewed, coalesce(quotations, 0) AS quotations, tracker_uuid
+      FROM scope LEFT JOIN fs USING (req_no) LEFT JOIN its USING (req_no) LEFT JOIN vs USING (req_no) LEFT JOIN cs USING (req_no))
     SELECT req_no, CASE WHEN error IS NULL THEN 8 ELSE 5 END AS stage_id, CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status,
     CASE WHEN error IS NULL THEN 'OK [' || req_no || '] ' || {LINE_SQL.format(v="CASE WHEN vectors > 0 THEN 'OK' ELSE 'SKIPPED' END")} ELSE 'ERR [' || req_no || '] ' || error END AS line,
-    CASE WHEN error IS NULL THEN files END AS files, CASE WHEN error IS NULL THEN items END AS items, CASE WHEN error IS NULL THEN vectors END AS vectors FROM n LEFT JOIN bad USING (req_no)""")
-def _(req, tracker, attachments, docs, stats, items, vectors):
-    run = D.run_pipeline(req, tracker, attachments, docs, items, vectors, RUN_DATE, shared_folder(req.sparkSession, "run"), stats=stats)
+    CASE WHEN error IS NULL THEN files END AS files, CASE WHEN error IS NULL THEN items END AS items, CASE WHEN error IS NULL THEN vectors END AS vectors,
+    CASE WHEN error IS NULL THEN benchmarks END AS benchmarks, n_new, n_renewed, quotations, tracker_uuid FROM n LEFT JOIN bad USING (req_no)""")
+def _(req, tracker, attachments, docs, stats, items, vectors, classified, benchmarks):
+    root = shared_folder(req.sparkSession, "run")
+    run = D.run_pipeline(req, tracker, attachments, docs, items, vectors, RUN_DATE, root, stats=stats, classified=classified, benchmarks=benchmarks)
     number = F.coalesce(F.regexp_extract("status", r"\((\d+) ", 1).try_cast("long"), F.lit(0))
     counts = run.statuses.groupBy("req_no").agg(*[F.max(F.when(F.col("stage_id") == i, number)).alias(n) for i, n in ((2, "files"), (5, "items"), (6, "vectors"))])
-    return run.lines.join(run.tracker.select("req_no", "stage_id"), "req_no").join(counts, "req_no", "left").select("req_no", "stage_id", "status", "line", "files", "items", "vectors")
-
-
-@query("apply_results", "model_response requisitions tracker classified items item_vectors benchmarks", RECORDS_SQL + ITEMS_SQL + """, l AS (SELECT e->>'pr_no' AS req_no, e->>'att_id' AS attachment_id FROM recs),
-    n AS (SELECT req_no, stage_id, (SELECT count(*) FROM l WHERE l.req_no = r.req_no) AS files, (SELECT count(*) FROM it WHERE it.req_no = r.req_no) AS items,
-      (SELECT count(DISTINCT detail_id) FROM items i WHERE i.req_no = r.req_no AND is_selected = 1 AND item_name <> '') AS vectors, (SELECT count(DISTINCT b.detail_id) FROM benchmarks b JOIN items i ON i.detail_id = b.detail_id WHERE i.req_no = r.req_no AND is_selected = 1 AND b.currency = coalesce(i.currency, 'USD')) AS renewed
-      FROM requisitions r LEFT JOIN tracker t USING (req_no))
-    SELECT req_no, CAST(CASE WHEN stage_id IS NOT NULL THEN 8 END AS INTEGER) AS stage_id, renewed, 'REQ [' || req_no || ']: CLASSIFICATION: OK (' || files || ' files) → METADATA_EXTRACTION: OK (' || items || ' items) → EMBEDDINGS: ' || CASE WHEN vectors > 0 THEN 'OK (' || vectors || ' vectors)' ELSE 'SKIPPED (no vectors)' END
-    || ' → PRICE_BENCHMARK: ' || CASE WHEN vectors > 0 THEN 'OK (' || vectors || ' rows)' ELSE 'SKIPPED (no rows)' END || ' → COMPLETE: OK' AS line FROM n""")
+    today = F.lit(RUN_DATE).cast("date")
+    new = F.col("created_at") == today
+    own = run.classified.filter(F.col("updated_at") == today).groupBy("req_no").agg(
+        F.count_if(new).alias("n_new"), F.count_if(~new).alias("n_renewed"), F.count_if(F.col("doc_type") == "Quotation").alias("quotations"), F.max(F.when(new, F.col("tracker_uuid"))).alias("tracker_uuid")
+    )
+    done = run.benchmarks.filter(F.col("updated_at") == today).select("detail_id", "currency")
+    wanted = R.selected_items(items).select("req_no", "detail_id", X.default_currency(F.col("currency")).alias("currency")).distinct()
+    priced = wanted.join(done, ["detail_id", "currency"]).groupBy("req_no").agg(F.count("*").alias("benchmarks"))
+    out = run.lines.join(run.tracker.select("req_no", "stage_id"), "req_no").join(counts, "req_no", "left").join(own, "req_no", "left").join(priced, "req_no", "left")
+    whole = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_new", "n_renewed", "quotations")]
+    n_priced = F.when(F.col("status") == "SUCCESS", F.coalesce("benchmarks", F.lit(0)).cast("long")).alias("benchmarks")
+    return out.select("req_no", "stage_id", "status", "line", "files", "items", "vectors", n_priced, *whole, "tracker_uuid")
+
+
+@query("apply_results", "model_response requisitions tracker classified run_items item_vectors benchmarks", RECORDS_SQL + ITEMS_SQL + """, l AS (SELECT e->>'pr_no' AS req_no, e->>'att_id' AS attachment_id FROM recs),
+    chosen AS (SELECT * FROM run_items WHERE is_selected = 1 AND item_name <> ''), bad AS (SELECT req_no, min('item without a number: ' || item_name) AS error FROM chosen WHERE detail_id IS NULL GROUP BY 1),
+    done AS (SELECT DISTINCT c.detail_id, coalesce(c.currency, 'USD') AS currency FROM chosen c JOIN benchmarks b ON b.detail_id = c.detail_id AND b.currency = coalesce(c.currency, 'USD') WHERE c.req_no NOT IN (SELECT req_no FROM bad)),
+    fs AS (SELECT req_no, count(*) AS files FROM l GROUP BY 1), its AS (SELECT req_no, count(*) AS items FROM it GROUP BY 1), vs AS (SELECT req_no, count(DISTINCT detail_id) AS vectors FROM chosen GROUP BY 1),
+    rs AS (SELECT c.req_no, count(DISTINCT c.detail_id) AS renewed FROM chosen c JOIN done d ON d.detail_id = c.detail_id AND d.currency = coalesce(c.currency, 'USD') GROUP BY 1),
+    n AS (SELECT req_no, stage_id, coalesce(files, 0) AS files, coalesce(items, 0) AS items, coalesce(vectors, 0) AS vectors, coalesce(renewed, 0) AS renewed, error
+      FROM requisitions r LEFT JOIN tracker t USING (req_no) LEFT JOIN fs USING (req_no) LEFT JOIN its USING (req_no) LEFT JOIN vs USING (req_no) LEFT JOIN rs USING (req_no) LEFT JOIN bad USING (req_no))
+    SELECT req_no, CAST(CASE WHEN stage_id IS NULL THEN NULL WHEN error IS NULL THEN 8 ELSE 5 END AS INTEGER) AS stage_id, renewed, 'REQ [' || req_no || ']: CLASSIFICATION: OK (' || files || ' files) → METADATA_EXTRACTION: OK (' || items || ' items) → EMBEDDINGS: '
+    || CASE WHEN error IS NOT NULL THEN 'FAILED (' || error || ')' ELSE CASE WHEN vectors > 0 THEN 'OK (' || vectors || ' vectors)' ELSE 'SKIPPED (no vectors)' END
+    || ' → PRICE_BENCHMARK: ' || CASE WHEN vectors > 0 THEN 'OK (' || vectors || ' rows)' ELSE 'SKIPPED (no rows)' END || ' → COMPLETE: OK' END AS line FROM n""")
 def _(responses, req, tracker, classified, items, vectors, benchmarks):
     run = D.apply_results(responses, req, tracker, classified, items, vectors, benchmarks, RUN_DATE, shared_folder(req.sparkSession, "applied"))
     # Benchmarks that were there before and carry the run's summary now.

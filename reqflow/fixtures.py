@@ -71,6 +71,8 @@ TABLES: dict[str, str] = {
     "run_stats": """select attachment_id, cast(attachment_id % 3 as int) as n_pages, cast(attachment_id * 7 % 1200 as int) as width, cast(attachment_id * 5 % 900 as int) as height,
         case when attachment_id % 13 = 0 then null else cast(attachment_id % 100 as double) / 100 end as bright_frac from run_attachments where attachment_id >= 0""",
     "run_items": """select item_key, case when quantity = 7 and detail_id % 10 = 0 then null else detail_id end as detail_id, req_no, item_name, quantity, unit_price, total_price, currency, supplier_name, is_selected from items""",
+    "run_classified": """select attachment_id, req_no, case when attachment_id % 2 = 0 then null else 'u-old' end as tracker_uuid, concat('p/', cast(attachment_id as string)) as blob_path, 'RFQ' as doc_type,
+        cast(0.5 as double) as confidence, cast('2023-01-01' as date) as created_at, cast('2023-01-01' as date) as updated_at from run_attachments where attachment_id % 5 = 0""",
     "benchmarks": """select p_partkey as detail_id, 'USD' as currency, p_retailprice as bp_unit_price, 'old' as summary, cast('2023-01-01' as date) as created_at, cast('2023-01-01' as date) as updated_at from part where p_partkey % 2 = 0""",
     "image_stats": """select page_id as file_id, cast(page_id % 1200 as int) as width, cast(page_id * 7 % 900 as int) as height,
         case when page_id % 13 = 0 then null else cast(page_id % 100 as double) / 100 end as bright_frac from pages""",

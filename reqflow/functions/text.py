@@ -77,6 +77,11 @@ def is_transient(message: Column) -> Column:
     return message.rlike("|".join(TRANSIENT_STATES)) | F.lower(message).rlike(words)
 
 
+def says_transient(message: str) -> bool:
+    """:func:`is_transient` of a message at hand."""
+    return any(s in message for s in TRANSIENT_STATES) or any(w in message.lower() for w in TRANSIENT_WORDS)
+
+
 def default_currency(currency: Column) -> Column:
     return F.coalesce(F.nullif(currency, F.lit("")), F.lit("USD"))
 

@@ -35,8 +35,9 @@ def attachments_with_documents(attachments: DataFrame, documents: DataFrame, lef
     return attachments.join(docs, F.col(left_key) == F.col("__doc_key")).drop("__doc_key")
 
 
-def in_scope(df: DataFrame, scope: DataFrame, key: str = "req_no") -> DataFrame:
-    return df.join(scope.select(key), key, "left_semi")
+def in_scope(df: DataFrame, scope: DataFrame, key: str = "req_no", how: str = "left_semi") -> DataFrame:
+    """The rows whose key is in the scope, or with ``left_anti`` those whose key isn't."""
+    return df.join(scope.select(key), key, how)
 
 
 def orphans(child: DataFrame, parent: DataFrame, foreign: str, key: str) -> DataFrame:

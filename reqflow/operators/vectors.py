@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries broadcast at once, or in one block; index vectors in one block.
+#: Queries broadcast at once, or in one block; index vectors in one block, and looked at at once: 8 * QUERY_BLOCK * CHUNK bytes of scores.
 QUERY_BLOCK = 2048
 INDEX_BLOCK = 32_768
+CHUNK = 2048
 FOUND = "query_id long, detail_id long, score double, same_group boolean"
 
 
@@ -22,25 +24,40 @@ class _Side:
         n = table.num_rows
         values = table.column("vals").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         self.unit = values.reshape(n, -1)
-        self.unit = self.unit / np.maximum(np.linalg.norm(self.unit, axis=1, keepdims=True), 1e-300)
+        self.unit /= np.maximum(np.linalg.norm(self.unit, axis=1, keepdims=True), 1e-300)
         self.ids = table.column("detail_id").to_numpy()
-        self.groups = np.array(table.column("req_group").to_pylist(), object)
+        self.groups = table.column("req_group").combine_chunks()
         self.seq = table.column("seq").to_numpy()
 
 
+def _group_codes(q: _Side, x: _Side) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of both sides' groups, equal for equal groups; no group is -1 in one and -2 in the other."""
+    both = pa.concat_arrays([q.groups, x.groups]).dictionary_encode().indices
+    codes = pc.fill_null(both, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    theirs = codes[len(q.ids) :]
+    return codes[: len(q.ids)], np.where(theirs < 0, -2, theirs)
+
+
 def _top_k(q: _Side, x: _Side, k: int, exclude: bool, earlier: bool) -> pa.RecordBatch:
-    """The ``k`` best of ``x`` for each of ``q``, and those that tie with the last; ties are cut by identifier in the end."""
-    score = q.unit @ x.unit.T
-    same = (q.groups[:, None] == x.groups[None, :]) & (q.groups[:, None] != None)  # noqa: E711 - element by element
-    same = same.astype(bool)
-    if exclude:
-        score = np.where(same, -np.inf, score)
-    if earlier:
-        score = np.where(x.seq[None, :] < q.seq[:, None], score, -np.inf)
-    n = min(k, score.shape[1])
-    edge = -np.partition(-score, n - 1, axis=1)[:, n - 1 : n]
-    qi, xi = np.nonzero((score >= edge) & np.isfinite(score))
-    return pa.RecordBatch.from_arrays([pa.array(q.ids[qi]), pa.array(x.ids[xi]), pa.array(score[qi, xi]), pa.array(same[qi, xi])], names=["query_id", "detail_id", "score", "same_group"])
+    """The ``k`` best of ``x`` for each of ``q``, and those that tie with the last, if not a few more; ties are cut by identifier in the end."""
+    mine, theirs = _group_codes(q, x)
+    edge = np.full(len(q.ids), -np.inf)  # no more than the k-th best score so far
+    found: list[tuple[np.ndarray, ...]] = []
+    for lo in range(0, len(x.ids), CHUNK):
+        part = slice(lo, lo + CHUNK)
+        score = q.unit @ x.unit[part].T
+        if exclude:
+            score[mine[:, None] == theirs[None, part]] = -np.inf
+        if earlier:
+            score[x.seq[None, part] >= q.seq[:, None]] = -np.inf
+        if score.shape[1] >= k:
+            np.maximum(edge, np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k], out=edge)
+        qi, xi = np.nonzero((score >= edge[:, None]) & (score > -np.inf))
+        found.append((qi, xi + lo, score[qi, xi]))
+    qi, xi, score = (np.concatenate(f) for f in zip(*found, strict=True))
+    keep = score >= edge[qi]
+    qi, xi, score = qi[keep], xi[keep], score[keep]
+    return pa.RecordBatch.from_arrays([pa.array(q.ids[qi]), pa.array(x.ids[xi]), pa.array(score), pa.array(mine[qi] == theirs[xi])], names=["query_id", "detail_id", "score", "same_group"])
 
 
 def _by_broadcast(index: DataFrame, queries: pa.Table, k: int, exclude: bool, earlier: bool) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqflow.functions import answers as A
@@ -17,18 +20,26 @@ from reqflow.operators.classify import coverage_classify
 from reqflow.operators.merge import last_wins, upsert
 from reqflow.operators.reports import counts_per_requisition, ok_or_skipped, result_lines, stage_lines, text_batch
 from reqflow.operators.vectors import batch_embed, nearest
-from reqflow.sources.publish import export_blobs
+from reqflow.plans.ledger import RunFolder, is_whole, latest
+from reqflow.sources.publish import export_blobs, versions
 
 
-def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", out: str = "answer") -> DataFrame:
-    """``docs`` with a model's answer and error per row; a batch that fails is tried row by row."""
+def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", out: str = "answer", tries: int = 3, wait: float = 0.5) -> DataFrame:
+    """``docs`` with a model's answer and error per row; a batch that fails is tried row by row.
+
+    A row whose call fails with a passing fault (see :func:`reqflow.functions.text.is_transient`) is tried ``tries`` times in all, ``wait`` seconds
+    and then twice as long apart.
+    """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{out}` string, `{out}_error` string"
 
     def one(t) -> tuple:
-        try:
-            return fn(pd.Series([t])).iloc[0], None
-        except Exception as e:  # noqa: BLE001 - the row's error is its result
-            return None, f"{type(e).__name__}: {e}"
+        for left in reversed(range(tries)):
+            try:
+                return fn(pd.Series([t])).iloc[0], None
+            except Exception as e:  # noqa: BLE001 - the row's error is its result
+                if not left or not X.says_transient(str(e)):
+                    return None, f"{type(e).__name__}: {e}"
+                time.sleep(wait * 2 ** (tries - 1 - left))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -42,6 +53,41 @@ def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str
     return docs.mapInPandas(run, schema)
 
 
+ANSWERED = "key string, answer string, answer_error string"
+
+
+@dataclass(frozen=True)
+class Answers:
+    """A model's answers, kept below ``root`` by a digest of its name and the input, so that no input is asked about twice.
+
+    Each batch of answers is a version folder of its own, named by ``run``; answers that failed aren't kept, so they are asked for in the next run.
+    """
+
+    root: str
+    model: str
+    run: str
+
+    def key(self, text: str):
+        return F.sha2(F.concat(F.lit(f"{self.model}\n"), F.coalesce(F.col(text), F.lit(""))), 256)
+
+    def known(self, spark: SparkSession) -> DataFrame:
+        """key, answer of all whole batches."""
+        paths = [v for v in versions(spark, self.root) if is_whole(spark, v)]
+        held = spark.read.schema(ANSWERED).parquet(*paths) if paths else spark.createDataFrame([], ANSWERED)
+        return held.filter("answer_error is null").select("key", "answer")
+
+    def infer(self, docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", tries: int = 3, wait: float = 0.5) -> DataFrame:
+        """:func:`batch_infer` that calls the model once for each distinct text it has no answer for."""
+        spark, fresh = docs.sparkSession, f"{self.root}/v={self.run}-{uuid.uuid4().hex}"
+        keyed = docs.withColumn("__key", self.key(text))
+        known = self.known(spark)
+        asked = keyed.select(F.col("__key").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("__text")).dropDuplicates(["key"])
+        # Calls are the dear part: what they gave is written before it is used.
+        batch_infer(asked.join(known, "key", "left_anti"), fn, "__text", tries=tries, wait=wait).select("key", "answer", "answer_error").write.parquet(fresh)
+        both = known.withColumn("answer_error", F.lit(None).cast("string")).unionByName(spark.read.schema(ANSWERED).parquet(fresh))
+        return keyed.join(both.withColumnRenamed("key", "__key"), "__key", "left").select(*docs.columns, "answer", "answer_error")
+
+
 def attachments_of(scope: DataFrame, attachments: DataFrame, documents: DataFrame) -> DataFrame:
     """req_no, attachment_id, name, blob, kind, text of a run's attachments that have content."""
     held = R.attachments_with_documents(R.in_scope(attachments, scope), documents.filter("content is not null"))
@@ -161,6 +207,19 @@ def store_benchmarks(table: DataFrame, found: DataFrame, run_date: str) -> DataF
     return upsert(table.select(*BENCHMARK, key.alias("__key")), new, "__key", ["bp_unit_price", "summary", "updated_at"]).drop("__key")
 
 
+CLASSIFICATION = ("attachment_id", "req_no", "tracker_uuid", "blob_path", "doc_type", "confidence", "created_at", "updated_at")
+
+
+def store_classification(table: DataFrame, labels: DataFrame, ids: DataFrame, run_date: str) -> DataFrame:
+    """The classification table (CLASSIFICATION's columns) after an upsert by attachment; new rows get their requisition's tracker uuid.
+
+    ``labels``: attachment_id, req_no, blob_path, doc_type, confidence, one row per attachment; ``ids``: req_no, tracker_uuid.
+    """
+    day = F.lit(run_date).cast("date")
+    new = labels.join(ids, "req_no", "left").withColumns({"created_at": day, "updated_at": day}).select(*CLASSIFICATION)
+    return upsert(table.select(*CLASSIFICATION), new, "attachment_id", ["blob_path", "doc_type", "confidence", "updated_at"])
+
+
 def ingest(
     requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, run_date: str, root: str | None = None, n: int | None = 10
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -172,24 +231,24 @@ def ingest(
     return touch(tracker, scope, run_date), files, text_batch(scope, files.select("req_no", "attachment_id", "name", "text"))
 
 
-def _moves(tracker: DataFrame, scope: DataFrame, stage: int, run_date: str) -> DataFrame:
+def _moves(scope: DataFrame, stage: int | Column, run_date: str) -> DataFrame:
     day = F.lit(run_date).cast("date")
-    return scope.select("req_no", F.lit(stage).alias("stage_id"), F.lit(None).cast("string").alias("tracker_uuid"), day.alias("created_at"), day.alias("updated_at"))
+    return scope.select("req_no", (F.lit(stage) if isinstance(stage, int) else stage).alias("stage_id"), F.lit(None).cast("string").alias("tracker_uuid"), day.alias("created_at"), day.alias("updated_at"))
 
 
-def set_stage(tracker: DataFrame, scope: DataFrame, stage: int, run_date: str) -> DataFrame:
+def set_stage(tracker: DataFrame, scope: DataFrame, stage: int | Column, run_date: str) -> DataFrame:
     """Set the stage; new requisitions are added."""
-    return upsert(tracker, _moves(tracker, scope, stage, run_date), "req_no", ["stage_id", "updated_at"])
+    return upsert(tracker, _moves(scope, stage, run_date), "req_no", ["stage_id", "updated_at"])
 
 
-def advance(tracker: DataFrame, scope: DataFrame, stage: int, run_date: str) -> DataFrame:
+def advance(tracker: DataFrame, scope: DataFrame, stage: int | Column, run_date: str) -> DataFrame:
     """Set the stage of requisitions that are tracked; others stay out."""
-    return upsert(tracker, _moves(tracker, scope, stage, run_date), "req_no", ["stage_id", "updated_at"], insert=False)
+    return upsert(tracker, _moves(scope, stage, run_date), "req_no", ["stage_id", "updated_at"], insert=False)
 
 
 def touch(tracker: DataFrame, scope: DataFrame, run_date: str) -> DataFrame:
     """Add requisitions at stage 1; tracked ones only get a new date."""
-    return upsert(tracker, _moves(tracker, scope, 1, run_date), "req_no", ["updated_at"])
+    return upsert(tracker, _moves(scope, 1, run_date), "req_no", ["updated_at"])
 
 
 def tracker_ids(scope: DataFrame, tracker: DataFrame) -> DataFrame:
@@ -238,107 +297,143 @@ def _aligned(items: DataFrame, like: DataFrame) -> DataFrame:
 
 @dataclass
 class Run:
-    """Tables after a run: the tracker, benchmarks, statuses (req_no, stage_id, status), errors (req_no, stage_id, error) and lines."""
+    """Tables after a run: tracker, classifications, benchmarks; statuses (req_no, stage_id, status), errors (req_no, stage_id, error) and lines.
+
+    ``found`` has the run's benchmarks with all their figures.  Tables that weren't given are None.
+    """
 
     tracker: DataFrame
-    benchmarks: DataFrame
+    classified: DataFrame | None
+    benchmarks: DataFrame | None
+    found: DataFrame
     statuses: DataFrame
     errors: DataFrame
     lines: DataFrame
 
 
-class _Tables:
-    """Tables of a run, written below a folder and read again."""
+def _without(scope: DataFrame, rejects: DataFrame) -> DataFrame:
+    return scope.join(rejects.select("req_no"), "req_no", "left_anti")
 
-    def __init__(self, root: str):
-        self.root = root
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/tables/{name}")
-        return df.sparkSession.read.parquet(f"{self.root}/tables/{name}")
+def _first_errors(rejects: DataFrame) -> DataFrame:
+    """req_no, error: the first of each requisition's errors."""
+    return rejects.groupBy("req_no").agg(F.min(X.error_clip(F.col("error"))).alias("error"))
 
 
 def run_pipeline(
     requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, root: str,
     infer: Callable | None = None, stats: DataFrame | None = None, n: int | None = None, on_error: str = "null", visibility: str = "all",
+    run_id: int = 1, classified: DataFrame | None = None, benchmarks: DataFrame | None = None, infer_label: Callable | None = None, infer_image: Callable | None = None,
 ) -> Run:
     """All eight stages for the pending requisitions, each over all of them at once.
 
-    ``items`` and ``vectors`` (id, detail_id, req_group, vals) are the tables
-    before the run; ``infer`` reads items from quotations (default: rules); files and the tables
-    between stages go below ``root``.  After each stage the tracker moves the requisitions on that
-    have no rejected row so far; others stay at the stage before, aren't worked on further, and have their error in the result.
+    ``items``, ``vectors`` (id, detail_id, req_group, vals), ``classified`` (CLASSIFICATION) and ``benchmarks`` (BENCHMARK) are the tables
+    before the run.  Models are optional: ``infer_label`` and ``infer_image`` classify texts and pictures, ``infer`` reads items from quotations; rules do
+    it otherwise.  After each stage the ledger has the requisitions that moved on; one with a rejected row stays at the stage before,
+    isn't worked on further, and has its error there.  The tracker is set once, from the ledger.
+
+    Files, tables and ledger go below ``root``.  A run that died is started again with its ``run_id``: it goes on at its stage (see :mod:`reqflow.plans.ledger`).
     """
-    kept = _Tables(root)
-    scope = kept(R.choose(requisitions, tracker, n=n), "scope")
-    errors = None
-
-    def moved(stage: int, rejects: DataFrame | None = None) -> None:
-        nonlocal tracker, alive, errors
-        if rejects is not None:
-            found = kept(rejects.select("req_no", F.lit(stage).alias("stage_id"), F.substring("error", 1, 500).alias("error")).distinct(), f"rejects-{stage}")
-            errors = found if errors is None else errors.union(found)
-            alive = kept(alive.join(found.select("req_no"), "req_no", "left_anti"), f"alive-{stage}")
-        tracker = kept(set_stage(tracker, alive, stage, run_date), f"tracker-{stage}")
-
-    alive = scope
-    moved(1)
-    files = kept(attachments_of(alive, attachments, documents), "files")
-    moved(2)
-    export_blobs(blobs_of(alive, attachments, documents), f"{root}/blobs")
-    moved(3)
-    classified = kept(classify_files(files, stats=stats), "classified")
-    moved(4)
-    found = kept(extracted(classified, infer), "extracted")
-    moved(5, found.filter("error is not null"))
-    new = kept(R.in_scope(listed_items(found.filter("error is null")), alive), "new-items")
+    run = RunFolder(requisitions.sparkSession, root, run_id)
+    scope = run.table("scope", lambda: R.choose(requisitions, tracker, n=n))
+    run.move(1, scope)
+    files = run.table("files", lambda: attachments_of(scope, attachments, documents))
+    run.move(2, scope)
+
+    def export() -> DataFrame:
+        n_files = export_blobs(blobs_of(scope, attachments, documents), f"{root}/blobs")
+        return scope.sparkSession.createDataFrame([(n_files,)], "n_files long")
+
+    with ThreadPoolExecutor(1) as beside:  # labels don't need the exported files
+        labelled = beside.submit(run.table, "labels", lambda: classify_files(files, infer_label, stats, infer_image).drop("text", "kind", "name"))
+        run.table("exported", export)
+        run.move(3, scope)
+        labels = labelled.result()
+    stored = None if classified is None else run.table("classified", lambda: store_classification(classified, labels, tracker_ids(scope, tracker), run_date))
+    run.move(4, scope)
+
+    def read_items() -> DataFrame:
+        quotations = labels.filter("doc_type = 'Quotation'").select("req_no", "attachment_id", "doc_type")
+        return extracted(files.join(quotations, ["req_no", "attachment_id"]), infer)
+
+    read = run.table("extracted", read_items)
+    unread = run.table("rejects-5", lambda: _first_errors(read.filter("error is not null")))
+    alive = _without(scope, unread)
+    run.move(5, alive, unread)
+    new = R.in_scope(listed_items(read.filter("error is null")), alive)
     held = _aligned(items, new)
-    table = kept(replace_items(held, _aligned(new, held)), "items")
-    chosen = kept(R.selected_items(R.in_scope(table, alive)), "chosen")
-    moved(6, chosen.filter("detail_id is null").select("req_no", F.concat(F.lit("item without a number: "), "item_name").alias("error")))
-    chosen = kept(R.in_scope(chosen, alive), "embedded-items")
-    embedded = kept(embed_selected(chosen)[0], "embedded")
-    index = kept(store_vectors(vectors, embedded), "vectors")
+    table = run.table("items", lambda: replace_items(held, _aligned(new, held)))
+    chosen = R.in_scope(R.selected_items(table), alive)
+    numberless = run.table("rejects-6", lambda: _first_errors(chosen.filter("detail_id is null").select("req_no", _numberless())))
+    alive = _without(alive, numberless)
+    chosen = run.table("chosen", lambda: R.in_scope(chosen, numberless, how="left_anti"))
+    embedded = run.table("embedded", lambda: embed_selected(chosen)[0])
+    index = run.table("vectors", lambda: store_vectors(vectors, embedded))
+    run.move(6, alive, numberless)
     order = F.coalesce(F.xxhash64("req_group"), F.lit(0)) if visibility == "earlier" else None
-    benchmarks = kept(benchmark_items(chosen, index, table, on_error=on_error, visibility=visibility, seq=order), "benchmarks")
-    moved(7)
-    moved(8)
+    found = run.table("found", lambda: benchmark_items(chosen, index, table, on_error=on_error, visibility=visibility, seq=order))
+    priced = None if benchmarks is None else run.table("benchmarks", lambda: store_benchmarks(benchmarks, found, run_date))
+    run.move(7, alive)
+    run.move(8, alive)
     owned = chosen.select("req_no", "detail_id").distinct()
     with_vector = owned.join(embedded.select("detail_id"), "detail_id", "left_semi")
-    priced = owned.join(benchmarks.select("detail_id").distinct(), "detail_id", "left_semi")
+    with_price = owned.join(found.select("detail_id").distinct(), "detail_id", "left_semi")
     statuses = stage_status(
-        alive, {1: ("", None), 2: ("files", files), 3: ("files", files), 4: ("files", classified), 5: ("items", new), 6: ("vectors", with_vector), 7: ("rows", priced), 8: ("", None)}
+        alive, {1: ("", None), 2: ("files", files), 3: ("files", files), 4: ("files", labels), 5: ("items", new), 6: ("vectors", with_vector), 7: ("rows", with_price), 8: ("", None)}
     )
-    return Run(tracker, benchmarks, statuses, errors, result_lines(statuses, errors))
+    errors = unread.withColumn("stage_id", F.lit(5)).unionByName(numberless.withColumn("stage_id", F.lit(6))).select("req_no", "stage_id", "error")
+    moved = set_stage(tracker, latest(run.moves()), F.col("stage_id"), run_date)
+    return Run(moved, stored, priced, found, statuses, errors, result_lines(statuses, errors))
+
+
+def _numberless() -> Column:
+    return F.concat(F.lit("item without a number: "), F.col("item_name")).alias("error")
 
 
 def apply_results(
-    responses: DataFrame, requisitions: DataFrame, tracker: DataFrame, classified: DataFrame, items: DataFrame, vectors: DataFrame, benchmarks: DataFrame, run_date: str, root: str
-) -> Run:
+    responses: DataFrame, requisitions: DataFrame, tracker: DataFrame, classified: DataFrame, items: DataFrame, vectors: DataFrame, benchmarks: DataFrame, run_date: str, root: str,
+    run_id: int = 1,
+) -> Run:
     """Stages 4 to 8 from a model's answers for all files (raw, in order of doc_id), for the requisitions of the run.
 
-    All records are classified; only the run's requisitions are moved and reported.  Neighbours of a requisition
+    All records are classified; only the run's requisitions are moved and reported, after each stage in the ledger, and in the tracker those that
+    are tracked.  A requisition with a selected item that has no number stays at stage 5.  Neighbours of a requisition
     itself are taken out after the cut.  Answers that can't be read are errors without a requisition.
+    A run that died is started again with its ``run_id``.
     """
-    kept = _Tables(root)
+    run = RunFolder(responses.sparkSession, root, run_id)
+    scope = requisitions.select("req_no")
     records, bad = file_records(responses)
-    records = kept(records.withColumn("attachment_id", F.col("attachment_id").try_cast("long")), "records")
+    records = run.table("records", lambda: records.withColumn("attachment_id", F.col("attachment_id").try_cast("long")))
     last = last_wins(records.filter("attachment_id is not null"), "attachment_id", F.col("doc_id"), F.col("seq"))
-    table = kept(upsert(classified, last.select(*classified.columns), "attachment_id", ["doc_type", "confidence", "blob_path"]), "classified")
-    new = kept(items_of_records(records), "new-items")
+    table = run.table("classified", lambda: upsert(classified, last.select(*classified.columns), "attachment_id", ["doc_type", "confidence", "blob_path"]))
+    run.move(4, scope)
+    new = items_of_records(records)
     held = _aligned(items, new)
-    history = kept(replace_items(held, _aligned(new, held)), "items")
-    chosen = kept(R.selected_items(R.in_scope(history, requisitions)), "chosen")
-    embedded = kept(embed_selected(chosen)[0], "embedded")
-    index = kept(store_vectors(vectors, embedded), "vectors")
-    found = kept(benchmark_items(chosen, index, history, exclude="after"), "found")
-    priced = kept(store_benchmarks(benchmarks, found, run_date), "benchmarks")
-    moved = kept(advance(tracker, requisitions, 8, run_date), "tracker")
+    history = run.table("items", lambda: replace_items(held, _aligned(new, held)))
+    run.move(5, scope)
+    chosen = R.in_scope(R.selected_items(history), scope)
+    numberless = run.table("rejects-6", lambda: _first_errors(chosen.filter("detail_id is null").select("req_no", _numberless())))
+    alive = _without(scope, numberless)
+    chosen = run.table("chosen", lambda: R.in_scope(chosen, numberless, how="left_anti"))
+    embedded = run.table("embedded", lambda: embed_selected(chosen)[0])
+    index = run.table("vectors", lambda: store_vectors(vectors, embedded))
+    run.move(6, alive, numberless)
+    found = run.table("found", lambda: benchmark_items(chosen, index, history, exclude="after"))
+    priced = run.table("benchmarks", lambda: store_benchmarks(benchmarks, found, run_date))
+    run.move(7, alive)
+    run.move(8, alive)
     owned = chosen.select("req_no", "detail_id").distinct()
     statuses = stage_status(
-        requisitions.select("req_no"),
+        scope,
         {4: ("files", last), 5: ("items", new), 6: ("vectors", owned.join(embedded.select("detail_id"), "detail_id", "left_semi")),
          7: ("rows", owned.join(found.select("detail_id").distinct(), "detail_id", "left_semi")), 8: ("", None)},
     )
+    # The line of a requisition that is held back ends with the reason.
+    told = statuses.join(numberless, "req_no", "left").filter("error is null or stage_id <= 6")
+    failed = F.col("error").isNotNull() & (F.col("stage_id") == 6)
+    statuses = told.select("req_no", "stage_id", F.when(failed, F.concat(F.lit("FAILED ("), F.col("error"), F.lit(")"))).otherwise(F.col("status")).alias("status"))
     errors = bad.select(F.lit(None).cast("string").alias("req_no"), F.lit(4).alias("stage_id"), F.concat(F.lit("unreadable answer of "), F.col("doc_id").cast("string")).alias("error"))
-    return Run(moved, priced, statuses, errors, stage_lines(statuses))
+    errors = errors.unionByName(numberless.select("req_no", F.lit(6).alias("stage_id"), "error"))
+    moved = advance(tracker, latest(run.moves()), F.col("stage_id"), run_date)
+    return Run(moved, table, priced, found, statuses, errors, stage_lines(statuses))

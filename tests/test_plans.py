@@ -1,3 +1,5 @@
+import hashlib
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -120,32 +122,142 @@ def test_classify_files_with_a_model_that_fails(spark):
     assert got == {1: ("RFQ", 0.5), 2: ("Others", 0.0), 3: ("Others", 0.0)}
 
 
-def test_a_requisition_with_a_rejected_row_stays_at_the_stage_before(spark, tmp_path):
-    req = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "req_no string, created_on int")
-    tracker = spark.createDataFrame([("d", 8, "u", None, None)], "req_no string, stage_id int, tracker_uuid string, created_at date, updated_at date")
-    offer = "Vendor Name: V\nAddress: x\nDate: y\nTotal Amount: 3\nPayment Terms: 30 days net\nDelivery Time: 2 weeks\n{}"
-    files = [(1, "a", "in/a.txt", offer.format("Item Description: Bolt | Quantity: 2 | Unit Price: 1.5 | Currency: EUR")), (2, "b", "in/b.txt", offer.format("boom")), (3, "c", "in/c.zip", "x")]
-    attachments = spark.createDataFrame([f[:2] for f in files], "attachment_id long, req_no string")
-    documents = spark.createDataFrame([(f[0], *f[2:]) for f in files], "attachment_id long, attachment_name string, content string")
-    items = spark.createDataFrame([("k1", 5, "a", "bolt", 2.0, 3.0, 6.0, "EUR", "V", 1), ("k2", None, "c", "nut", 2.0, 3.0, 6.0, "EUR", "V", 1)],
-        "item_key string, detail_id long, req_no string, item_name string, quantity double, unit_price double, total_price double, currency string, supplier_name string, is_selected int")
-    vectors = spark.createDataFrame([("dtl_9", 9, "z", [1.0] * 64)], "id string, detail_id long, req_group string, vals array<float>")
+OFFER = "Vendor Name: V\nAddress: x\nDate: y\nTotal Amount: 3\nPayment Terms: 30 days net\nDelivery Time: 2 weeks\n{}"
+ITEMS = "item_key string, detail_id long, req_no string, item_name string, quantity double, unit_price double, total_price double, currency string, supplier_name string, is_selected int"
+TRACKED = "req_no string, stage_id int, tracker_uuid string, created_at date, updated_at date"
 
-    def model(texts):
-        if texts.str.contains("boom").any():
-            raise ValueError("no answer")
-        return pd.Series(['[{"item_name": "Bolt", "quantity": 2, "unit_price": 1.5}]'] * len(texts))
 
-    run = D.run_pipeline(req, tracker, attachments, documents, items, vectors, "2024-06-01", str(tmp_path), infer=model)
+def a_run(spark):
+    """Inputs of a run: a is fine, b's quotation can't be read, c has an item without a number, d is done."""
+    files = [(1, "a", "in/a.txt", OFFER.format("Item Description: Bolt | Quantity: 2 | Unit Price: 1.5 | Currency: EUR")), (2, "b", "in/b.txt", OFFER.format("boom")), (3, "c", "in/c.zip", "x")]
+    return (
+        spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "req_no string, created_on int"),
+        spark.createDataFrame([("d", 8, "u", None, None), ("b", 2, "kept", None, None)], TRACKED),
+        spark.createDataFrame([f[:2] for f in files], "attachment_id long, req_no string"),
+        spark.createDataFrame([(f[0], *f[2:]) for f in files], "attachment_id long, attachment_name string, content string"),
+        spark.createDataFrame([("k1", 5, "a", "bolt", 2.0, 3.0, 6.0, "EUR", "V", 1), ("k2", None, "c", "nut", 2.0, 3.0, 6.0, "EUR", "V", 1)], ITEMS),
+        spark.createDataFrame([("dtl_9", 9, "z", [1.0] * 64)], "id string, detail_id long, req_group string, vals array<float>"),
+    )
+
+
+def reading_model(texts):
+    if texts.str.contains("boom").any():
+        raise ValueError("no answer")
+    return pd.Series(['[{"item_name": "Bolt", "quantity": 2, "unit_price": 1.5}]'] * len(texts))
+
+
+def test_a_requisition_with_a_rejected_row_stays_at_the_stage_before(spark, tmp_path):
+    run = D.run_pipeline(*a_run(spark), "2024-06-01", str(tmp_path), infer=reading_model)
     assert {r.req_no: r.stage_id for r in run.tracker.collect()} == {"a": 8, "b": 4, "c": 5, "d": 8}
     lines = {r.req_no: (r.status, r.line) for r in run.lines.collect()}
     assert set(lines) == {"a", "b", "c"} and lines["a"][0] == "SUCCESS" and lines["a"][1].endswith("COMPLETE:OK")
     assert lines["b"] == ("FAILED", "ERR [b] ValueError: no answer") and lines["c"] == ("FAILED", "ERR [c] item without a number: nut")
-    assert [r.detail_id for r in run.benchmarks.collect()] == [5]
+    assert [r.detail_id for r in run.found.collect()] == [5] and run.classified is None
     said = {(r.req_no, r.stage_id): r.status for r in run.statuses.collect()}
     assert said["a", 5] == "OK (1 items)" and said["a", 3] == "OK (1 files)"
 
 
+def test_a_run_stores_classifications_with_the_trackers_uuid_and_benchmarks(spark, tmp_path):
+    old = spark.createDataFrame([(1, "was", "u0", "p", "RFQ", 0.1, None, None), (77, "q", None, "p", "BER", 0.2, None, None)], "attachment_id long, req_no string, tracker_uuid string, blob_path string, doc_type string, confidence double, created_at date, updated_at date")
+    priced = spark.createDataFrame([(5, "EUR", 1.0, "s", None, None)], "detail_id long, currency string, bp_unit_price double, summary string, created_at date, updated_at date")
+    label = lambda texts: pd.Series(['{"classification":"Quotation","confidence":0.9}'] * len(texts))
+    run = D.run_pipeline(*a_run(spark), "2024-06-01", str(tmp_path), infer=reading_model, classified=old, benchmarks=priced, infer_label=label)
+    got = {r.attachment_id: (r.req_no, r.tracker_uuid, r.doc_type, r.confidence, str(r.updated_at)) for r in run.classified.collect()}
+    made = hashlib.sha256(b"tracker/c").hexdigest()
+    assert got == {1: ("was", "u0", "Quotation", 0.9, "2024-06-01"), 2: ("b", "kept", "Quotation", 0.9, "2024-06-01"), 3: ("c", made, "Others", 0.0, "2024-06-01"), 77: ("q", None, "BER", 0.2, "None")}
+    assert [(r.detail_id, r.currency, str(r.updated_at)) for r in run.benchmarks.collect()] == [(5, "EUR", "2024-06-01")]
+
+
+def as_set(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("dies", ["store_vectors", "classify_files"])
+def test_a_run_that_died_goes_on_at_its_stage(spark, tmp_path, monkeypatch, dies):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(texts):
+        calls.add(len(texts))
+        return reading_model(texts)
+
+    whole = D.run_pipeline(*a_run(spark), "2024-06-01", str(tmp_path / "whole"), infer=counted)
+    want, asked = [as_set(x) for x in (whole.tracker, whole.lines, whole.found)], calls.value
+    root = str(tmp_path / "dies")
+    with monkeypatch.context() as m:
+        m.setattr(D, dies, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            D.run_pipeline(*a_run(spark), "2024-06-01", root, infer=counted)
+    (tmp_path / "dies" / "run=1" / "vectors" / "_temporary").mkdir(parents=True, exist_ok=True)  # half a table
+    done = {p: p.stat().st_mtime_ns for p in (tmp_path / "dies" / "run=1").rglob("*.parquet")}
+    before = calls.value
+    run = D.run_pipeline(*a_run(spark), "2024-06-01", root, infer=counted)
+    assert [as_set(x) for x in (run.tracker, run.lines, run.found)] == want
+    assert {p: p.stat().st_mtime_ns for p in done} == done  # what was whole wasn't written again
+    assert calls.value - before == (asked if dies == "classify_files" else 0)  # stage 5 isn't repeated
+    moves = run.tracker.sparkSession.read.parquet(f"{root}/ledger")
+    assert moves.filter("req_no = 'a'").count() == 8 and moves.filter("error is not null").count() == 2
+
+
+def test_the_ledger_tells_how_far_each_requisition_came_last(spark):
+    from reqflow.plans.ledger import LEDGER, latest
+
+    rows = [("a", None, 1, 1), ("a", None, 1, 2), ("a", "bad", 1, 3), ("a", None, 2, 1), ("b", None, 1, 1), ("b", None, 1, 8), ("c", None, 1, 4), ("c", "x", 1, 5)]
+    got = {r.req_no: (r.run, r.stage_id, r.error) for r in latest(spark.createDataFrame(rows, LEDGER)).collect()}
+    assert got == {"a": (2, 1, None), "b": (1, 8, None), "c": (1, 4, "x")}
+
+
+def test_answers_without_a_number_hold_their_requisition_back(spark, tmp_path):
+    raw = '[{"pr_no":"%s","att_id":"%d","doc_type":"Quotation","classification_conf":0.5,"items":[{"item_name":"nut","quantity":1,"unit_price":2}]}]'
+    responses = spark.createDataFrame([(i, raw % (r, i)) for i, r in enumerate("abz")] + [(9, "not json")], "doc_id long, raw string")
+    req, tracker, _, _, items, vectors = a_run(spark)
+    tracker = spark.createDataFrame([("a", 3, "u", None, None), ("c", 3, "u", None, None)], TRACKED)
+    classified = spark.createDataFrame([], "attachment_id long, req_no string, doc_type string, confidence double, blob_path string")
+    priced = spark.createDataFrame([], "detail_id long, currency string, bp_unit_price double, summary string, created_at date, updated_at date")
+    run = D.apply_results(responses, req, tracker, classified, items, vectors, priced, "2024-06-01", str(tmp_path))
+    assert {r.req_no: r.stage_id for r in run.tracker.collect()} == {"a": 8, "c": 5}
+    lines = {r.req_no: r.line for r in run.lines.collect()}
+    assert lines["c"] == "REQ [c]: CLASSIFICATION: OK (0 files) → METADATA_EXTRACTION: OK (0 items) → EMBEDDINGS: FAILED (item without a number: nut)"
+    assert lines["a"].endswith("EMBEDDINGS: OK (1 vectors) → PRICE_BENCHMARK: OK (1 rows) → COMPLETE: OK")
+    assert {(r.req_no, r.stage_id, r.error) for r in run.errors.collect()} == {(None, 4, "unreadable answer of 9"), ("c", 6, "item without a number: nut")}
+    moves = spark.read.parquet(f"{tmp_path}/ledger")
+    assert {r.stage for r in moves.filter("req_no = 'c' and error is null").collect()} == {4, 5}
+
+
+def test_answers_are_kept_and_passing_faults_tried_again(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def flaky(texts):
+        calls.add(len(texts))
+        for t in texts:
+            if t.startswith("slow") and len(texts) == 1:
+                n = len(list(seen.glob(f"{t}-*")))
+                (seen / f"{t}-{n}").touch()
+                if n < (1 if t == "slow" else 9):
+                    raise OSError("Connection reset by peer")
+            elif t.startswith("slow"):
+                raise OSError("connection reset")
+            elif t == "bad":
+                raise ValueError("no")
+        return texts + "!"
+
+    docs = spark.createDataFrame([(1, "a"), (2, "slow"), (3, "bad"), (4, "a"), (5, "slower"), (6, None)], "i int, text string").coalesce(1)
+    ask = lambda run, model="m": {r.i: (r.answer, r.answer_error) for r in D.Answers(str(tmp_path / "kept"), model, run).infer(docs, flaky, wait=0.01).collect()}
+    lost = "OSError: Connection reset by peer"
+    want = {1: ("a!", None), 2: ("slow!", None), 3: (None, "ValueError: no"), 4: ("a!", None), 5: (None, lost), 6: ("!", None)}
+    assert ask("1") == want
+    assert len(list(seen.glob("slow-*"))) == 2 and len(list(seen.glob("slower-*"))) == 3  # bounded
+    before = calls.value
+    (tmp_path / "kept" / "v=dead-1").mkdir()  # a batch that never became whole
+    assert ask("2") == want
+    assert {p.name for p in seen.glob("slow-*")} == {"slow-0", "slow-1"} and calls.value > before  # only those that failed are asked again
+    docs = docs.filter("i in (1, 2, 4, 6)")
+    before = calls.value
+    assert ask("3") == {i: want[i] for i in (1, 2, 4, 6)} and calls.value == before
+    assert ask("4", "other")[1] == ("a!", None) and calls.value > before
+
+
 def test_key_ranges_cover_without_overlap(spark):
     for low, high, n in ((0, 99, 7), (5, 5, 4), (-3, 3, 3), (0, 1, 8)):
         r = S.key_ranges(low, high, n)
