@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +26,7 @@ from reqflow.plans.sync import SyncJob, foreign_key_report
 from reqflow.sources import publish as W
 from reqflow.sources import scan as S
 from reqflow.sources.database import JdbcTarget
+from reqflow.sources.export import export_changed
 from reqflow.sources.keyed import KeyedTable
 from reqflow.storage import shared_folder
 
@@ -63,8 +63,15 @@ def _(control):
     w AS (SELECT lo, width, i, lo + width * i // 8 AS low, lo + width * (i + 1) // 8 AS high FROM b, (SELECT unnest(range(8)) AS i))
     SELECT CAST(i AS INTEGER) AS slice, l_orderkey, l_partkey, l_quantity FROM lineitem JOIN w ON l_orderkey >= low AND l_orderkey < high WHERE l_quantity > 25""")
 def _(lineitem):
-    parts = S.sliced_scan(lineitem, "l_orderkey", 8, "l_quantity > 25", ["l_orderkey", "l_partkey", "l_quantity"])
-    return reduce(DataFrame.union, [p.select(F.lit(i).alias("slice"), "*") for i, p in enumerate(parts)])
+    return S.sliced_scan(lineitem, "l_orderkey", 8, "l_quantity > 25", ["l_orderkey", "l_partkey", "l_quantity"])
+
+
+@query("equal_depth_scan", "lineitem", "SELECT l_partkey * l_partkey AS k, l_orderkey, true AS even FROM lineitem")
+def _(lineitem):
+    """Slices of a skewed key: ``even`` tells whether the largest of the 8 has at most twice the mean."""
+    rows = S.sliced_scan(lineitem.withColumn("k", F.col("l_partkey") * F.col("l_partkey")), "k", 8, columns=["k", "l_orderkey"], equal="depth")
+    sizes = [r[1] for r in rows.groupBy("slice").count().collect()]  # eight
+    return rows.drop("slice").withColumn("even", F.lit(len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8))
 
 
 @query("column_discovery", "orders", "SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name FROM information_schema.columns WHERE table_name = 'orders'")
@@ -162,6 +169,17 @@ def _(attachments, docs):
     return out.filter(F.col("n_files") == n)
 
 
+@query("blob_export_changed", BLOBS, """SELECT count(*) AS n_files, CAST(sum(octet_length(encode(content))) AS BIGINT) AS n_bytes, count(*) FILTER (attachment_id % 5 = 0) AS n_changed
+    FROM (SELECT attachment_id, CASE WHEN attachment_id % 5 = 0 THEN content || '!' ELSE content END AS content FROM attachments a JOIN attachment_documents d USING (attachment_id) WHERE content IS NOT NULL)""")
+def _(attachments, docs):
+    spark, root = attachments.sparkSession, shared_folder(attachments.sparkSession, "changed")
+    export_changed(_blobs(attachments, docs), root, "1")
+    edited = docs.withColumn("content", F.when(F.col("attachment_id") % 5 == 0, F.concat("content", F.lit("!"))).otherwise(F.col("content")))
+    n = export_changed(_blobs(attachments, edited), root, "2")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/files").select("length")
+    return files.agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")).withColumn("n_changed", F.lit(n).cast("long"))
+
+
 @query("text_file_scan", BLOBS, """SELECT count(*) AS n_files, CAST(sum(least(length(content), 10000)) AS BIGINT) AS n_chars
     FROM attachments a JOIN attachment_documents d USING (attachment_id) WHERE content IS NOT NULL""")
 def _(attachments, docs):
@@ -437,6 +455,21 @@ def _(req, attachments, docs):
     return P.text_batch(req, files.select("req_no", "attachment_id", "name", "text"))
 
 
+HALF = 10_000
+BATCHES_SQL = f"""sec AS (SELECT req_no, attachment_id, name, CASE WHEN row_number() OVER w = 1 THEN '' ELSE chr(10) || chr(10) END || '=== FILE: ' || name || ' (REQ: ' || req_no || ') ===' || chr(10) || text AS t
+      FROM f WINDOW w AS (PARTITION BY req_no ORDER BY attachment_id, name)),
+    placed AS (SELECT req_no, t, coalesce(sum(length(t)) OVER (PARTITION BY req_no ORDER BY attachment_id, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sec),
+    parts AS (SELECT req_no, start + i * {HALF} AS place, substring(t, i * {HALF} + 1, {HALF}) AS part FROM (SELECT *, unnest(range((length(t) + {HALF - 1}) // {HALF})) AS i FROM placed)),
+    b AS (SELECT req_no, CAST(place // {HALF} AS BIGINT) AS batch_no, string_agg(part, '' ORDER BY place) AS batch FROM parts GROUP BY 1, 2)
+    SELECT req_no, coalesce(batch_no, 0) AS batch_no, coalesce(batch, '(no files found)') AS batch FROM requisitions LEFT JOIN b USING (req_no)"""
+
+
+@query("text_batches", "requisitions attachments attachment_documents", f"WITH {_files_sql()}, {BATCHES_SQL}")
+def _(req, attachments, docs):
+    files = D.attachments_of(req, attachments, docs)
+    return P.text_batches(req, files.select("req_no", "attachment_id", "name", "text"), 2 * HALF)
+
+
 @query("fragment_assembly", "fragments", """WITH r AS (SELECT doc_id, sheet, row_number() OVER (PARTITION BY doc_id, sheet ORDER BY row_no, cell) AS n, cell AS line FROM fragments),
     l AS (SELECT * FROM r WHERE n <= 500 AND line <> '' UNION ALL SELECT DISTINCT doc_id, sheet, 0, '--- Sheet: ' || sheet || ' ---' FROM fragments)
     SELECT doc_id, substring(string_agg(line, chr(10) ORDER BY sheet, n), 1, 15000) AS text FROM l GROUP BY 1""")

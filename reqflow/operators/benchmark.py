@@ -2,33 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqflow.functions.text import default_currency
 
 
+def price_histogram(rows: DataFrame, *keys: str, price: str = "unit_price") -> DataFrame:
+    """keys, price, n: how often each price occurs; pre-aggregated before it is shuffled, and histograms add up."""
+    return rows.filter(F.col(price).isNotNull()).groupBy(*keys, F.col(price).alias("price")).agg(F.count("*").alias("n"))
+
+
+def median_price(histogram: DataFrame, *keys: str, out: str = "median") -> DataFrame:
+    """keys and the median of a histogram (keys, price, n): the price at the middle of the running counts, or midway between the two there.
+
+    Prices pass in order, and no list of them is held.
+    """
+    ordered = Window.partitionBy(*keys).orderBy("price")
+    counted = histogram.withColumn("__upto", F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__all", F.sum("n").over(Window.partitionBy(*keys)))
+    at = lambda place: F.min(F.when(F.col("__upto") >= place, F.col("price")))
+    low, high = at(F.floor((F.col("__all") + 1) / 2)), at(F.floor(F.col("__all") / 2) + 1)
+    return counted.groupBy(*keys).agg((low + (high - low) * 0.5).alias(out))
+
+
 def price_benchmark(items: DataFrame, neighbours: DataFrame, history: DataFrame, top: int = 5, on_error: str = "null") -> DataFrame:
     """One row per item and currency: median, least, most, count and score-weighted mean of neighbours' prices.
 
     ``items``: detail_id, currency, unit_price.  ``neighbours``: query_id,
     detail_id, score, rk.  ``history``: detail_id, currency, unit_price.  Only
     prices in the item's currency count; an item without any has null prices, or no row with ``on_error="skip"``.
+    Prices are counted per article first, and the counts are merged over an item's neighbours.
     """
     near = neighbours.filter(F.col("rk") <= top).select("query_id", "detail_id", F.floor(F.col("score") * 1000 + 0.5).cast("long").alias("weight"))
-    prices = history.select("detail_id", default_currency(F.col("currency")).alias("currency"), F.col("unit_price").alias("old_price"))
-    prices = prices.filter("old_price is not null").withColumn("cents", F.floor(F.col("old_price") * 100 + 0.5).cast("long"))
+    prices = price_histogram(history.withColumn("currency", default_currency(F.col("currency"))), "detail_id", "currency")
     # Sums of whole numbers, so that the result doesn't depend on the order of rows.
-    found = near.join(prices, "detail_id").groupBy("query_id", "currency")
-    stats = found.agg(
-        F.median("old_price").alias("bp_unit_price"),
-        F.min("old_price").alias("min_price"),
-        F.max("old_price").alias("max_price"),
-        F.count("*").alias("n_prices"),
-        (F.sum(F.col("weight") * F.col("cents")) / F.sum("weight") / 100).alias("weighted_price"),
+    merged = near.join(prices, "detail_id").groupBy("query_id", "currency", "price").agg(F.sum("n").alias("n"), F.sum(F.col("weight") * F.col("n")).alias("weight"))
+    cents = F.floor(F.col("price") * 100 + 0.5).cast("long")
+    stats = merged.groupBy("query_id", "currency").agg(
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.sum("n").alias("n_prices"),
+        (F.sum(F.col("weight") * cents) / F.sum("weight") / 100).alias("weighted_price"),
     )
-    current = items.select(F.col("detail_id").alias("query_id"), default_currency(F.col("currency")).alias("currency"), "unit_price")
-    current = current.groupBy("query_id", "currency").agg(F.median("unit_price").alias("unit_price"))
+    stats = stats.join(median_price(merged.select("query_id", "currency", "price", "n"), "query_id", "currency", out="bp_unit_price"), ["query_id", "currency"])
+    wanted = items.select(F.col("detail_id").alias("query_id"), default_currency(F.col("currency")).alias("currency"), "unit_price")
+    own = median_price(price_histogram(wanted, "query_id", "currency"), "query_id", "currency", out="unit_price")
+    current = wanted.select("query_id", "currency").distinct().join(own, ["query_id", "currency"], "left")
     out = current.join(stats, ["query_id", "currency"], "inner" if on_error == "skip" else "left")
     return out.select(
         F.col("query_id").alias("detail_id"), "currency", "unit_price", "bp_unit_price", "min_price", "max_price",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,23 +31,27 @@ CATEGORIES = (
 MIN_COVERAGE = 0.6
 
 
-def coverage(text: Column, category: Category) -> Column:
-    """Share of the category's fields that the text has; 0 without a required one."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    met = sum((low.rlike(f).cast("int") for f in category.fields), F.lit(0))
+def has_field(low: Column, field: str) -> Column:
+    """Whether a lower-cased text has a field; a plain one is looked for as it is."""
+    return low.contains(field) if re.fullmatch("[a-z0-9 ]+", field) else low.rlike(field)
+
+
+def coverage(low: Column, category: Category) -> Column:
+    """Share of the category's fields that a lower-cased text has; 0 without a required one."""
+    met = sum((has_field(low, f).cast("int") for f in category.fields), F.lit(0))
     share = met.cast("double") / F.lit(float(len(category.fields)))
     for r in category.required:
-        share = F.when(low.rlike(r), share).otherwise(0.0)
+        share = F.when(has_field(low, r), share).otherwise(0.0)
     return share
 
 
 def coverage_classify(docs: DataFrame, text: str = "text", categories: tuple[Category, ...] = CATEGORIES) -> DataFrame:
     """``docs`` with doc_type, coverage and band: one pass, no shuffle."""
-    scores = [coverage(F.col(text), c) for c in categories]
-    scored = docs.withColumn("__s", F.array(*scores))
+    scores = [coverage(F.col("__low"), c) for c in categories]
+    scored = docs.withColumn("__low", F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn("__s", F.array(*scores))
     best = F.array_max("__s")
     name = F.element_at(F.array(*[F.lit(c.name) for c in categories]), F.array_position("__s", best).cast("int"))
     band = F.when(best >= 0.9, "all").when(best >= 0.75, "most").when(best >= MIN_COVERAGE, "enough").otherwise("none")
     return (
-        scored.withColumn("doc_type", F.when(best >= MIN_COVERAGE, name).otherwise("Other")).withColumn("coverage", best).withColumn("band", band).drop("__s")
+        scored.withColumn("doc_type", F.when(best >= MIN_COVERAGE, name).otherwise("Other")).withColumn("coverage", best).withColumn("band", band).drop("__s", "__low")
     )

@@ -94,6 +94,29 @@ def text_batch(scope: DataFrame, files: DataFrame) -> DataFrame:
     return scope.select("req_no").join(texts, "req_no", "left").withColumn("batch", F.coalesce("batch", F.lit("(no files found)")))
 
 
+def text_batches(scope: DataFrame, files: DataFrame, limit: int = 100_000) -> DataFrame:
+    """req_no, batch_no (from 0), batch: :func:`text_batch` in texts of at most ``limit`` characters; joined in order they are that text.
+
+    Files go to batches by running sizes within their requisition.  One of more than half the limit is divided into parts; nothing is cut off.
+    Only sizes are sorted by requisition, and texts are gathered by batch, so a requisition with very many files is spread.
+    """
+    half = max(1, limit // 2)
+    section = F.concat(F.lit("=== FILE: "), F.col("name"), F.lit(" (REQ: "), F.col("req_no"), F.lit(") ===\n"), F.col("text"))
+    order = Window.partitionBy("req_no").orderBy("attachment_id", "name")
+    sizes = files.select("req_no", "attachment_id", "name", F.length(section).alias("size")).withColumn("first", F.row_number().over(order) == 1)
+    sizes = sizes.withColumn("size", F.col("size") + F.when(F.col("first"), 0).otherwise(2))
+    sizes = sizes.withColumn("start", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    placed = files.join(sizes.select("req_no", "attachment_id", "name", "first", F.coalesce("start", F.lit(0)).cast("long").alias("start")), ["req_no", "attachment_id", "name"])
+    whole = placed.select("req_no", "start", F.concat(F.when(F.col("first"), "").otherwise("\n\n"), section).alias("text"))
+    parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{half}}}"), F.lit(0))
+    parts = whole.select("req_no", "start", F.posexplode(parts).alias("i", "part")).withColumn("at", F.col("start") + F.col("i") * half)
+    # Parts that start in one half-limit of the running size: together with the last of them no more than the limit.
+    numbered = parts.groupBy("req_no", F.floor(F.col("at") / half).alias("batch_no")).agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("p"))
+    batches = numbered.select("req_no", "batch_no", F.array_join(F.transform("p", lambda x: x["part"]), "").alias("batch"))
+    out = scope.select("req_no").join(batches, "req_no", "left")
+    return out.select("req_no", F.coalesce("batch_no", F.lit(0)).cast("long").alias("batch_no"), F.coalesce("batch", F.lit("(no files found)")).alias("batch"))
+
+
 def assemble_fragments(fragments: DataFrame, cap: int = 15_000, rows_per_sheet: int = 500) -> DataFrame:
     """doc_id, text: sheets in order under a header line, rows of tab-joined cells, blank rows left out.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The stages of the pipeline in order.
@@ -50,18 +50,52 @@ def selected_items(items: DataFrame) -> DataFrame:
     return items.filter((F.col("is_selected") == 1) & (F.col("item_name") != ""))
 
 
-def row_slices(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Key ranges of ``n`` slices of near equal size: slice, lo, hi, n_rows; fewer where keys repeat.
+def range_number(key: str, cuts: list) -> Column:
+    """Which range a key is in: 0 up to and with the first cut, and so on; -1 without a key."""
+    above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.col(key) > c)) if cuts else F.lit(0)
+    return F.when(F.col(key).isNull(), -1).otherwise(above)
+
 
-    Bounds are n - 1 approximate quantiles of the key (a sketch of bounded size), so no global sort takes place.
+def depth_cuts(df: DataFrame, key: str, n: int) -> list:
+    """At most n - 1 keys that cut ``df`` into ranges of near equal size: approximate quantiles from a sketch of bounded size, so no global sort takes place.
+
+    A range may hold a tenth of its share more or less, and all rows of a key are in one.  The key is a number.
     """
-    cuts = sorted(set(df.approxQuantile(key, [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else []
-    number = sum((F.when(F.col(key) > F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    found = df.approxQuantile(key, [i / n for i in range(1, n)], 0.05 / n) if n > 1 else []
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    return sorted({int(c) if whole else c for c in found})
+
+
+def row_slices(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Key ranges of ``n`` slices of near equal size: slice, lo, hi, n_rows; fewer where keys repeat.  Rows without a key are slice -1."""
+    number = range_number(key, depth_cuts(df, key, n))
     return df.select(number.alias("slice"), key).groupBy("slice").agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n_rows"))
 
 
-def slice_of(df: DataFrame, key: str, offset: int, n: int) -> DataFrame:
-    return df.orderBy(key).offset(offset).limit(n)
+def slice_of(df: DataFrame, key: str, offset: int, n: int, *ties: str, ranges: int = 128) -> DataFrame:
+    """Rows offset to offset + n - 1 in order of a number key, null first, then of ``ties``.
+
+    Rows are counted by key range; the running counts tell which ranges hold the wanted places, and only these are read and sorted.
+    """
+    cuts = depth_cuts(df, key, ranges)
+    counts = {r[0]: r[1] for r in df.groupBy(range_number(key, cuts)).count().collect()}  # one row per range
+    before, first, last, upto = 0, None, None, 0
+    for number in range(-1, len(cuts) + 1):
+        start, upto = upto, upto + counts.get(number, 0)
+        if first is None and upto > offset:
+            first, before = number, start
+        if start < offset + n:
+            last = number
+    if first is None or n < 1:
+        return df.limit(0)
+    low = None if first < 0 else F.col(key).isNotNull() if first == 0 else F.col(key) > F.lit(cuts[first - 1])
+    high = F.col(key).isNull() if last < 0 else F.col(key) <= F.lit(cuts[last]) if last < len(cuts) else None
+    if low is None and high is not None and last >= 0:
+        high = high | F.col(key).isNull()
+    part = df
+    for bound in (low, high):
+        part = part if bound is None else part.filter(bound)
+    return part.orderBy(key, *ties).offset(offset - before).limit(n)
 
 
 def top_per_key(df: DataFrame, key: str, k: int, *order) -> DataFrame:

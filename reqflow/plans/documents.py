@@ -21,7 +21,8 @@ from reqflow.operators.merge import last_wins, upsert
 from reqflow.operators.reports import counts_per_requisition, ok_or_skipped, result_lines, stage_lines, text_batch
 from reqflow.operators.vectors import batch_embed, nearest
 from reqflow.plans.ledger import RunFolder, is_whole, latest
-from reqflow.sources.publish import export_blobs, versions
+from reqflow.sources.export import export_changed
+from reqflow.sources.publish import versions
 
 
 def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", out: str = "answer", tries: int = 3, wait: float = 0.5) -> DataFrame:
@@ -226,7 +227,7 @@ def ingest(
     """Stages 1-3 of a run: the tracker after it, the run's files, and one text per requisition; files are exported below ``root``, if given."""
     scope = R.choose(requisitions, tracker, n=n)
     if root is not None:
-        export_blobs(blobs_of(scope, attachments, documents), root)
+        export_changed(blobs_of(scope, attachments, documents), root, run_date)
     files = attachments_of(scope, attachments, documents)
     return touch(tracker, scope, run_date), files, text_batch(scope, files.select("req_no", "attachment_id", "name", "text"))
 
@@ -341,7 +342,7 @@ def run_pipeline(
     run.move(2, scope)
 
     def export() -> DataFrame:
-        n_files = export_blobs(blobs_of(scope, attachments, documents), f"{root}/blobs")
+        n_files = export_changed(blobs_of(scope, attachments, documents), f"{root}/blobs", str(run_id))
         return scope.sparkSession.createDataFrame([(n_files,)], "n_files long")
 
     with ThreadPoolExecutor(1) as beside:  # labels don't need the exported files

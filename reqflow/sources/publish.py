@@ -116,23 +116,40 @@ def append_status(status: DataFrame, path: str) -> None:
     status.write.mode("append").parquet(path)
 
 
+#: Files that one task has open at once: creating a file is mostly waiting.
+OPEN_FILES = 16
+
+
 class _FileWriter(DataSourceWriter):
-    """Each task writes its rows' bytes below the root; the same path is overwritten."""
+    """Each task writes its rows' bytes below the root, some files at a time; the same path is overwritten."""
 
     def __init__(self, root: str):
         self.root = root
 
     def write(self, rows) -> WriterCommitMessage:
+        from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+
         from pyarrow import fs
 
         scheme, _, rest = self.root.rpartition(":/")
         # Hadoop writes local folders as file:/x, Arrow wants file:///x; other stores' addresses are full already.
         store, base = fs.FileSystem.from_uri(self.root if "://" in self.root else f"{scheme or 'file'}:///{rest.lstrip('/') if scheme else self.root.lstrip('/')}")
-        for r in rows:
-            path = f"{base}/{r.path}"
+
+        def put(path: str, content: bytes) -> None:
             store.create_dir(path.rsplit("/", 1)[0], recursive=True)
             with store.open_output_stream(path) as out:
-                out.write(bytes(r.content or b""))
+                out.write(content)
+
+        with ThreadPoolExecutor(OPEN_FILES) as pool:
+            going: set = set()
+            for r in rows:
+                if len(going) >= 2 * OPEN_FILES:  # no more contents are held than that
+                    done, going = wait(going, return_when=FIRST_COMPLETED)
+                    for d in done:
+                        d.result()
+                going.add(pool.submit(put, f"{base}/{r.path}", bytes(r.content or b"")))
+            for d in going:
+                d.result()
         return WriterCommitMessage()
 
 

@@ -139,3 +139,48 @@ def test_benchmark_without_history_is_null(spark):
     assert got[1].bp_unit_price is None and got[1].n_prices == 0
     assert [r.detail_id for r in price_benchmark(items, near, history, on_error="skip").collect()] == [2]
     assert (got[2].bp_unit_price, got[2].currency, got[2].price_ratio) == (8.0, "USD", 0.5)
+
+
+def test_a_slice_by_position_sorts_its_ranges_only(spark):
+    keys = [None, None, *[i * i % 97 for i in range(300)], *[5] * 40]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    want = sorted(((k, i) for i, k in enumerate(keys)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for offset, n in ((0, 1), (0, 400), (1, 3), (2, 2), (17, 50), (60, 60), (330, 50), (341, 5), (342, 5), (900, 5), (10, 0)):
+        assert [tuple(r) for r in requisitions.slice_of(df, "k", offset, n, "i", ranges=16).collect()] == want[offset : offset + n]
+    assert requisitions.slice_of(df.limit(0), "k", 0, 5).count() == 0
+    plan = requisitions.slice_of(df, "k", 100, 5, ranges=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "k" in plan
+
+
+def test_slices_of_equal_depth(spark):
+    df = spark.createDataFrame([(int(1.03**i),) for i in range(1000)] + [(None,)], "k long")
+    got = requisitions.row_slices(df, "k", 8).collect()
+    assert sum(r.n_rows for r in got) == 1001 and max(r.n_rows for r in got) <= 250 and {r.slice for r in got} == set(range(-1, 8))
+
+
+def test_medians_of_histograms_equal_spark_s(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.randint(0, 30), rng.choice(["EUR", "USD"]), rng.choice([None, 1.5, 2.25, 3.0, rng.random()])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "item int, currency string, unit_price double")
+    from reqflow.operators.benchmark import median_price, price_histogram
+
+    got = {(r.item, r.currency): r.median for r in median_price(price_histogram(df, "item", "currency"), "item", "currency").collect()}
+    want = {(r.item, r.currency): r.m for r in df.groupBy("item", "currency").agg(F.median("unit_price").alias("m")).collect() if r.m is not None}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    plan = price_benchmark(df.withColumnRenamed("item", "detail_id"), spark.createDataFrame([], "query_id long, detail_id long, score double, rk int"), df.withColumnRenamed("item", "detail_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "median" not in plan.lower().replace("bp_unit_price", "") and "percentile" not in plan.lower()
+
+
+def test_batches_of_bounded_size_join_to_the_whole_text(spark):
+    files = [("a", i, f"f{i}", "x" * n + str(i)) for i, n in enumerate([0, 5, 300, 40, 41, 1000, 1, 1, 1])] + [("b", 1, "n", "short"), ("a", 20, "é\n", "\n\U0001f600" * 90)]
+    df = spark.createDataFrame(files, "req_no string, attachment_id long, name string, text string")
+    scope = spark.createDataFrame([("a",), ("b",), ("none",)], "req_no string")
+    whole = {r.req_no: r.batch for r in reports.text_batch(scope, df).collect()}
+    for limit in (20, 150, 333, 100_000):
+        got = sorted(map(tuple, reports.text_batches(scope, df, limit).collect()))
+        assert all(len(b) <= max(limit, 16) for _, _, b in got)
+        for req, text in whole.items():
+            own = [(n, b) for r, n, b in got if r == req]
+            assert [n for n, _ in own] == list(range(len(own))) and "".join(b for _, b in own) == text

@@ -77,6 +77,30 @@ def test_blobs_are_written_by_tasks(spark, tmp_path):
     assert texts["b.txt"] == "é�" and set(texts) == {"a.bin", "b.txt"}
 
 
+def test_only_new_and_changed_files_are_exported(spark, tmp_path):
+    from reqflow.sources.export import export_changed
+
+    def at(rows):
+        return spark.createDataFrame([(p, bytearray(c) if c is not None else None) for p, c in rows], "path string, content binary")
+
+    root = str(tmp_path / "out")
+    first = [(f"r/{i}/a.bin", b"x" * i) for i in range(40)] + [("r/none", None)]
+    assert export_changed(at(first), root, "1") == 41
+    held = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/files").rglob("*") if p.is_file()}
+    assert export_changed(at(first), root, "2") == 0
+    assert {p: p.stat().st_mtime_ns for p in held} == held
+    again = [(p, c) for p, c in first if p != "r/5/a.bin"] + [("r/5/a.bin", b"yyyyy"), ("r/new", b"z")]
+    assert export_changed(at(again), root, "3") == 2
+    assert (tmp_path / "out/files/r/5/a.bin").read_bytes() == b"yyyyy" and (tmp_path / "out/files/r/none").read_bytes() == b""
+    assert export_changed(at(again[:3]), root, "4") == 0 and export_changed(at(again), root, "5") == 0
+
+
+def test_a_file_that_can_not_be_written_fails_the_export(spark, tmp_path):
+    (tmp_path / "r").write_text("a file where a folder must be")
+    with pytest.raises(Exception, match="(?i)directory|exist"):
+        W.export_blobs(spark.createDataFrame([(f"r/{i}", bytearray(b"x")) for i in range(50)], "path string, content binary"), str(tmp_path))
+
+
 def test_jdbc_scan_reads_key_ranges(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -263,9 +287,21 @@ def test_key_ranges_cover_without_overlap(spark):
         r = S.key_ranges(low, high, n)
         assert [x for a, b in r for x in range(a, b + 1)] == list(range(low, high + 1))
     df = spark.createDataFrame([(1, "a"), (None, "b"), (50, "c"), (50, "d")], "k long, v string")
-    parts = S.sliced_scan(df, "k", 3, columns=["v"])
-    assert sorted(r.v for p in parts for r in p.collect()) == ["a", "b", "c", "d"]
-    assert sum(p.count() for p in S.sliced_scan(df.limit(0), "k", 3)) == 0
+    for equal in ("width", "depth"):
+        parts = S.sliced_scan(df, "k", 3, columns=["v"], equal=equal)
+        assert sorted(r.v for r in parts.collect()) == ["a", "b", "c", "d"] and parts.columns == ["slice", "v"]
+        assert {r.v: r.slice for r in parts.collect()}["b"] == 0 and S.sliced_scan(df.limit(0), "k", 3, equal=equal).count() == 0
+
+
+def test_jdbc_slices_of_a_skewed_key_are_near_equal(spark):
+    url, driver = "jdbc:derby:memory:slices;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = spark.range(4000).select(F.pow("id", F.lit(3)).cast("long").alias("K"), F.col("id").alias("V")).union(spark.createDataFrame([(None, 9999)], "K long, V long"))
+    rows.coalesce(1).write.format("jdbc").option("url", url).option("driver", driver).option("dbtable", "S").save()
+    got = S.jdbc_slices(spark, url, "S", "K", 8, driver=driver)
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 4001 / 8 and got.agg(F.sum("V")).first()[0] == 3999 * 2000 + 9999
+    wide = S.jdbc_scan(spark, url, "S", "K", 8, driver=driver).groupBy(F.spark_partition_id()).count()
+    assert max(r[1] for r in wide.collect()) > 2 * 4001 / 8  # what equal widths give
 
 
 def test_half_written_pointers_and_leftovers_are_passed_over(spark, tmp_path):
