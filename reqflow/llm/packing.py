@@ -12,7 +12,7 @@ next until one has no conflict; a bitmap's hit is confirmed on the bin's
 own sets, so a chance collision never turns a compatible bin away.
 
 Defined results: null and empty texts take one token; long texts are cut, never
-shortened; a null source is a source of its own; rows that repeat an id are
+shortened; a null source is a source of its own, and in a table without that column every doc_id is one; rows that repeat an id are
 packed each for itself and numbered by ``copy``; ties go by doc_id (nulls last), then by
 piece; an empty table gives an empty table; extra columns are never read.
 """
@@ -102,7 +102,7 @@ def pack_documents(
         length = F.regexp_count(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(WORD)) + 1
     if cluster is None:
         cluster = F.sha2(ascii_lower(F.col(text)), 256)
-    origin = F.col(source).cast("string")
+    origin = F.col(source if source in docs.columns else doc_id).cast("string")
     items = docs.select(
         F.col(doc_id).alias("doc_id"),
         length.cast("long").alias("length"),

@@ -9,10 +9,12 @@ tasks, without a table of what has been seen.  Check digits (cards, IBAN) are ma
 anew, so valid values stay valid; a long number that fails the card check is no card.  What is
 mapped is a value's canonical form (see :func:`canonical`): a phone number or card has one surrogate in whatever
 format it is written, and the format is put back around it.  Names keep title and
-gender: a known given name becomes another of its gender and script, any other name another of its
-script with the same vowels' and common consonants' places and the same kind of ending, which tells gender in many languages.
-Each part of a name has one surrogate wherever it stands, and a text's names are replaced at later
-mentions too, whole or in part, without title or cue.
+gender: a known given name becomes another of its gender and script.  Any other name is taken as a sequence of sounds - vowels and groups of
+consonants that begin, join or end syllables - and gets others of the same kinds in its script, so it can be read, and the same kind of
+ending, which tells gender in many languages; sounds that aren't listed change letter by letter.
+Each part of a name has one surrogate wherever it stands, in capitals and small letters too, and a text's names are replaced at later
+mentions, whole or in part, without title or cue.  The words of an e-mail's local part are mapped as names, so an address still fits
+the name it is made of, in every document alike.
 
 :func:`surrogate_table` lists the distinct surrogates over all documents and
 :func:`collisions` checks them: two values with one surrogate, one value with two, or
@@ -31,7 +33,10 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from datetime import date
 from functools import lru_cache
+from ipaddress import IPv6Address
+from math import prod
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -40,7 +45,7 @@ from pyspark.sql import functions as F
 from reqflow.llm.common import small_batches
 
 #: Order of precedence where detections overlap.
-KINDS = ("secret", "email", "iban", "ip", "card", "ssn", "phone", "name")
+KINDS = ("secret", "email", "iban", "ip", "card", "ssn", "birth", "phone", "name")
 
 # Common given names and titles by gender and script.
 GIVEN = {
@@ -51,9 +56,18 @@ GIVEN = {
     ("f", "greek"): "Μαρία Ελένη Κατερίνα Σοφία Άννα Ειρήνη".split(),
     ("m", "greek"): "Γιώργος Γιάννης Νίκος Δημήτρης Κώστας Παύλος".split(),
 }
-TITLES = r"Mrs?\.?|Ms\.?|Miss|Dr\.?|Prof\.?|Herrn?|Frau|Monsieur|Madame|Mademoiselle|M\.|Mme\.?|Mlle\.?|Señora?|Sra?\.|Don|Doña|Signora?"
-
-_UP, _LOW = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯΆ-Ώ]", r"[a-zß-öø-ÿα-ωа-яά-ώ]"
+TITLES = r"Mrs?\.?|Ms\.?|Miss|Dr\.?|Prof\.?|Herrn?|Frau|Monsieur|Madame|Mademoiselle|M\.|Mme\.?|Mlle\.?|Señora?|Sra?\.|Don|Doña|Signora?|г-н|г-жа|[Гг]осподин|[Гг]оспожа|κ\.|κα|κος|[Κκ]ύριος|[Κκ]υρία"
+#: Words that announce a name, or a date of birth.
+NAME_CUES = "my name is|full name:|name:|contact:|signed by|ich heiße|je m'appelle|me llamo|меня зовут|с уважением,|με λένε|ονομάζομαι"
+BIRTH_CUES = "born(?: on)?|date of birth|birth ?date|dob|geboren(?: am)?|née? le|nacid[oa](?: el)?|дата рождения|родил(?:ся|ась)"
+#: Family names in Chinese characters, characters of given names, and the titles that follow.
+HAN_FAMILY = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何林高罗郑梁谢宋唐许邓韩冯曹彭曾肖田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈"
+HAN_GIVEN = "伟芳娜敏静丽强磊军洋勇艳杰娟涛明超秀霞平刚桂英华玉萍红文兰辉玲健鑫云建国宇晨雪梅志斌婷欣怡佳俊豪峰凯"
+HAN_TITLES = "先生|女士|小姐"
+#: Names that are words too; in small letters they are taken as words.
+WORDS_TOO = frozenset("mark will grace hope rose may june april frank jack bill rob pat sue art gene max rich ray dean grant chase".split())
+
+_UP, _LOW = r"[A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁΆ-Ώ]", r"[a-zß-öø-ÿα-ωа-яёά-ώ]"
 _NAME = rf"{_UP}{_LOW}+(?:-{_UP}{_LOW}+)?"
 _SECRET_WORD = r"(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|auth[_-]?token|token|passwd|password|pwd|bearer)"
 PATTERNS = {
@@ -65,7 +79,8 @@ PATTERNS = {
     ],
     "email": [r"(?P<v>[A-Za-z0-9À-ÿ][A-Za-z0-9À-ÿ._%+-]*@[A-Za-z0-9À-ÿ](?:[A-Za-z0-9À-ÿ-]*[A-Za-z0-9À-ÿ])?(?:\.[A-Za-z0-9À-ÿ-]+)*\.[A-Za-z]{2,})"],
     "iban": [r"\b(?P<v>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b"],
-    "ip": [r"(?<![\d.])(?P<v>(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3})(?!\d|\.\d)"],
+    "ip": [r"(?<![\d.])(?P<v>(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3})(?!\d|\.\d)", r"(?<![\w:.])(?P<v>(?:[0-9A-Fa-f]{1,4}:|:(?=:)){1,7}:?(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)?)(?![\w:])"],
+    "birth": [rf"(?i:(?<!\w)(?:{BIRTH_CUES}))[ :]{{1,3}}(?P<v>\d{{4}}-\d\d-\d\d|\d{{1,2}}(?P<s>[./])\d{{1,2}}(?P=s)\d{{4}})(?!\d)"],
     "card": [r"(?<![\d+.-])(?P<v>[2-6]\d{3}(?P<s>[ -]?)\d{4}(?P=s)\d{4}(?P=s)\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5}|[2-6]\d{12,18})(?![\d-])"],
     "ssn": [r"(?<![\d-])(?P<v>\d{3}-\d{2}-\d{4})(?![\d-])"],
     "phone": [
@@ -74,18 +89,35 @@ PATTERNS = {
         r"(?<![\d+])(?P<v>(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?!\d)",
         r"(?<![\d+])(?P<v>00\d{2}[ .-]\d{1,4}(?:[ .-]\d{2,4}){2,4})(?!\d)",
     ],
-    "name": [rf"\b(?:{TITLES}) (?P<v>{_NAME}(?: {_NAME}){{0,2}})", rf"(?i:\b(?:my name is|full name:|name:|contact:|signed by|ich heiße|je m'appelle|me llamo)) (?P<v>{_NAME}(?: {_NAME}){{1,2}})"],
+    "name": [
+        rf"(?<!\w)(?:{TITLES}) (?P<v>{_NAME}(?: {_NAME}){{0,2}})",
+        rf"(?<!\w)(?i:{NAME_CUES}) (?P<v>{_NAME}(?: {_NAME}){{1,2}})",
+        rf"(?P<v>[{HAN_FAMILY}][\u4e00-\u9fff]{{1,2}})(?={HAN_TITLES})",
+        rf"(?:我叫|姓名[:：]) ?(?P<v>[{HAN_FAMILY}][\u4e00-\u9fff]{{1,2}})(?![\u4e00-\u9fff])",
+    ],
 }
 # Leading digits and lengths of the card networks.
 CARD = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}|6(?:011|4[4-9]\d|5\d\d)\d{12}|62\d{14,17}|35(?:2[89]|[3-8]\d)\d{12}|3(?:0[0-5]|[68]\d)\d{11}")
 _COMPILED = {k: [re.compile(p) for p in ps] for k, ps in PATTERNS.items()}
-#: A text without a match of its kinds' hint has none of them.
+_DIGITS = re.compile(r"\d(?:[ ().-]{0,2}\d){3}")
+_COLONS = re.compile(r"[0-9A-Fa-f]:[0-9A-Fa-f]{0,4}:")
+_HEX = re.compile(r"[0-9a-f]{32}")
+# One of these (in small letters) is in every text with a secret that is announced, and one of those in every secret that isn't.
+_SECRET_HINTS = ("api", "access", "secret", "token", "passw", "pwd", "bearer")
+_SECRET_HEADS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox")
+# What stands before names, as plain words: each title with a blank or dot after it.
+_TITLE_HINTS = tuple(t + end for t in ("Mr Mrs Ms Miss Dr Prof Herr Herrn Frau Monsieur Madame Mademoiselle M Mme Mlle Señor Señora Sr Sra Don Doña Signor Signora г-н г-жа осподин оспожа κ κα κος ύριος υρία").split() for end in (" ", ". "))
+_CUE_HINTS = tuple(NAME_CUES.split("|")) + tuple(HAN_TITLES.split("|")) + ("我叫", "姓名")
+_BIRTH_HINTS = ("born", "birth", "dob", "geboren", "né", "nacid", "рожд", "родил")
+#: A text without its kinds' hint has none of them; plain words are found much faster than patterns.
 _HINTS = {
-    ("email",): re.compile("@"),
-    ("iban", "ip", "card", "ssn", "phone"): re.compile(r"\d(?:[ ().-]{0,2}\d){3}"),
-    ("secret",): re.compile(rf"(?i:{_SECRET_WORD})|AKIA|ASIA|gh[pousr]_|sk-|xox|[0-9a-f]{{32}}"),
-    ("name",): re.compile(rf"\b(?:{TITLES}) |(?i:name is|name:|contact:|signed by|ich heiße|je m'appelle|me llamo)"),
-}
+    ("email",): lambda text, low: "@" in text,
+    ("iban", "ip", "card", "ssn", "phone"): lambda text, low: _DIGITS.search(text),
+    ("ip",): lambda text, low: ":" in text and _COLONS.search(text),
+    ("secret",): lambda text, low: any(w in low for w in _SECRET_HINTS) or any(w in text for w in _SECRET_HEADS) or _HEX.search(text),
+    ("birth",): lambda text, low: any(w in low for w in _BIRTH_HINTS),
+    ("name",): lambda text, low: any(w in text for w in _TITLE_HINTS) or any(w in low for w in _CUE_HINTS),
+}
 
 
 class Permutation:
@@ -133,7 +165,7 @@ def _span(a: int, b: int) -> str:
     return "".join(map(chr, range(a, b + 1)))
 
 
-#: Letters that stand for one another: by script, case and, in Latin, vowel or not; in names, common or rare consonants.
+#: Letters that stand for one another: by script, case and, in Latin, vowel or not; in names' sounds that aren't listed, common or rare consonants.
 CLASSES = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "àáâãäåèéêëìíîïòóôõöùúûü", "ÀÁÂÃÄÅÈÉÊËÌÍÎÏÒÓÔÕÖÙÚÛÜ", "çñß", "ÇÑ",
            _span(0x3B1, 0x3C9), _span(0x391, 0x3A1) + _span(0x3A3, 0x3A9), _span(0x430, 0x44F), _span(0x410, 0x42F), _span(0x4E00, 0x9FFF))
 #: In names, these stand for one another and the rest of their class for one another: rare consonants, and other scripts' vowels.
@@ -171,9 +203,108 @@ def canonical(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "ip" and ":" in value:
+        return IPv6Address(value).exploded
+    if kind == "birth":
+        return str(birth_day(value)[0])
+    if kind == "name":
+        return titled(value)
     return value.lower() if kind == "email" else value
 
 
+def titled(name: str) -> str:
+    """A name with capitals where names have them."""
+    return re.sub(r"[^\W\d_]+", lambda m: m[0][0].upper() + m[0][1:].lower(), name)
+
+
+def birth_day(value: str) -> tuple[int, str]:
+    """The number of a date's day and the order it is written in; day before month where it can be so.  ValueError if it is none."""
+    a, b, c = map(int, re.split(r"[-./]", value))
+    if "-" in value:
+        return date(a, b, c).toordinal(), "ymd"
+    return (date(c, b, a).toordinal(), "dmy") if b <= 12 else (date(c, a, b).toordinal(), "mdy")
+
+
+def is_valid(kind: str, value: str) -> bool:
+    """Whether what looks like a kind is of it."""
+    try:
+        if kind == "card":
+            return is_card(value)
+        if kind == "ip" and ":" in value:
+            return sum(c not in ":" for c in value) > 3 and bool(IPv6Address(value))
+        if kind == "birth":
+            return FIRST_DAY <= birth_day(value)[0] <= LAST_DAY
+    except ValueError:
+        return False
+    return True
+
+
+# Sounds that stand for one another in names, by script: vowels; consonants that begin a name, join its syllables, end it;
+# vowels within it; last vowels of feminine and of other names.
+SOUNDS = {
+    "latin": (
+        "aeiouy",
+        "b bl br c ch cl cr d dr f fl fr g gl gr h j k kl kr l m n p ph pl pr r s sch schl schm schn schr schw sh sl sm sn sp st str t th tr v w wh z",
+        "b bb br c ch ck cl d dd dr f ff g gg h k kl l lb ld lf lk ll lm ls lt lv m mb mm mp n nd ng nk nn ns nt p pp r rb rd rg rk rl rm rn rr rs rsh rt rth s sh sk ss st t tch th tr tt v w z",
+        "b ch ck d dt f g k l ld ll lt m n nd ng nk nn ns nt p r rd rg rk rn rs rt s sh sk ss st t th tt tz v w x z",
+        "a ai au ay e ea ee ei ey i ia ie io o oa oo ou oy u ue y ya ye yo yu",
+        "a aia ea ia ua ya",
+        "ay e ee eo ey i ie io o oe ou oy u uy y ye",
+    ),
+    "cyrillic": (
+        "аеёиоуыэюя", "б в г д ж з к л м н п р с т ф х ш бр вл гр др кр пр св сл ст тр", "б в г д ж з к л м н п р с т ф х ч ш нд нк рг рк рт ск сл ст льн ньк", "в д й к л м н р с т х ч ш нк рг рт ль нь", "а е и о у ю я ее ио",
+        "а ая ия я ья", "е и ий о у ы",
+    ),
+    "greek": (
+        "αεηιουωάέήίόύώϊϋ", "β γ δ θ κ λ μ ν π ρ σ τ φ χ βλ γρ δρ κλ κρ πλ πρ στ τρ", "β γ γγ δ ζ θ κ κτ λ λλ μ μμ ν ντ π ρ ρδ ργ σ σσ στ τ τρ φ χ", "ν ρ ς ξ", "α αι ε ει η ι ο ου ω ά έ ή ί ό ού ώ", "α η ία ια ά ή", "ε ι ο ου ω ί ού",
+    ),
+}
+FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2029, 12, 31).toordinal()
+_VOWELS = {c: script for script, x in SOUNDS.items() for c in x[0]}
+_PLACES = {(script, place): words.split() for script, x in SOUNDS.items() for place, words in zip(("start", "middle", "end", "vowel", "feminine", "final"), x[1:], strict=True)}
+_AT = {k: {w: i for i, w in enumerate(v)} for k, v in _PLACES.items()}
+
+
+def sounds(part: str) -> list[tuple[tuple, int, int]]:
+    """A small-letter name as (class, number in it, size of it): listed sounds, else letters; other characters stand for themselves."""
+    out = []
+    for word in re.split(r"([^\W\d_]+)", part):
+        han = re.fullmatch(r"[\u4e00-\u9fff]+", word)
+        if not word or not word[0].isalpha():
+            out += [((c,), 0, 1) for c in word]
+            continue
+        if han:
+            for i, c in enumerate(word):
+                held = HAN_GIVEN if i else HAN_FAMILY
+                out.append((("han", i > 0), held.index(c), len(held)) if c in held else (("han", None), ord(c) - 0x4E00, 0x5200))
+            continue
+        script = next((k for k, (a, b) in {"greek": ("ά", "ώ"), "cyrillic": ("а", "ё")}.items() if a <= word[0] <= b), "latin")
+        units = [m[0] for m in re.finditer(rf"[{SOUNDS[script][0]}]+|[^{SOUNDS[script][0]}]+", word)]
+        for i, u in enumerate(units):
+            last = i == len(units) - 1
+            if u[0] in SOUNDS[script][0]:
+                place = "vowel" if not last else "feminine" if u[-1] in FEMININE else "final"
+            else:
+                place = "start" if not i else "end" if last else "middle"
+            number = _AT[script, place].get(u)
+            if number is not None:
+                out.append(((script, place), number, len(_PLACES[script, place])))
+            else:
+                out += [(("letter", *a[:1]), a[1], len(NAME_CLASSES[a[0]])) if (a := _NAME_CLASS.get(c)) else ((c,), 0, 1) for c in u]
+    return out
+
+
+def spoken(cls: tuple, number: int) -> str:
+    """The sound or letter with a number in its class."""
+    if len(cls) == 1:
+        return cls[0]
+    if cls[0] == "letter":
+        return NAME_CLASSES[cls[1]][number]
+    if cls[0] == "han":
+        return chr(0x4E00 + number) if cls[1] is None else (HAN_GIVEN if cls[1] else HAN_FAMILY)[number]
+    return _PLACES[cls][number]
+
+
 class Surrogates:
     """Surrogates of values by kind, under one key."""
 
@@ -184,8 +315,8 @@ class Surrogates:
 
     def _shape(self, kind: str, text: str, accept=None) -> str:
         """Another text of the same shape; with ``accept``, one for which it gives the same."""
-        classes, class_of = (NAME_CLASSES, _NAME_CLASS) if kind == "name" else (CLASSES, _CLASS)
-        at = [class_of.get(ch) for ch in text]
+        classes = CLASSES
+        at = [_CLASS.get(ch) for ch in text]
         size = 1
         for a in at:
             if a:
@@ -221,11 +352,12 @@ class Surrogates:
         return head + self._shape("secret", v[len(head) :])
 
     def _email(self, v: str) -> str:
-        low = v.lower() if len(v.lower()) == len(v) else v
-        name, _, host = low.rpartition("@")
+        name, _, host = v.lower().rpartition("@")
         labels, _, top = host.rpartition(".")
-        out = self._shape("email", f"{name}@{labels}") + "." + top
-        return "".join(o.upper() if c.isupper() and len(o.upper()) == 1 else o for c, o in zip(v, out, strict=True))
+        parts = re.split(r"([a-z]{3,})", name)  # every second one is a word
+        made = "".join(self._name_part(p.capitalize()).lower() if i % 2 else self._shape("email", p) for i, p in enumerate(parts))
+        out = f"{made}@{self._shape('host', labels)}.{top}"
+        return out.upper() if v.isupper() else out
 
     def _iban(self, v: str) -> str:
         def check(country: str, rest: str) -> int:
@@ -238,6 +370,12 @@ class Surrogates:
         return "".join(" " if c == " " else next(out) for c in v)
 
     def _ip(self, v: str) -> str:
+        if ":" in v:  # the first 16 bits tell what kind of address it is
+            x = IPv6Address(v)
+            low = 1 << 112
+            made = IPv6Address(int(x) // low * low + self._perm(f"ip6|{int(x) // low}", low)(int(x) % low))
+            out = str(made) if v.lower() == str(x) else made.exploded
+            return out.upper() if v.isupper() else out
         x = int.from_bytes(bytes(map(int, v.split("."))), "big")
         for base, bits in ((10 << 24, 24), (0xAC100000, 20), (0xC0A80000, 16), (127 << 24, 24)):
             if x >> bits == base >> bits:
@@ -272,16 +410,53 @@ class Surrogates:
         out = iter(lead + country + made)
         return "".join(next(out) if c.isdigit() else c for c in v)
 
+    def _birth(self, v: str) -> str:
+        day, order = birth_day(v)
+        move = self._perm("birth|" + order, LAST_DAY - FIRST_DAY + 1)
+        while True:
+            day = FIRST_DAY + move(day - FIRST_DAY)
+            d = date.fromordinal(day)
+            if order != "mdy" or d.day > 12:  # else it would be read the other way
+                break
+        if order == "ymd":
+            return d.isoformat()
+        mark, wide = re.search(r"[./]", v)[0], len(re.split(r"[./]", v)[0]) == 2 or v[0] == "0"
+        first, second = (d.day, d.month) if order == "dmy" else (d.month, d.day)
+        return f"{first:02d}{mark}{second:02d}{mark}{d.year}" if wide else f"{first}{mark}{second}{mark}{d.year}"
+
     def _name(self, v: str) -> str:
-        return " ".join(map(self._name_part, v.split(" ")))
+        out = []
+        for part in v.split(" "):
+            made = self._name_part(titled(part))
+            out.append(made.upper() if len(part) > 1 and part.isupper() else made.lower() if part.islower() else made)
+        return " ".join(out)
 
     def _name_part(self, part: str) -> str:
         for (gender, script), names in GIVEN.items():
             if part in names:
                 return names[self._perm(f"given|{gender}|{script}", len(names))(names.index(part))]
-        known = {n for names in GIVEN.values() for n in names}
-        # A name that isn't listed must not turn into one that is: those are taken by the listed ones.
-        return self._shape("name", part, lambda t: (t in known, t[-1] in FEMININE))
+        units = sounds(part.lower())
+        shape = [u[0] for u in units]
+        size = prod(u[2] for u in units)
+        if size < 2:
+            return part
+        move = self._perm(f"name|{shape}", size)
+        x = 0
+        for _, number, n in units:
+            x = x * n + number
+        while True:
+            x = move(x)
+            y, out = x, []
+            for cls, _, n in reversed(units):
+                y, i = divmod(y, n)
+                out.append(spoken(cls, i))
+            made = "".join(reversed(out))
+            # It must be heard as the same sounds, so that the way back is one; a name that is listed is taken by the listed ones.
+            if [u[0] for u in sounds(made)] == shape and (len(made) < 3) == (len(part) < 3) and (made := titled(made)) not in _LISTED and (made[-1] in FEMININE) == (part[-1] in FEMININE):
+                return made
+
+
+_LISTED = frozenset(n for names in GIVEN.values() for n in names)
 
 
 def luhn_digit(body: str) -> int:
@@ -299,14 +474,14 @@ def is_card(number: str) -> bool:
 
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) in order, without overlaps."""
-    spans = []
+    spans, low = [], text.lower()
     for kinds, hint in _HINTS.items():
-        if hint.search(text):
+        if hint(text, low):
             for kind in kinds:
                 for p in _COMPILED[kind]:
                     for m in p.finditer(text):
                         a, b = m.span("v")
-                        if kind == "card" and not is_card(text[a:b]):  # any other long number
+                        if not is_valid(kind, text[a:b]):  # any other number
                             continue
                         spans.append((KINDS.index(kind), a - b, a, b))
     taken: list[tuple[int, int, str]] = []
@@ -317,8 +492,11 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     if names:
         names |= {part for name in names for part in name.split(" ")}
         again = "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n))))
-        for m in re.finditer(rf"(?<!\w)(?:{again})(?!\w)", text):
-            _take(taken, *m.span(), "name")
+        han = "|".join(n for n in sorted(names, key=lambda n: (-len(n), n)) if "\u4e00" <= n[0] <= "\u9fff")
+        for m in re.finditer(rf"(?<!\w)(?i:{again})(?!\w)" + (f"|{han}" if han else ""), text):
+            said = m[0]
+            if said in names or said.isupper() or all(p[0].isupper() for p in said.split(" ")) or said.islower() and said not in WORDS_TOO and len(said) > 2:
+                _take(taken, *m.span(), "name")
     return taken
 
 

@@ -368,12 +368,82 @@ def test_surrogates_are_one_to_one_over_canonical_values():
     assert not any(k == o for k, o in zip(made, out, strict=True))
 
 
-@pytest.mark.parametrize("name", ["Priya", "Raman", "Okonkwo", "Надежда", "Ярослав", "Ευαγγελία"])
-def test_other_names_keep_script_and_ending(name):
+@pytest.mark.parametrize("name", ["Priya", "Raman", "Okonkwo", "Schmidt", "Smith", "Надежда", "Ярослав", "Ευαγγελία", "Müller", "Ng", "O", "Anna-Lena"])
+def test_other_names_keep_script_sounds_and_ending(name):
     made = pii.Surrogates("k").of("name", name)
-    assert made != name and len(made) == len(name) and made[0].isupper() and made[1:].islower()
+    assert made == pii.titled(made) and (made != name or len(name) == 1)
     assert (made[-1] in pii.FEMININE) == (name[-1] in pii.FEMININE)
-    assert [pii._NAME_CLASS[a][0] if a in pii._NAME_CLASS else a for a in made] == [pii._NAME_CLASS[a][0] if a in pii._NAME_CLASS else a for a in name]
+    assert [u[0] for u in pii.sounds(made.lower())] == [u[0] for u in pii.sounds(name.lower())]
+
+
+def test_names_are_one_to_one_and_can_be_read():
+    rng = random.Random(9)
+    make = pii.Surrogates("k")
+    names = {"".join(rng.choice(pii._PLACES["latin", p]) for p in ps).capitalize() for ps in (("start", "vowel", "end"), ("start", "vowel", "middle", "feminine"), ("start", "final"), ("start", "vowel", "middle", "vowel", "end")) for _ in range(800)}
+    names |= {"".join(rng.choices("abcdefgzyxwrt", k=rng.randint(2, 6))).capitalize() for _ in range(1500)} | {a + b for a in pii.HAN_FAMILY[:20] for b in pii.HAN_GIVEN[:20]}
+    names -= pii._LISTED
+    made = {n: make.of("name", n) for n in names}
+    assert len(set(made.values())) == len(made) > 3000 and not any(n == m for n, m in made.items()) and not set(made.values()) & pii._LISTED
+    for n in ("Smith", "Schmidt", "Raman", "Tanaka"):  # every sound is a listed one
+        assert all(c[0] == "latin" for c, _, _ in pii.sounds(made.get(n, make.of("name", n)).lower()))
+
+
+def test_names_in_any_case_script_and_in_addresses():
+    make = pii.Surrogates("k")
+    first, last = make.of("name", "Priya Raman").split(" ")
+    text = "Dr. Priya Raman: PRIYA RAMAN, priya raman, Raman, raman and priya.raman@acme.org; Mr. Mark Hill will mark it."
+    new = pii.scrub(text, make)[0]
+    given, hill = make.of("name", "Mark Hill").split(" ")
+    host = make.of("email", "priya.raman@acme.org").split("@")[1]
+    assert new == f"Dr. {first} {last}: {first.upper()} {last.upper()}, {first.lower()} {last.lower()}, {last}, {last.lower()} and {first.lower()}.{last.lower()}@{host}; Mr. {given} {hill} will mark it."
+    for text, kept in (("г-н Иван Петров пришёл, Петров", "г-н "), ("Меня зовут Ольга Смирнова.", "Меня зовут "), ("κ. Νίκος Παπαδόπουλος", "κ. "), ("请问张伟先生在吗？张伟", "请问"), ("我叫李娜。", "我叫")):
+        new, entities, _, _ = pii.scrub(text, make)
+        assert new != text and new.startswith(kept) and {e[2] for e in entities} == {"name"}
+        assert not any(w in new for w in ("Петров", "Смирнова", "Παπαδόπουλος", "张伟", "李娜"))
+    assert make.of("name", "张伟")[0] in pii.HAN_FAMILY and len(make.of("name", "Иван Петров").split()) == 2
+
+
+@pytest.mark.parametrize("value", ["2001:db8::8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "2001:0db8:0000:0000:0000:8a2e:0370:7334", "FE80::AB:1234"])
+def test_ipv6_addresses_keep_their_kind(value):
+    new, entities, _, _ = pii.scrub(f"host {value}, up", pii.Surrogates("k"))
+    made = entities[0][3]
+    assert [e[2] for e in entities] == ["ip"] and new == f"host {made}, up" and made != value
+    assert pii.canonical("ip", made)[:4] == pii.canonical("ip", value)[:4] and (made.upper() == made) == (value.upper() == value)
+
+
+def test_dates_of_birth_and_what_only_looks_alike():
+    make = pii.Surrogates("k")
+    days = [f"{1900 + i % 100:04d}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(800)]
+    made = [make.of("birth", d) for d in dict.fromkeys(days)]
+    assert len(set(made)) == len(set(days)) and not set(zip(made, days, strict=False)) & {(d, d) for d in days}
+    for text in ("born on 3/25/1980", "Date of birth: 25.03.1980", "geboren am 5.3.1980", "dob 1980-03-25", "дата рождения: 01.02.1990"):
+        new, entities, _, _ = pii.scrub(text, make)
+        value = next(v for v in text.replace(":", " ").split() if v[0].isdigit())
+        assert [e[2] for e in entities] == ["birth"] and new != text and pii.birth_day(entities[0][3])[1] == pii.birth_day(value)[1]
+    same = "at 12:34:56 on 25.03.1980, std::abc a::b ::, born 99.99.1980, Mark Twain said: will it"
+    assert pii.scrub(same, make)[0] == same
+
+
+def test_all_forms_over_a_corpus_are_distinct_and_coreferent(spark):
+    """Brute force over whole texts: every value's surrogate by its canonical form, none of the values left."""
+    rng = random.Random(12)
+    people = [f"{g} {''.join(rng.choice(pii._PLACES['latin', p]) for p in ('start', 'vowel', 'middle', 'vowel', 'end')).capitalize()}" for g in ("Anna", "Paul", "Priya", "Tomasz") for _ in range(12)]
+    rows, said = [], []
+    for i in range(150):
+        p, q = rng.choice(people), rng.choice(people)
+        born, ip = f"19{rng.randint(10, 99)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", f"2001:db8::{rng.randint(4096, 9999):x}:{rng.randint(4096, 9999):x}"
+        rows.append((i, f"Dr. {p} ({p.upper()}), born {born}, writes to Mr. {q} <{q.lower().replace(' ', '.')}@mail.org> from {ip}.", None, None, 0))
+        said.append((p, q, born, ip))
+    df = frame(spark, rows)
+    table = pii.surrogate_table(df, "k")
+    assert pii.collisions(table).filter("n_values > 1 or n_surrogates > 1").count() == 0
+    to = {(r.kind, r.value): r.surrogate for r in table.collect()}
+    make = pii.Surrogates("k")
+    for r in pii.entity_report(df, "k").collect():
+        p, q, born, ip = said[r.doc_id]
+        a, b = make.of("name", p), make.of("name", q)
+        assert f"Dr. {a} ({a.upper()})" in r.text and f"Mr. {b} <{b.lower().replace(' ', '.')}@" in r.text
+        assert not any(x in r.text for x in (p, q, p.upper(), born, ip)) and to["birth", pii.canonical("birth", born)] and to["ip", pii.canonical("ip", ip)]
 
 
 # --- language model ---

@@ -107,6 +107,16 @@ def quality_passes(t):
     return not (n < r.min_words or 100 * rep > r.max_repeat_percent * n or bad)
 
 
+def test_a_table_without_sources_is_packed(spark):
+    import pytest
+
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = frame(spark, documents(size=20), extra=False).drop("source", "n_chars")
+    packed = corpus_pipeline.packed(spark, docs, "").collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+    assert max(Counter(r.bin_id for r in packed).values()) > 3  # sources that aren't known don't keep texts apart
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     import pytest
 
