@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
 before it kept.  Between stages the documents are written to the shared
 checkpoint folder and read again, so a lost executor costs one stage at most.
+
+Defined results, of :func:`run` and of every stage: documents with a null, empty or wordless text are rejected by the quality rules; after
+them, in a stage used alone, exact copies of empty texts are copies, texts without words are never near copies, and an empty text packs as one token.
+Very long texts are read whole.  Of equal rows one stays (exact copies).  Of ties the row with the largest doc_id stays among exact copies, the one with the
+smallest among near copies; null ids come last.  A null source is a source of its own.  An empty table gives an empty table.  All stages but the last
+return the columns that they are given, whatever these are; the texts' column is ``text``, the identifiers' ``doc_id``; ``source`` and ``n_chars`` may be missing.
 """
 
 from __future__ import annotations
@@ -18,22 +24,22 @@ SURROGATE_KEY = "reqflow-demo-key"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; null, empty and wordless texts don't."""
     return quality.keep_clean(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the largest doc_id, null ids first to go; null counts as empty."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8)."""
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8): the smallest doc_id; texts without words stay."""
     return near_dedup.drop_near_copies(docs, width=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data and secrets; n_chars follows the text."""
+    """All documents, with surrogates for personal data and secrets; n_chars follows the text, where there is such a column; a null text stays null."""
     out = pii.replace_entities(docs, SURROGATE_KEY)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -43,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and the training sequence (bin) each goes into."""
+    """Pieces of documents and the training sequence (bin) each goes into; repeated rows are packed each for itself."""
     return packing.pack_documents(docs)
 
 
