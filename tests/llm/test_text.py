@@ -53,6 +53,42 @@ def test_quality_matches_brute_force(spark):
         assert not (r.base_failed and r.kept)
 
 
+def brute_verdict(text):
+    """dup_chars_3, dup_chars_5, dup_chars_8, dup_line_chars and kept, counted by definition."""
+    text, r = text or "", quality.QualityRules()
+    words = [w.decode() for w in split(text)]
+    dup = {}
+    for n in (3, 5, 8):
+        found = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        inside = {j for i in range(len(words) - n + 1) if found[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
+        dup[n] = sum(len(words[j]) for j in inside)
+    seen, lines = set(), 0
+    for line in text.split("\n"):
+        if split(line):
+            lines += sum(len(w.decode()) for w in split(line)) if line in seen else 0
+            seen.add(line)
+    n, chars = max(len(words), 1), max(sum(map(len, words)), 1)
+    upper, lower = (sum(a <= c <= b for c in text) for a, b in ("AZ", "az"))
+    shares = [(dup[3], r.max_share_3), (dup[5], r.max_share_5), (dup[8], r.max_share_8), (lines, r.max_line_share)]
+    per_word = [(sum(text.count(c) for c in "#*$%&|<>"), r.max_symbols_per_word), (text.count("!!"), r.max_shouts_per_word)]
+    bad = any(x / chars > most for x, most in shares) or any(x / n > most for x, most in per_word) or bool(words) and upper > r.max_upper_share * (upper + lower)
+    return dup[3], dup[5], dup[8], lines, not (len(words) < 20 or 100 * brute_quality(text)[4] > 30 * len(words) or bad)
+
+
+def test_quality_verdicts_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = documents()
+    for i in range(150):
+        vocabulary = ["ab", "Cd", "efg", "HIJ", "k#", "l!!", "é", *map(str, range(rng.choice([1, 30, 300])))]
+        block = rng.choices(vocabulary, k=rng.randint(1, 12))
+        w = [x for _ in range(rng.randint(2, 20)) for x in (block if rng.random() < 0.3 else rng.choices(vocabulary, k=9))]
+        rows.append((1000 + i, "".join(x + rng.choice([" ", " ", " ", "\n"]) for x in w), None, None, 0))
+    got = quality.score_quality(frame(spark, rows)).collect()
+    want = Counter((r[0], *brute_verdict(r[1])) for r in rows)
+    assert Counter((r.doc_id, r.dup_chars_3, r.dup_chars_5, r.dup_chars_8, r.dup_line_chars, r.kept) for r in got) == want
+    assert 10 < sum(r.kept for r in got) < len(got) - 40
+
+
 def test_quality_windows_under_one_hash():
     ids = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3], np.int64)
     got = quality._repeated(ids, np.zeros(7, np.uint64), 3)
@@ -583,6 +619,27 @@ def test_packing_is_whole_and_without_conflicts(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_the_whole_packing_matches_brute_force(spark):
+    """Pieces placed longest first, each in the tightest bin without its source or text, by a plain search of all bins."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices("abc", k=rng.choice([0, 3, 30, 90, 250]))) if rng.random() < 0.9 else None, None, rng.choice(["x", "y", "z", "v", "w", None]), 0) for i in range(200)]
+    rows += [(None, "only one", None, "x", 0)]
+    pieces = []
+    for i, t, _, source, _ in rows:
+        n = len(split(t)) + 1
+        pieces += [(min(100, n - at), i, at // 100, source, (t or "").translate(LOWER)) for at in range(0, n, 100)]
+    bins, want = [], {}
+    for size, i, piece, source, text in sorted(pieces, key=lambda p: (-p[0], p[1] is None, p[1] or 0, p[2])):
+        fits = [(100 - sum(x[0] for x in b), k) for k, b in enumerate(bins) if sum(x[0] for x in b) + size <= 100 and all(x[1] != source and x[2] != text for x in b)]
+        k = min(fits)[1] if fits else len(bins)
+        if k == len(bins):
+            bins.append([])
+        bins[k].append((size, source, text))
+        want[i, piece] = (k, 100 * piece, size)
+    got = packing.pack_documents(frame(spark, rows), capacity=100).collect()
+    assert {(r.doc_id, r.piece): (r.bin_id, r.start_token, r.n_tokens) for r in got} == want and len(got) == len(pieces)
+
+
 def test_packing_numbers_rows_that_repeat(spark):
     got = packing.pack_documents(frame(spark, [(None, "a b", None, None, 1)] * 5), capacity=10).collect()
     assert sorted(r.copy for r in got) == [1, 2, 3, 4, 5] and len({r.bin_id for r in got}) == 5
