@@ -6,7 +6,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +54,11 @@ def batch_infer(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str
     return docs.mapInPandas(run, schema)
 
 
+def ask(docs: DataFrame, fn: Callable[[pd.Series], pd.Series], text: str = "text", answers: Answers | None = None) -> DataFrame:
+    """``docs`` with a model's answer and error per row, by way of the answers that are kept, if any are."""
+    return batch_infer(docs, fn, text) if answers is None else answers.infer(docs, fn, text)
+
+
 ANSWERED = "key string, answer string, answer_error string"
 
 
@@ -68,7 +73,11 @@ class Answers:
     model: str
     run: str
 
-    def key(self, text: str):
+    def of(self, purpose: str) -> Answers:
+        """Those of one of a model's purposes, kept apart."""
+        return replace(self, root=f"{self.root}/{purpose}", model=f"{self.model}/{purpose}")
+
+    def key(self, text: str) -> Column:
         return F.sha2(F.concat(F.lit(f"{self.model}\n"), F.coalesce(F.col(text), F.lit(""))), 256)
 
     def known(self, spark: SparkSession) -> DataFrame:
@@ -114,7 +123,7 @@ def reading_way(kind, text, pages, width, height, bright):
     return F.when(kind == "unsupported", "unsupported").when(kind == "image", picture).when(scan, "image").otherwise("text")
 
 
-def classify_files(files: DataFrame, infer: Callable | None = None, stats: DataFrame | None = None, infer_image: Callable | None = None) -> DataFrame:
+def classify_files(files: DataFrame, infer: Callable | None = None, stats: DataFrame | None = None, infer_image: Callable | None = None, answers: Answers | None = None) -> DataFrame:
     """``files`` with way, doc_type and confidence: rules, or a model's answers; what can't be read is Others, 0.0.
 
     ``stats`` (attachment_id, n_pages, width, height, bright_frac) tells scans and trivial images; a picture
@@ -128,7 +137,7 @@ def classify_files(files: DataFrame, infer: Callable | None = None, stats: DataF
     capped = known.withColumn("way", way).withColumn("text", F.substring("text", 1, X.CLASSIFY_CAP)).drop("n_pages", "width", "height", "bright_frac")
 
     def answered(part: DataFrame, model: Callable, column: str) -> DataFrame:
-        got = batch_infer(part, model, column).withColumn("__c", A.parse_classification(F.col("answer")))
+        got = ask(part, model, column, answers and answers.of(column)).withColumn("__c", A.parse_classification(F.col("answer")))
         return got.withColumn("doc_type", F.col("__c.doc_type")).withColumn("confidence", F.col("__c.confidence")).drop("__c", "answer", "answer_error")
 
     if infer is None and infer_image is None:  # one pass
@@ -151,12 +160,12 @@ def normalised_item(item) -> list:
     ]
 
 
-def extracted(files: DataFrame, infer: Callable | None = None) -> DataFrame:
+def extracted(files: DataFrame, infer: Callable | None = None, answers: Answers | None = None) -> DataFrame:
     """req_no, blob_path, items, error of the quotations' texts: by rules, or a model; a model's failure is the row's error."""
     texts = files.filter((F.col("doc_type") == "Quotation") & (F.col("text") != "")).withColumn("text", F.substring("text", 1, X.EXTRACT_CAP))
     if infer is None:
         return texts.select("req_no", "blob_path", A.rule_items(F.col("text")).alias("items"), F.lit(None).cast("string").alias("error"))
-    return batch_infer(texts, infer).select("req_no", "blob_path", A.parse_items(F.col("answer")).alias("items"), F.col("answer_error").alias("error"))
+    return ask(texts, infer, answers=answers and answers.of("items")).select("req_no", "blob_path", A.parse_items(F.col("answer")).alias("items"), F.col("answer_error").alias("error"))
 
 
 def extract_items(files: DataFrame, infer: Callable | None = None) -> DataFrame:
@@ -325,12 +334,13 @@ def run_pipeline(
     requisitions: DataFrame, tracker: DataFrame, attachments: DataFrame, documents: DataFrame, items: DataFrame, vectors: DataFrame, run_date: str, root: str,
     infer: Callable | None = None, stats: DataFrame | None = None, n: int | None = None, on_error: str = "null", visibility: str = "all",
     run_id: int = 1, classified: DataFrame | None = None, benchmarks: DataFrame | None = None, infer_label: Callable | None = None, infer_image: Callable | None = None,
+    answers: Answers | None = None,
 ) -> Run:
     """All eight stages for the pending requisitions, each over all of them at once.
 
     ``items``, ``vectors`` (id, detail_id, req_group, vals), ``classified`` (CLASSIFICATION) and ``benchmarks`` (BENCHMARK) are the tables
     before the run.  Models are optional: ``infer_label`` and ``infer_image`` classify texts and pictures, ``infer`` reads items from quotations; rules do
-    it otherwise.  After each stage the ledger has the requisitions that moved on; one with a rejected row stays at the stage before,
+    it otherwise.  With ``answers`` no input is asked about twice, in this run or another.  After each stage the ledger has the requisitions that moved on; one with a rejected row stays at the stage before,
     isn't worked on further, and has its error there.  The tracker is set once, from the ledger.
 
     Files, tables and ledger go below ``root``.  A run that died is started again with its ``run_id``: it goes on at its stage (see :mod:`reqflow.plans.ledger`).
@@ -346,7 +356,7 @@ def run_pipeline(
         return scope.sparkSession.createDataFrame([(n_files,)], "n_files long")
 
     with ThreadPoolExecutor(1) as beside:  # labels don't need the exported files
-        labelled = beside.submit(run.table, "labels", lambda: classify_files(files, infer_label, stats, infer_image).drop("text", "kind", "name"))
+        labelled = beside.submit(run.table, "labels", lambda: classify_files(files, infer_label, stats, infer_image, answers).drop("text", "kind", "name"))
         run.table("exported", export)
         run.move(3, scope)
         labels = labelled.result()
@@ -355,7 +365,7 @@ def run_pipeline(
 
     def read_items() -> DataFrame:
         quotations = labels.filter("doc_type = 'Quotation'").select("req_no", "attachment_id", "doc_type")
-        return extracted(files.join(quotations, ["req_no", "attachment_id"]), infer)
+        return extracted(files.join(quotations, ["req_no", "attachment_id"]), infer, answers)
 
     read = run.table("extracted", read_items)
     unread = run.table("rejects-5", lambda: _first_errors(read.filter("error is not null")))
