@@ -122,6 +122,29 @@ def test_nearest_in_several_blocks(spark, monkeypatch):
     assert nearest(df, df.limit(0), 3).count() == 0 and nearest(df.limit(0), df, 3).count() == 0
 
 
+@pytest.mark.parametrize("mode", ["before", "after"])
+def test_copies_of_a_vector_meet_the_index_once(spark, monkeypatch, mode):
+    """Seven distinct vectors, 210 rows: as many scores as pairs of vectors are made, and each row gets the nearest rows all the same."""
+    from reqflow.operators import vectors as V
+
+    made, found = [], V._found
+    monkeypatch.setattr(V, "_found", lambda *a: made.append(found(*a)) or made[-1])
+    seven = np.eye(7, dtype=np.float32) + np.arange(7, dtype=np.float32)[None, :] / 16
+    rows = [(i, None if i % 11 == 0 else i % 3, seven[i % 7].tolist()) for i in range(210)]
+    df = spark.createDataFrame(rows, "detail_id long, req_group int, vals array<float>").repartition(4)
+    got = {}
+    for r in nearest(df, df, 4, mode).collect():
+        got.setdefault(r.query_id, []).append((r.rk, r.detail_id))
+    unit = seven.astype(float) / np.linalg.norm(seven.astype(float), axis=1, keepdims=True)
+    near = np.round(unit @ unit.T, 9)
+    for i, g, _ in rows:
+        order = sorted(range(210), key=lambda j: (-near[i % 7, j % 7], j))
+        same = [j for j in order if g is not None and rows[j][1] == g]
+        ranked = list(enumerate([j for j in order if j not in same], 1))[:4] if mode == "before" else [(n, j) for n, j in enumerate(order[:4], 1) if j not in same]
+        assert sorted(got.get(i, [])) == ranked
+    assert made[0].count() <= 7 * 7 * 4
+
+
 def test_nearest_of_nulls_and_of_earlier_ones(spark):
     rows = [(1, None, [1.0, 0.0]), (2, None, [1.0, 0.1]), (3, "a", None), (None, "a", [1.0, 0.0]), (4, "a", [1.0, 0.2])]
     df = spark.createDataFrame(rows, "detail_id long, req_group string, vals array<float>")
