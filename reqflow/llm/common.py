@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqflow.storage import small_batches
+
 #: Groups that hold more than this share of all rows are hot: at most
 #: ``1 / HOT_SHARE`` of them, whatever the input's size.  Small groups never are.
 HOT_SHARE = 1.0 / 512
@@ -27,15 +29,6 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(F.coalesce(col.cast("string"), F.lit("")), ASCII_UPPER, ASCII_LOWER)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what goes to a Python worker at once: texts may be long, and workers keep what they once took."""
-    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 8 << 20)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key).rstrip("b")
-        if not (now.isdigit() and 0 < int(now) <= most):  # else larger, unbounded, or in other units
-            spark.conf.set(key, most)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -77,6 +77,19 @@ def test_blobs_are_written_by_tasks(spark, tmp_path):
     assert texts["b.txt"] == "é�" and set(texts) == {"a.bin", "b.txt"}
 
 
+def test_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """Neither a listing nor contents pass through Spark's driver-side file index, and empty files count."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    rows = [(f"r/{i % 7}/{i}/f{i}.txt", bytearray(("é" * 12_000 if i == 3 else "x" * (i % 50)).encode())) for i in range(200)]
+    W.export_blobs(spark.createDataFrame(rows, "path string, content binary"), str(tmp_path / "out"))
+    read = DataFrameReader.format
+    monkeypatch.setattr(DataFrameReader, "format", lambda self, kind: pytest.fail("listed by the driver") if kind == "binaryFile" else read(self, kind))
+    assert {(r.path, r.size) for r in S.file_list(spark, str(tmp_path / "out")).collect()} == {(p, len(c)) for p, c in rows}
+    texts = {r.path.removeprefix(f"{tmp_path}/out/"): r.text for r in S.text_files(spark, f"{tmp_path}/out").collect()}
+    assert texts == {p: c.decode()[:10_000] for p, c in rows if c}
+
+
 def test_only_new_and_changed_files_are_exported(spark, tmp_path):
     from reqflow.sources.export import export_changed
 
