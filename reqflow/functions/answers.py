@@ -57,11 +57,9 @@ def parse_file_records(raw: Column) -> Column:
 
 def currency_code(currency: Column) -> Column:
     """ISO code of a currency's sign, name or code; null stays null."""
-    upper = F.upper(strip(currency))
-    out = upper
-    for name, code in CURRENCIES.items():
-        out = F.when(upper == name, code).otherwise(out)
-    return F.nullif(out, F.lit(""))
+    codes = F.create_map(*[F.lit(x) for pair in CURRENCIES.items() for x in pair])
+    # An array of one, so that the text is made once and not for each name.
+    return F.transform(F.array(F.upper(strip(currency))), lambda c: F.nullif(F.coalesce(codes[c], c), F.lit("")))[0]
 
 
 def payment_terms(terms: Column) -> Column:

@@ -57,3 +57,12 @@ def test_item_answers(spark):
 def test_item_normalisation(spark):
     assert values(spark, [" us$", "€", "inr", "", None], A.currency_code) == ["USD", "EUR", "INR", None, None]
     assert values(spark, ["NET 30", "45 days net", "advance", None], A.payment_terms) == ["Net 30", "Net 45", "advance", ""]
+
+
+def test_currency_text_is_made_once(spark):
+    """Its white space is stripped by patterns, so it must not be made anew for each currency's name."""
+    from reqflow.functions import answers as A
+
+    df = spark.sql("select explode(array(' us$ ', 'Euro', 'rs.', '', ' ', 'chf', null)) as c").select(A.currency_code(F.col("c")).alias("code"))
+    assert [r.code for r in df.collect()] == ["USD", "EUR", "INR", None, None, "CHF", None]
+    assert str(df._jdf.queryExecution().optimizedPlan()).lower().count("regexp_replace") <= 4
