@@ -119,6 +119,35 @@ def test_only_new_and_changed_files_are_exported(spark, tmp_path):
     assert export_changed(at(again[:3]), root, "4") == 0 and export_changed(at(again), root, "5") == 0
 
 
+def test_files_of_a_run_are_packed_and_come_back_whole(spark, tmp_path):
+    from reqflow.sources.export import export_packed, packed_files
+
+    root = str(tmp_path / "out")
+    at = lambda rows: spark.createDataFrame([(p, None if c is None else bytearray(c)) for p, c in rows.items()], "path string, content binary")
+    first = {f"r/{i}/a.bin": b"x" * i for i in range(500)} | {"r/none": None}
+    assert packed_files(spark, root) is None
+    assert export_packed(at(first), root, "1") == 501 and export_packed(at(first), root, "1") == 0
+    again = {"r/5/a.bin": b"yyyyy", "r/new": b"z", "r/none": b"", "r/6/a.bin": b"x" * 6}
+    assert export_packed(at(again), root, "1") == 2
+    want = {p: c or b"" for p, c in (first | again).items()}
+    assert {r.path: bytes(r.content) for r in packed_files(spark, root).collect()} == want
+    assert sum(p.is_file() for p in (tmp_path / "out").rglob("*")) < 150  # not a file for each
+    assert W.export_blobs(packed_files(spark, root), str(tmp_path / "files")) == 502
+    assert (tmp_path / "files/r/5/a.bin").read_bytes() == b"yyyyy"
+
+
+def test_ingest_writes_no_file_for_each_attachment(spark, tmp_path):
+    from reqflow.sources.export import packed_files
+
+    req = spark.createDataFrame([("a", 1)], "req_no string, created_on int")
+    attachments = spark.range(300).select(F.col("id").alias("attachment_id"), F.lit("a").alias("req_no"))
+    docs = attachments.select("attachment_id", F.lit("in/f.txt").alias("attachment_name"), F.concat(F.lit("text "), F.col("attachment_id").cast("string")).alias("content"))
+    tracker = spark.createDataFrame([], "req_no string, stage_id int, tracker_uuid string, created_at date, updated_at date")
+    D.ingest(req, tracker, attachments, docs, "2024-06-01", str(tmp_path / "out"), n=None)
+    assert sum(p.is_file() for p in (tmp_path / "out").rglob("*")) < 150
+    assert {bytes(r.content).decode() for r in packed_files(spark, str(tmp_path / "out")).collect()} == {f"text {i}" for i in range(300)}
+
+
 def test_a_file_that_can_not_be_written_fails_the_export(spark, tmp_path):
     (tmp_path / "r").write_text("a file where a folder must be")
     with pytest.raises(Exception, match="(?i)directory|exist"):
