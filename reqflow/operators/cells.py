@@ -88,7 +88,7 @@ def nearest_in_cells(index: DataFrame, queries: DataFrame, k: int = 10, n_cells:
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": pa.array([], pa.int64()), "detail_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "same_group": pa.array([], pa.bool_())})
-        return pa.Table.from_batches([_top_k(_Side(a), _Side(b), k, exclude == "before", False)]) if a.num_rows and b.num_rows else empty
+        return pa.Table.from_batches([_top_k(_Side(a), _Side(b), k, "own" if exclude == "before" else None, False)]) if a.num_rows and b.num_rows else empty
 
     found = q.groupBy("cell", "qb", "xb").cogroup(x.groupBy("cell", "qb", "xb")).applyInArrow(run, FOUND)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "detail_id")

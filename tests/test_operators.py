@@ -145,6 +145,31 @@ def test_copies_of_a_vector_meet_the_index_once(spark, monkeypatch, mode):
     assert made[0].count() <= 7 * 7 * 4
 
 
+@pytest.mark.parametrize("block", [None, 7])
+def test_nearest_beyond_a_group_that_holds_all_near_vectors(spark, monkeypatch, block):
+    """Each group is a cluster, larger than what is looked at first; one vector has copies in all groups, and some rows have no group."""
+    from reqflow.operators import vectors as V
+
+    if block:
+        monkeypatch.setattr(V, "QUERY_BLOCK", block)
+        monkeypatch.setattr(V, "INDEX_BLOCK", 3 * block)
+        monkeypatch.setattr(V, "CHUNK", block)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(4, 6))
+    rows = [(i, None if i % 4 == 3 else i % 4, (centres[i % 4] + rng.normal(size=6) / 20).astype(np.float32).tolist()) for i in range(120)]
+    rows += [(200 + i, i % 4, centres[0].astype(np.float32).tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "detail_id long, req_group int, vals array<float>").repartition(3)
+    got = {}
+    for r in nearest(df, df, 5).collect():
+        got.setdefault(r.query_id, []).append((r.rk, r.detail_id))
+    x = np.array([r[2] for r in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.round(x @ x.T, 12)
+    for q, (i, g, _) in enumerate(rows):
+        order = sorted((j for j in range(len(rows)) if g is None or rows[j][1] != g), key=lambda j: (-near[q, j], rows[j][0]))
+        assert sorted(got[i]) == [(n, rows[j][0]) for n, j in enumerate(order[:5], 1)]
+
+
 def test_nearest_of_nulls_and_of_earlier_ones(spark):
     rows = [(1, None, [1.0, 0.0]), (2, None, [1.0, 0.1]), (3, "a", None), (None, "a", [1.0, 0.0]), (4, "a", [1.0, 0.2])]
     df = spark.createDataFrame(rows, "detail_id long, req_group string, vals array<float>")
